@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from oracle import ORACLE
 from quotemill import schemas as S
 from quotemill.operators import cleaning, companies, prices, quality, reports
-from quotemill.operators.indicators import with_indicators
+from quotemill.operators.indicators import MAX_ROWS_PER_TASK, with_indicators
 from quotemill.plans import dashboards, jobs, marts
 from quotemill.session import materialize, scratch_path
 from quotemill.sinks.tables import write_by_month, write_by_year, write_flat
@@ -38,7 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AVERAGE_DIGITS = {"moving_avg_30": 6, "moving_avg_60": 6, "volatility_30": 9}
 SLICE_START, SLICE_END = dt.date(1997, 1, 1), dt.date(1998, 6, 30)
-SLICE_SEGMENT = "NASDAQ Global Market"
+SLICE_SEGMENT = "NYSE"
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -47,7 +47,10 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def _indicators(spark: SparkSession, folder: str) -> DataFrame:
-    return with_indicators(testbed.market_prices(spark, folder))
+    return with_indicators(
+        testbed.market_prices(spark, folder),
+        long_symbols=testbed.long_series_candidates(spark, folder, MAX_ROWS_PER_TASK),
+    )
 
 
 def _indicator_query(*names: str) -> Query:

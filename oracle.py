@@ -356,7 +356,7 @@ ORACLE = {
     "star_query": _sql(
         "SELECT f.trade_date, f.symbol, d.security_name, d.market_category, f.close,"
         " f.daily_return FROM fact AS f JOIN dim AS d ON f.symbol = d.symbol"
-        f" WHERE f.trade_date BETWEEN {SLICE} AND d.market_category = 'NASDAQ Global Market'"
+        f" WHERE f.trade_date BETWEEN {SLICE} AND d.market_category = 'NYSE'"
     ),
     "row_count": _sql("SELECT count(*) AS row_count FROM fact"),
     "run_report": _sql(

@@ -7,23 +7,22 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from quotemill import schemas as S
 from quotemill.operators import companies, prices, quality, reports
 from quotemill.operators.cleaning import clean_prices, combine
 from quotemill.operators.indicators import MAX_ROWS_PER_TASK, with_indicators
 from quotemill.plans import marts
+from quotemill.session import size_shuffles
 from quotemill.sinks.tables import LoadReport, write_by_month, write_by_year, write_flat
-from quotemill.sources.price_files import (
-    first_files,
-    long_series_candidates,
-    scan_prices,
-)
+from quotemill.sources.price_files import first_files, long_series_candidates, scan_prices
 from quotemill.sources.tables import (
     register_views,
     scan_metadata,
     scan_processed,
     scan_table,
+    stored_bytes,
 )
 
 # --- fixed values: table names ------------------------------------------------------
@@ -41,6 +40,9 @@ RANKING = "agg_top_tickers_alltime"
 # Ours: the rollup most marts are computed from.
 TICKER_MONTHS = "ticker_months"
 
+# Rows in a shuffle take about this many times their Parquet size.
+PARQUET_EXPANSION = 3
+
 
 @dataclass(frozen=True)
 class PriceRun:
@@ -84,6 +86,8 @@ def run_prices(
 
     The report reads the written table, so the lineage runs once.
     """
+    price_globs = list(price_globs)
+    size_shuffles(spark, stored_bytes(spark, price_globs))
     final = enriched_prices(spark, price_globs, metadata_path, sample)
     written = write_by_year(final, output, files_per_year)
     table = scan_processed(spark, output)
@@ -104,8 +108,10 @@ def run_raw_load(
         raise ValueError(f"unknown table {table!r}")
     loaded = {}
     if table in ("prices", "both"):
+        size_shuffles(spark, stored_bytes(spark, processed) * PARQUET_EXPANSION)
         rows = scan_processed(spark, processed)
-        loaded[RAW_PRICES] = write_by_month(rows, f"{warehouse}/{RAW_PRICES}")
+        place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        loaded[RAW_PRICES] = write_by_month(rows, f"{warehouse}/{RAW_PRICES}", row_id=place)
     if table in ("meta", "both"):
         rows = scan_metadata(spark, metadata)
         loaded[RAW_METADATA] = write_flat(rows, f"{warehouse}/{RAW_METADATA}")
@@ -122,6 +128,7 @@ def build_models(
     The fact keeps the clustering of the raw table, so it is written without a
     shuffle; the rollup is written once and serves four marts.
     """
+    size_shuffles(spark, stored_bytes(spark, f"{warehouse}/{RAW_PRICES}") * PARQUET_EXPANSION)
     tables = {
         RAW_PRICES: scan_table(spark, warehouse, RAW_PRICES),
         RAW_METADATA: scan_table(spark, warehouse, RAW_METADATA),

@@ -1,34 +1,56 @@
-"""Session defaults and the shared folder for intermediate tables."""
+"""Session defaults, shuffle sizing, and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Adaptive execution stays at Spark's own default (on). The shuffle starts with
-# many partitions so that a large run does not spill; AQE merges the small ones.
-DEFAULTS = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
-    "spark.sql.session.timeZone": "UTC",
-}
+# Adaptive execution stays at Spark's own default, which is on.
+DEFAULTS = {"spark.sql.session.timeZone": "UTC"}
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+_BYTES_PER_PARTITION = 256 * 1024**2
+_PARTITION_RANGE = (200, 50_000)
 
-def get_session(app_name: str = "quotemill", **overrides: str) -> SparkSession:
-    """Session for the batch jobs; anything set by spark-submit or the caller wins."""
-    settings = {key.replace("__", "."): value for key, value in overrides.items()}
+
+def get_session(
+    app_name: str = "quotemill", conf: Mapping[str, str] | None = None
+) -> SparkSession:
+    """Session for the batch jobs; what spark-submit or the caller sets wins."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in settings.items():
+    for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    submitted = spark.sparkContext.getConf()
     for key, value in DEFAULTS.items():
-        if key not in settings and not submitted.contains(key):
+        if not _chosen(spark, key) and key not in (conf or {}):
             spark.conf.set(key, value)
     return spark
 
 
+def _chosen(spark: SparkSession, key: str) -> bool:
+    return spark.sparkContext.getConf().contains(key)
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int | None:
+    """Start shuffles with partitions that fit executor memory for this much input.
+
+    AQE merges what turns out small but cannot split an ordinary partition, so the
+    first guess must be high enough. Nothing is changed if the submitter has chosen
+    a number. Beyond the upper limit partitions grow and spill, which is cheaper
+    than tracking more of them.
+    """
+    if _chosen(spark, SHUFFLE_PARTITIONS) or _chosen(spark, INITIAL_PARTITIONS):
+        return None
+    least, most = _PARTITION_RANGE
+    partitions = min(max(-(-input_bytes // _BYTES_PER_PARTITION), least), most)
+    spark.conf.set(INITIAL_PARTITIONS, str(partitions))
+    return partitions
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quotemill.functions.columns import month_of
@@ -44,19 +44,28 @@ def write_by_year(df: DataFrame, path: str, files_per_year: int | None = None) -
     return _write(dated.sortWithinPartitions("year", "symbol", "trade_date"), path, "year")
 
 
-def write_by_month(df: DataFrame, path: str, clustered: bool = False) -> LoadReport:
+def write_by_month(
+    df: DataFrame, path: str, clustered: bool = False, row_id: Column | None = None
+) -> LoadReport:
     """Parquet below one directory per month, clustered by symbol.
 
     The range shuffle on (month, symbol, date) gives tasks of even size whatever
     month or symbol dominates, and files with narrow symbol ranges, so Parquet
-    statistics serve ``symbol = x``. Rows scanned from such a table keep their
-    clustering; ``clustered=True`` then sorts locally and skips the shuffle.
+    statistics serve ``symbol = x``. Rows that agree on the key are parted by their
+    content, or by ``row_id`` if the caller has a stable one, which parts copies too.
+
+    Rows scanned from such a table keep their clustering; ``clustered=True`` then
+    sorts locally and skips the shuffle.
     """
     keys = ["trade_month", "symbol", "trade_date"]
-    dated = df.withColumn("trade_month", month_of(F.col("trade_date")))
+    columns = df.columns
+    if row_id is None:
+        row_id = F.xxhash64(*columns)
+    dated = df.withColumns({"row_id": row_id, "trade_month": month_of(F.col("trade_date"))})
     if not clustered:
-        dated = dated.repartitionByRange(*keys)
-    return _write(dated.sortWithinPartitions(*keys), path, "trade_month")
+        dated = dated.repartitionByRange(*keys, "row_id")
+    rows = dated.sortWithinPartitions(*keys).select(*columns, "trade_month")
+    return _write(rows, path, "trade_month")
 
 
 def write_flat(df: DataFrame, path: str) -> LoadReport:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from quotemill.functions.columns import is_etf_file, ticker_of
 from quotemill.schemas import PRICE_FILE_COLUMNS
+from quotemill.sources.tables import listing
 
 # No price record is shorter than a date, six commas and a line end.
 _SHORTEST_RECORD_BYTES = 17
@@ -54,16 +55,10 @@ def scan_prices(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """The files themselves as rows; their content is read only if selected."""
-    found = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.format("binaryFile").load(found)
-
-
 def first_files(spark: SparkSession, glob: str, count: int) -> list[str]:
     """The first ``count`` files by name; an error if nothing matches."""
     try:
-        rows = _listing(spark, glob).select("path").orderBy("path").limit(count).collect()
+        rows = listing(spark, glob).select("path").orderBy("path").limit(count).collect()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -86,7 +81,7 @@ def long_series_candidates(
     Needs file lengths only. It may name a symbol too many, never one too few.
     """
     return (
-        _listing(spark, paths)
+        listing(spark, paths)
         .groupBy(ticker_of(F.col("_metadata.file_path")).alias("symbol"))
         .agg(F.sum("length").alias("bytes"))
         .where(F.col("bytes") > max_rows * _SHORTEST_RECORD_BYTES)

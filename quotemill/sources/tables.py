@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,16 @@ from quotemill.functions.columns import month_of
 from quotemill.schemas import EVENT_SCHEMA
 
 
+def listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Files below ``paths`` as rows; their content is read only if selected."""
+    found = [paths] if isinstance(paths, str) else list(paths)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(found)
+
+
+def stored_bytes(spark: SparkSession, paths: str | Sequence[str]) -> int:
+    return listing(spark, paths).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def scan_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Listing metadata with every column as text, addressed by header name.
 

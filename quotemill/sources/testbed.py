@@ -59,6 +59,20 @@ def market_prices(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def long_series_candidates(spark: SparkSession, folder: str, max_rows: int) -> DataFrame:
+    """Tickers with more than ``max_rows`` shipments; they may have fewer days."""
+    shipments = (
+        _table(spark, folder, "lineitem")
+        .groupBy("l_suppkey")
+        .agg(F.count(F.lit(1)).alias("shipments"))
+        .where(F.col("shipments") > max_rows)
+    )
+    suppliers = _table(spark, folder, "supplier")
+    return shipments.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        F.col("s_name").alias("symbol")
+    )
+
+
 def market_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """Raw listing metadata, one text row per supplier, some of them twice.
 

@@ -1,0 +1,58 @@
+import datetime as dt
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+TESTDATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("quotemill tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "6g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+PRICE_TYPES = (
+    "symbol string, trade_date date, open double, high double, low double, close double,"
+    " adj_close double, volume bigint, is_etf boolean"
+)
+
+
+@pytest.fixture
+def price_rows(spark):
+    """Price rows from (symbol, date, close) with optional high, low and volume."""
+
+    def build(rows):
+        full = []
+        for symbol, day, close, *rest in rows:
+            high, low, volume = (*rest, *(close, close, 100)[len(rest):])
+            full.append((symbol, day, close, high, low, close, close, volume, False))
+        return spark.createDataFrame(full, PRICE_TYPES)
+
+    return build
+
+
+@pytest.fixture
+def business_days():
+    def build(count, start=dt.date(2001, 1, 1)):
+        return [start + dt.timedelta(days=i) for i in range(count)]
+
+    return build

@@ -1,0 +1,153 @@
+"""The physical plans keep the properties that matter at scale."""
+
+import contextlib
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+from conftest import TESTDATA
+from quotemill.operators.companies import company_dimension, enrich, price_metadata
+from quotemill.operators.indicators import with_indicators
+from quotemill.operators.prices import ticker_months
+from quotemill.plans import marts
+from quotemill.session import materialize
+from quotemill.sinks.tables import write_by_month
+from quotemill.sources import testbed
+
+
+def final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@contextlib.contextmanager
+def settings(spark, **values):
+    keys = {key.replace("__", "."): value for key, value in values.items()}
+    old = {key: spark.conf.get(key, None) for key in keys}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture(scope="module")
+def written(spark):
+    return {
+        "prices": materialize(testbed.market_prices(spark, TESTDATA), "prices"),
+        "metadata": materialize(testbed.market_metadata(spark, TESTDATA), "metadata"),
+    }
+
+
+def exchanges(plan):
+    return re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)
+
+
+def static_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_all_indicators_share_one_shuffle_and_one_sort(written):
+    plan = static_plan(with_indicators(written["prices"]))
+    assert len(exchanges(plan)) == 1 and exchanges(plan)[0].startswith("symbol#")
+    assert plan.count("Sort [") == 1
+
+
+def test_frames_are_never_longer_than_a_block(written):
+    plan = static_plan(with_indicators(written["prices"]))
+    frames = {int(rows) for rows in re.findall(r"RowFrame, -(\d+), currentrow", plan)}
+    assert frames == {29}
+
+
+@pytest.mark.parametrize("threshold, joined", [("10485760", "BroadcastHashJoin"), ("-1", "SortMergeJoin")])
+def test_metadata_join_never_shuffles_prices_again(spark, written, threshold, joined):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=threshold):
+        plan = static_plan(
+            enrich(with_indicators(written["prices"]), price_metadata(written["metadata"]))
+        )
+    assert joined in plan
+    assert len(exchanges(plan)) == 2  # prices by symbol, metadata by symbol for its dedup
+    assert all(keys.startswith("symbol#") for keys in exchanges(plan))
+
+
+def test_company_dimension_combines_before_its_shuffle(written):
+    from quotemill.operators.companies import stage_metadata
+
+    plan = static_plan(company_dimension(stage_metadata(written["metadata"])))
+    assert "partial_min" in plan and "Window" not in plan
+    assert len(exchanges(plan)) == 1
+
+
+@pytest.fixture(scope="module")
+def month_table(spark):
+    from quotemill.session import scratch_path
+
+    path = scratch_path(spark, "fact")
+    write_by_month(entry._fact(spark, TESTDATA), path)
+    return spark.read.parquet(path)
+
+
+def test_rollup_reads_only_what_it_needs_and_combines_first(month_table):
+    plan = static_plan(ticker_months(month_table))
+    (columns,) = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    assert "close#" in columns and "high#" not in columns and "moving_avg_30#" not in columns
+    assert "partial_sum" in plan and len(exchanges(plan)) == 1
+
+
+def test_marts_shuffle_no_more_than_their_groups(month_table):
+    months = materialize(ticker_months(month_table), "months")
+    for mart in (marts.segment_by_month, marts.market_by_month, marts.segment_by_year):
+        plan = static_plan(mart(months))
+        assert "Join" not in plan and "CartesianProduct" not in plan
+        assert plan.count("partial_sum") >= 1
+
+
+def test_event_join_is_an_equi_join_on_pruned_months(month_table):
+    plan = static_plan(marts.market_events(month_table, testbed.TEST_EVENTS))
+    assert "BroadcastHashJoin [month#" in plan or "SortMergeJoin [month#" in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert re.search(r"PartitionFilters: \[.*trade_month", plan)
+    assert re.search(r"PushedFilters: \[.*trade_date", plan)
+
+
+def test_star_slice_prunes_and_reads_few_columns(spark, month_table):
+    import datetime as dt
+
+    from quotemill.plans.dashboards import star_slice
+
+    companies = materialize(entry._companies(spark, TESTDATA), "dim")
+    plan = static_plan(
+        star_slice(month_table, companies, dt.date(1997, 1, 1), dt.date(1997, 2, 1), "NYSE")
+    )
+    assert re.search(r"PartitionFilters: \[.*trade_month", plan)
+    assert "EqualTo(market_category,NYSE)" in plan
+    fact_schema = next(s for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan) if "close" in s)
+    assert set(re.findall(r"(\w+):", fact_schema)) == {
+        "trade_date", "symbol", "close", "daily_return",
+    }
+
+
+def test_no_query_uses_python_or_nested_loops(spark):
+    lazily = [name for name in entry.queries() if name not in (
+        "dq_report", "csv_roundtrip", "metadata_csv", "parquet_by_year", "parquet_by_month",
+        "flat_table_sql", "load_report",
+    )]
+    for name in lazily:
+        plan = static_plan(entry.queries()[name](spark, TESTDATA))
+        for word in ("Python", "NestedLoop", "Cartesian", "ArrowEval"):
+            assert word not in plan, (name, word)
+
+
+def test_cut_series_never_put_a_symbol_into_one_task(spark, written):
+    prices = written["prices"]
+    cut = with_indicators(prices, 100)
+    plan = static_plan(cut)
+    rows = [keys for keys in exchanges(plan) if keys.startswith("symbol#") and "block#" in keys]
+    assert rows
+    whole = with_indicators(prices)
+    digits = {c: f"round({c}, 9) AS {c}" for c in entry.S.INDICATOR_COLUMNS}
+    a, b = (df.selectExpr(*(digits.get(c, c) for c in whole.columns)) for df in (whole, cut))
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
