@@ -60,6 +60,12 @@ def _indicator_query(*names: str) -> Query:
     return query
 
 
+def _cut_indicators(spark: SparkSession, folder: str) -> DataFrame:
+    """The indicators with every series treated as too long for one task."""
+    cut = with_indicators(testbed.market_prices(spark, folder), max_rows=200)
+    return _rounded(cut.select("symbol", "trade_date", *S.INDICATOR_COLUMNS))
+
+
 def _raw_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return testbed.market_metadata(spark, folder)
 
@@ -219,6 +225,7 @@ def queries() -> dict[str, Query]:
         "moving_averages": _indicator_query("moving_avg_30", "moving_avg_60"),
         "volatility_30": _indicator_query("volatility_30"),
         "week52_range": _indicator_query("week52_high", "week52_low"),
+        "indicators_long_series": _cut_indicators,
         # metadata and star schema
         "meta_staged": _staged_metadata,
         "meta_staged_no_test_issues": lambda spark, folder: companies.stage_metadata(

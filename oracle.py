@@ -315,6 +315,7 @@ ORACLE = {
         "SELECT symbol, trade_date, round(volatility_30, 9) AS volatility_30 FROM metrics"
     ),
     "week52_range": _sql("SELECT symbol, trade_date, week52_high, week52_low FROM metrics"),
+    "indicators_long_series": _sql(f"SELECT symbol, trade_date, {_ROUNDED_METRICS} FROM metrics"),
     "meta_staged": _sql("SELECT * FROM staged_meta"),
     "meta_staged_no_test_issues": _sql("SELECT * FROM staged_meta WHERE NOT is_test_issue"),
     "price_metadata": _sql("SELECT * FROM price_meta"),

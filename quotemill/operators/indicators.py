@@ -120,12 +120,10 @@ def _dealt_to_blocks(prices: DataFrame, span: int) -> DataFrame:
     """
     columns = prices.columns
     cell = ["symbol", "trade_date", "cell"]
-    runs = (
-        prices.withColumn("tie", _fingerprint(prices))
-        .withColumn("cell", F.shiftright("tie", 58))
-        .groupBy(*columns, "tie", "cell")
-        .agg(F.count(F.lit(1)).alias("copies"))
+    marked = prices.withColumn("tie", _fingerprint(prices)).withColumn(
+        "cell", F.shiftright("tie", 58)
     )
+    runs = marked.groupBy(*columns, "tie", "cell").agg(F.count(F.lit(1)).alias("copies"))
 
     earlier_cells = (
         Window.partitionBy("symbol")
@@ -133,8 +131,8 @@ def _dealt_to_blocks(prices: DataFrame, span: int) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = (
-        runs.groupBy(*cell)
-        .agg(F.sum("copies").alias("cell_rows"))
+        marked.groupBy(*cell)
+        .agg(F.count(F.lit(1)).alias("cell_rows"))
         .select(*cell, F.sum("cell_rows").over(earlier_cells).alias("cell_start"))
     )
 
@@ -172,7 +170,7 @@ def with_indicators(
     max_rows: int = MAX_ROWS_PER_TASK,
     long_symbols: DataFrame | None = None,
 ) -> DataFrame:
-    """Price rows with the six indicators.
+    """Clean price rows (each with symbol and date) with the six indicators.
 
     Rows per symbol are counted first, a job over one column; if no symbol exceeds
     ``max_rows``, as with daily data, the plan is one shuffle by symbol. A caller who

@@ -12,6 +12,24 @@ from quotemill.functions.columns import month_of
 from quotemill.sources.tables import within_dates
 
 
+# --- fixed values: order in which each summary table is shown --------------------------
+SHOWN_BY = {
+    "agg_sector_performance": ["trade_month", "market_category"],
+    "agg_monthly_summary": ["trade_month"],
+    "agg_yearly_performance": ["trade_year", "market_category"],
+    "agg_market_crash_analysis": ["period_start", "event_name"],
+    "agg_top_tickers_alltime": ["-avg_daily_return", "symbol"],
+}
+
+
+def in_order(mart: DataFrame, name: str) -> DataFrame:
+    """A summary table in its order of display; written tables are unordered."""
+    keys = SHOWN_BY[name]
+    return mart.orderBy(
+        [key.lstrip("-") for key in keys], ascending=[not key.startswith("-") for key in keys]
+    )
+
+
 def _months(mart: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:
     """The date control of a panel: months from ``start`` to ``end``, open if absent."""
     if start is not None:
@@ -63,11 +81,11 @@ def segment_years(
         yearly = yearly.where(F.col("trade_year") >= first)
     if last is not None:
         yearly = yearly.where(F.col("trade_year") <= last)
-    return yearly.orderBy("trade_year", "market_category")
+    return in_order(yearly, "agg_yearly_performance")
 
 
 def event_comparison(events: DataFrame) -> DataFrame:
-    return events.orderBy("period_start", "event_name")
+    return in_order(events, "agg_market_crash_analysis")
 
 
 def _leaders(ranking: DataFrame, order: Column, size: int) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill import schemas as S
@@ -27,6 +27,8 @@ from quotemill.sources.tables import literal_events
 
 # More events than this are pruned by their overall range in place of one by one.
 _EVENTS_PRUNED_SINGLY = 50
+# Events are broadcast up to this many rows (one per event and month), about 10 MB.
+_BROADCAST_EVENT_MONTHS = 100_000
 
 
 def _mean(total: str, count: str) -> Column:
@@ -144,6 +146,17 @@ def _ranges(column: Column, events: list, as_month: bool) -> Column:
     return reduce(or_, (column.between(F.lit(a), F.lit(b)) for a, b in spans), F.lit(False))
 
 
+def _event_months(spark: SparkSession, events: list) -> DataFrame:
+    """One row per event and month it touches, broadcast if their number is small."""
+    first, last = F.col("event_start"), F.col("event_end")
+    every_month = F.sequence(month_of(first), month_of(last), F.expr("interval 1 month"))
+    listed = literal_events(spark, events).withColumn("month", F.explode(every_month))
+    rows = sum(
+        (end.year - start.year) * 12 + end.month - start.month + 1 for _, start, end in events
+    )
+    return F.broadcast(listed) if rows <= _BROADCAST_EVENT_MONTHS else listed
+
+
 def market_events(
     fact: DataFrame, events: Iterable[tuple[str, dt.date, dt.date]] = S.MARKET_EVENTS
 ) -> DataFrame:
@@ -163,11 +176,8 @@ def market_events(
         month_of(day).alias("month"), day, "symbol", "daily_return", "volatility_30", "volume"
     )
     first, last = F.col("event_start"), F.col("event_end")
-    by_month = literal_events(fact.sparkSession, events).withColumn(
-        "month", F.explode(F.sequence(month_of(first), month_of(last), F.expr("interval 1 month")))
-    )
     return (
-        rows.join(by_month, "month")
+        rows.join(_event_months(fact.sparkSession, events), "month")
         .where(day.between(first, last))
         .groupBy("event_name", first.alias("period_start"), last.alias("period_end"))
         .agg(

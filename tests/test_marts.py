@@ -232,3 +232,17 @@ def test_panels_filter_and_sort(spark):
     )
     assert [tuple(r) for r in dashboards.return_by_segment(segments).collect()] == [("y", 0.9), ("x", 0.2)]
     assert [r.market_category for r in dashboards.risk_by_segment(segments).collect()] == ["x", "y"]
+
+
+def test_summaries_have_an_order_of_display(spark):
+    ranking = spark.createDataFrame(
+        [("B", 0.1), ("C", 0.3), ("A", 0.1)], "symbol string, avg_daily_return double"
+    )
+    shown = dashboards.in_order(ranking, "agg_top_tickers_alltime").collect()
+    assert [row.symbol for row in shown] == ["C", "A", "B"]
+    yearly = spark.createDataFrame(
+        [(2001, "y"), (2000, "z"), (2001, "x")], "trade_year bigint, market_category string"
+    )
+    shown = dashboards.segment_years(yearly, 2000, 2001).collect()
+    assert [tuple(row) for row in shown] == [(2000, "z"), (2001, "x"), (2001, "y")]
+    assert dashboards.segment_years(yearly, 2001).count() == 2

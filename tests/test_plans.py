@@ -107,12 +107,24 @@ def test_marts_shuffle_no_more_than_their_groups(month_table):
 
 def test_event_join_is_an_equi_join_on_pruned_months(month_table):
     plan = static_plan(marts.market_events(month_table, testbed.TEST_EVENTS))
-    assert "BroadcastHashJoin [month#" in plan or "SortMergeJoin [month#" in plan
+    assert "BroadcastHashJoin [month#" in plan
+    assert not any(keys.startswith("month#") for keys in exchanges(plan))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert re.search(r"PartitionFilters: \[.*trade_month", plan)
     assert re.search(r"PushedFilters: \[.*trade_date", plan)
 
 
+def test_too_many_events_are_not_broadcast(spark, month_table, monkeypatch):
+    monkeypatch.setattr(marts, "_BROADCAST_EVENT_MONTHS", 10)
+    shuffled = marts.market_events(month_table, testbed.TEST_EVENTS)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        assert "SortMergeJoin [month#" in static_plan(shuffled)
+    monkeypatch.undo()
+    assert sorted(shuffled.collect()) == sorted(
+        marts.market_events(month_table, testbed.TEST_EVENTS).collect()
+    )
+
+
 def test_star_slice_prunes_and_reads_few_columns(spark, month_table):
     import datetime as dt
 
