@@ -41,7 +41,11 @@ def _in_a_segment() -> Column:
 
 
 def segment_by_month(months: DataFrame) -> DataFrame:
-    """Market segment by month, over rows with a return."""
+    """Market segment by month, over rows with a return.
+
+    The rollup has one row per ticker, month and category, so tickers are counted
+    without a distinct.
+    """
     return (
         months.where(_in_a_segment())
         .groupBy("trade_month", "market_category")
@@ -50,7 +54,7 @@ def segment_by_month(months: DataFrame) -> DataFrame:
             return_digits(_mean("r_volatility_sum", "r_volatility_count")).alias("avg_volatility"),
             price_digits(_mean("r_close_sum", "r_close_count")).alias("avg_close"),
             F.sum("r_volume").alias("total_volume"),
-            F.count_distinct("symbol").alias("ticker_count"),
+            F.count("symbol").alias("ticker_count"),
         )
     )
 

@@ -8,8 +8,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Adaptive execution stays at Spark's own default, which is on.
-DEFAULTS = {"spark.sql.session.timeZone": "UTC"}
+# Adaptive execution stays at Spark's own default, which is on. The advisory size is
+# what rebalanced writes aim at per task, hence per file.
+DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+}
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"

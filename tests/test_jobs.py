@@ -130,6 +130,7 @@ def test_session_settings_of_the_caller_win(spark):
         assert session.conf.get("spark.sql.shuffle.partitions") == "8"
     finally:
         session.conf.set("spark.sql.session.timeZone", "UTC")
+        session.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
 def test_shuffles_follow_the_input(spark, monkeypatch):
