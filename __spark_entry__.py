@@ -154,7 +154,7 @@ def _year_table(spark: SparkSession, folder: str) -> DataFrame:
 def _month_table(spark: SparkSession, folder: str) -> DataFrame:
     """Fact written by month, clustered by symbol; a date range read back."""
     path = scratch_path(spark, "by-month")
-    write_by_month(_fact(spark, folder), path)
+    write_by_month(materialize(_fact(spark, folder), "fact"), path)
     days = within_dates(spark.read.parquet(path), SLICE_START, SLICE_END)
     return _rounded(days.select(*S.FACT_COLUMNS))
 

@@ -115,7 +115,7 @@ def _dealt_to_blocks(prices: DataFrame, span: int) -> DataFrame:
 
     Equal rows travel as one row with a count. Positions come from two cumulative
     sums: over cells (symbol, date, slice of the fingerprint), and over the rows of
-    one cell. So neither a series nor a date nor a group of copies has to fit one
+    one cell. A symbol has at most 64 cells per date. So neither a series nor a date nor a group of copies has to fit one
     task; the copies of a row are written out only inside their block.
     """
     columns = prices.columns

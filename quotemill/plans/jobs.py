@@ -40,6 +40,11 @@ RANKING = "agg_top_tickers_alltime"
 # Ours: the rollup most marts are computed from.
 TICKER_MONTHS = "ticker_months"
 
+WRITTEN_TABLES = (
+    RAW_PRICES, RAW_METADATA, COMPANIES, FACT, TICKER_MONTHS, SEGMENT_MONTHS, MARKET_MONTHS,
+    SEGMENT_YEARS, EVENTS, RANKING,
+)
+
 # Rows in a shuffle take about this many times their Parquet size.
 PARQUET_EXPANSION = 3
 
@@ -123,35 +128,42 @@ def build_models(
     warehouse: str,
     events: Iterable[tuple[str, dt.date, dt.date]] = S.MARKET_EVENTS,
 ) -> dict[str, DataFrame]:
-    """Staging views, star schema and marts from the raw tables, registered by name.
+    """Write star schema and marts from the raw tables and open them.
 
     The fact keeps the clustering of the raw table, so it is written without a
     shuffle; the rollup is written once and serves four marts.
     """
     size_shuffles(spark, stored_bytes(spark, f"{warehouse}/{RAW_PRICES}") * PARQUET_EXPANSION)
-    tables = {
-        RAW_PRICES: scan_table(spark, warehouse, RAW_PRICES),
-        RAW_METADATA: scan_table(spark, warehouse, RAW_METADATA),
-    }
-    tables[STAGED_PRICES] = prices.stage_prices(tables[RAW_PRICES])
-    tables[STAGED_METADATA] = companies.stage_metadata(tables[RAW_METADATA])
+
+    def written(name: str) -> DataFrame:
+        return scan_table(spark, warehouse, name)
 
     def publish(name: str, rows: DataFrame) -> DataFrame:
         write_flat(rows, f"{warehouse}/{name}")
-        tables[name] = scan_table(spark, warehouse, name)
-        return tables[name]
-
-    write_by_month(
-        prices.fact_prices(tables[STAGED_PRICES]), f"{warehouse}/{FACT}", clustered=True
-    )
-    tables[FACT] = scan_table(spark, warehouse, FACT)
-    dimension = publish(COMPANIES, companies.company_dimension(tables[STAGED_METADATA]))
-    months = publish(TICKER_MONTHS, prices.ticker_months(tables[FACT]))
+        return written(name)
+
+    staged = prices.stage_prices(written(RAW_PRICES))
+    write_by_month(prices.fact_prices(staged), f"{warehouse}/{FACT}", clustered=True)
+    fact = written(FACT)
+    staged_metadata = companies.stage_metadata(written(RAW_METADATA))
+    dimension = publish(COMPANIES, companies.company_dimension(staged_metadata))
+    months = publish(TICKER_MONTHS, prices.ticker_months(fact))
     publish(SEGMENT_MONTHS, marts.segment_by_month(months))
     publish(MARKET_MONTHS, marts.market_by_month(months))
     publish(SEGMENT_YEARS, marts.segment_by_year(months))
-    publish(EVENTS, marts.market_events(tables[FACT], events))
+    publish(EVENTS, marts.market_events(fact, events))
     publish(RANKING, marts.ticker_ranking(months, dimension))
+    return open_models(spark, warehouse)
+
+
+def open_models(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
+    """All relations of a built warehouse, registered by name for SQL.
+
+    The staging relations are views: they are computed from the raw tables when read.
+    """
+    tables = {name: scan_table(spark, warehouse, name) for name in WRITTEN_TABLES}
+    tables[STAGED_PRICES] = prices.stage_prices(tables[RAW_PRICES])
+    tables[STAGED_METADATA] = companies.stage_metadata(tables[RAW_METADATA])
     register_views(tables)
     return tables
 

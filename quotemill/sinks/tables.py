@@ -53,6 +53,8 @@ def write_by_month(
     month or symbol dominates, and files with narrow symbol ranges, so Parquet
     statistics serve ``symbol = x``. Rows that agree on the key are parted by their
     content, or by ``row_id`` if the caller has a stable one, which parts copies too.
+    Spark samples the rows to find the ranges, so ``df`` runs twice: pass a scan of a
+    written table, not a long lineage.
 
     Rows scanned from such a table keep their clustering; ``clustered=True`` then
     sorts locally and skips the shuffle.

@@ -3,6 +3,8 @@ import random
 import statistics
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from quotemill.operators import indicators
 from quotemill.operators.indicators import long_series, with_indicators
@@ -141,3 +143,19 @@ def test_first_rows_and_gaps(price_rows):
 def test_no_return_after_a_close_that_is_not_positive(price_rows):
     rows = [("A", dt.date(2001, 1, 1), 0.0), ("A", dt.date(2001, 1, 2), 5.0)]
     assert with_indicators(price_rows(rows)).where("daily_return is not null").isEmpty()
+
+
+@settings(
+    max_examples=8, deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+@given(
+    closes=st.lists(st.floats(0.01, 1e4), min_size=1, max_size=330),
+    max_rows=st.integers(5, 400),
+)
+def test_any_series_any_cut(price_rows, business_days, closes, max_rows):
+    values = [(close, close, close) for close in closes]
+    prices = price_rows(
+        [("A", day, close) for day, close in zip(business_days(len(closes)), closes)]
+    )
+    assert_matches(with_indicators(prices, max_rows), {"A": values})

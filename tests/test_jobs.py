@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 
+from quotemill import schemas as S
 from quotemill.operators.quality import QualityError
 from quotemill.plans import jobs
 from quotemill.session import get_session, shared_folder, size_shuffles
@@ -83,6 +84,17 @@ def test_from_files_to_checked_marts(spark, landed):
     assert tuple(star) == ("NYSE American", "Other", 100)
 
 
+def test_built_models_can_be_opened_again(spark, landed):
+    run_all(spark, landed)
+    built = jobs.build_models(spark, f"{landed}/warehouse")
+    for name in built:
+        spark.catalog.dropTempView(name)
+    opened = jobs.open_models(spark, f"{landed}/warehouse")
+    assert set(opened) == set(built)
+    assert spark.sql("SELECT count(*) FROM raw_daily_prices").first()[0] == 720
+    assert spark.table("stg_daily_prices").columns == list(S.STAGED_PRICE_COLUMNS)
+
+
 def test_repeated_metadata_fails_the_run(spark, landed):
     with open(landed / "meta.csv", "a") as file:
         file.write("Y,AAA,AAA again,Q,Q,N,100,N,N,AAA,AAA,N\n")
