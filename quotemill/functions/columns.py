@@ -13,14 +13,22 @@ from quotemill import schemas as S
 
 # --- text and paths -----------------------------------------------------------
 
-def ticker_of(path: Column) -> Column:
-    """Ticker named by a price file.
+def file_name(path: Column) -> Column:
+    return F.substring_index(path, "/", -1)
 
-    File URIs are percent-encoded, so the name is decoded; a literal plus sign is
-    protected first because form decoding would turn it into a blank.
+
+def ticker_of(file: Column) -> Column:
+    """Ticker named by a price file, empty for other files.
+
+    File URIs are percent-encoded, so such a name is decoded; a literal plus sign is
+    protected first because form decoding would turn it into a blank. Plain string
+    functions, since this runs for every row and a regular expression costs as much
+    as parsing the record.
     """
-    name = F.regexp_extract(path, S.TICKER_FILE_PATTERN, 1)
-    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+    name = F.left(file, F.length(file) - len(S.TICKER_FILE_SUFFIX))
+    decoded = F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    readable = F.when(F.contains(name, F.lit("%")), F.coalesce(decoded, name)).otherwise(name)
+    return F.when(F.endswith(file, F.lit(S.TICKER_FILE_SUFFIX)), readable).otherwise("")
 
 
 def is_etf_file(path: Column) -> Column:
@@ -41,8 +49,12 @@ def category_label(code: Column, labels: Mapping[str, str]) -> Column:
 # --- dates ------------------------------------------------------------------------
 
 def parsed_date(text: Column) -> Column:
-    """Date of an ISO day, NULL if it is not one (also under ANSI mode)."""
-    return F.try_to_date(text, S.PRICE_DATE_FORMAT)
+    """Date of an ISO day, NULL if it is not one (also under ANSI mode).
+
+    The cast alone would also take shorter and padded forms; a date format would
+    cost several times as much per row.
+    """
+    return F.when(text.rlike(S.PRICE_DATE_PATTERN), text.try_cast("date"))
 
 
 def month_of(day: Column) -> Column:

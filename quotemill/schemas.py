@@ -16,8 +16,8 @@ PRICE_FILE_COLUMNS = {
     "Adj Close": ("adj_close", T.DoubleType()),
     "Volume": ("volume", T.LongType()),
 }
-PRICE_DATE_FORMAT = "yyyy-MM-dd"
-TICKER_FILE_PATTERN = r"/([^/]+)\.csv$"
+PRICE_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
+TICKER_FILE_SUFFIX = ".csv"
 ETF_DIRECTORY = "/etfs/"
 
 # --- fixed values: market category labels ------------------------------------

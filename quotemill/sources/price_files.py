@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotemill.functions.columns import is_etf_file, ticker_of
+from quotemill.functions.columns import file_name, is_etf_file, ticker_of
 from quotemill.schemas import PRICE_FILE_COLUMNS
 from quotemill.sources.tables import listing
 
@@ -18,41 +18,37 @@ from quotemill.sources.tables import listing
 _SHORTEST_RECORD_BYTES = 17
 
 
-def _fits(name: str, wanted: T.DataType) -> Column:
-    """Does the raw text fit the column's type? Missing values do."""
-    text = F.col(f"`{name}`")
-    fits = text.try_cast(wanted).isNotNull()
-    if isinstance(wanted, T.LongType):
-        fits = fits & text.rlike(r"^[+-]?\d+$")
-    return text.isNull() | fits
+_SCHEMA = T.StructType(
+    [T.StructField(name, wanted) for name, (_, wanted) in PRICE_FILE_COLUMNS.items()]
+)
+
+
+def _reads_whole_records() -> Column:
+    """True for every row, but only after every column has been read.
+
+    DROPMALFORMED judges a record by the columns a query reads, so a count could
+    differ from the rows collected. A filter over a hash of all columns makes each
+    query read, and judge, the whole record.
+    """
+    return F.hash(*(F.col(f"`{name}`") for name in PRICE_FILE_COLUMNS)) >= F.lit(-(2**31))
 
 
 def scan_prices(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Rows of all files under ``paths`` (glob or list, any Hadoop URI).
 
-    A record with a bad number or a wrong number of fields is dropped. Spark's
-    own DROPMALFORMED judges only the columns a query reads, so the count of rows
-    would depend on the query. Here every field is read as text, which makes the
-    field count matter always, and the type test is an ordinary filter.
+    A record with a bad number or a wrong number of fields is dropped, whichever
+    columns are used later.
     """
-    text_schema = T.StructType(
-        [T.StructField(name, T.StringType()) for name in PRICE_FILE_COLUMNS]
-    )
     raw = (
-        spark.read.schema(text_schema)
-        .options(header=True, mode="DROPMALFORMED", columnPruning=False)
+        spark.read.schema(_SCHEMA)
+        .options(header=True, mode="DROPMALFORMED")
         .csv(paths if isinstance(paths, str) else list(paths))
     )
-    types = {name: wanted for name, (_, wanted) in PRICE_FILE_COLUMNS.items()}
-    for name, wanted in types.items():
-        if not isinstance(wanted, T.StringType):
-            raw = raw.where(_fits(name, wanted))
     path = F.col("_metadata.file_path")
-    return raw.select(
-        *(F.col(f"`{name}`").try_cast(wanted).alias(name) for name, wanted in types.items()),
-        ticker_of(path).alias("symbol"),
-        is_etf_file(path).alias("is_etf"),
+    located = raw.where(_reads_whole_records()).withColumns(
+        {"is_etf": is_etf_file(path), "file": file_name(path)}
     )
+    return located.withColumn("symbol", ticker_of(F.col("file"))).drop("file")
 
 
 def first_files(spark: SparkSession, glob: str, count: int) -> list[str]:
@@ -82,7 +78,7 @@ def long_series_candidates(
     """
     return (
         listing(spark, paths)
-        .groupBy(ticker_of(F.col("_metadata.file_path")).alias("symbol"))
+        .groupBy(ticker_of(file_name(F.col("_metadata.file_path"))).alias("symbol"))
         .agg(F.sum("length").alias("bytes"))
         .where(F.col("bytes") > max_rows * _SHORTEST_RECORD_BYTES)
         .select("symbol")

@@ -53,7 +53,7 @@ def test_cleaning_drops_unusable_rows_without_exceptions(spark, tmp_path):
     )
     rows = clean_prices(scan_prices(spark, f"{tmp_path}/stocks/*.csv")).orderBy("trade_date")
     assert rows.columns == [
-        "trade_date", "open", "high", "low", "close", "adj_close", "volume", "symbol", "is_etf",
+        "trade_date", "open", "high", "low", "close", "adj_close", "volume", "is_etf", "symbol",
     ]
     assert [(row.trade_date, row.close, row.volume) for row in rows.collect()] == [
         (dt.date(2020, 1, 2), 1.5, 100),
