@@ -14,6 +14,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,18 @@ from quotemill.sources.tables import (
     within_years,
 )
 
+try:
+    import corpus_pipeline
+    from quotemill import llm
+    from quotemill.llm import queries as llm_queries
+except ModuleNotFoundError as missing:  # the corpus operators are an optional part
+    if missing.name not in ("corpus_pipeline", "quotemill.llm"):
+        raise
+    llm_queries = None
+else:
+    # Their functions travel with the tasks, so executors need no copy of the package.
+    cloudpickle.register_pickle_by_value(llm)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 AVERAGE_DIGITS = {"moving_avg_30": 6, "moving_avg_60": 6, "volatility_30": 9}
@@ -219,6 +232,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return _price_queries() | (llm_queries.queries() if llm_queries else {})
+
+
+def _price_queries() -> dict[str, Query]:
     return {
         # per-ticker windows
         "daily_return": _indicator_query("close", "daily_return"),
@@ -293,4 +310,4 @@ def _dashboard_mean(df: DataFrame) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return dict(ORACLE) | (llm_queries.oracle_sql() if llm_queries else {})
