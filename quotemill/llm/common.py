@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: A word of a text: a run of anything but ASCII white space.
 WORD_GAP = r"[\x20\x09-\x0D]+"
-_HASH_SPACE = 2.0**63
+_HASH_SPACE = 2.0**53
 
 
 def held_out(doc_id: Column) -> Column:
@@ -23,13 +23,24 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
 
 
-def hash_sample(df: DataFrame, key: Column, rows: int, total: int) -> DataFrame:
-    """About ``rows`` of ``total`` rows, chosen by a hash of ``key``; all if there are fewer.
+def hash_sample(df: DataFrame, key: Column, fraction: Column | float) -> DataFrame:
+    """About that fraction of the rows, chosen by a hash of ``key``.
 
     The choice depends on the key alone, so every run and every retried task agrees,
-    and no sort is needed. The number of rows is binomial around ``rows``.
+    and no sort is needed. The number of rows is binomial around what is asked for.
     """
-    if total <= rows:
-        return df
-    bound = int(rows / total * _HASH_SPACE)
-    return df.where(F.abs(F.shiftright(F.xxhash64(key, F.lit("sample")), 1)) * 2 < F.lit(bound))
+    share = F.shiftrightunsigned(F.xxhash64(key, F.lit("sample")), 11) / _HASH_SPACE
+    return df.where(share < fraction)
+
+
+def class_sample(df: DataFrame, key: Column, label: str, rows: int) -> DataFrame:
+    """About ``rows`` rows of each value of ``label``, or all where there are fewer.
+
+    The values are counted first; as classes to be learned they are few.
+    """
+    counts = df.groupBy(label).count().collect()
+    fractions = F.lit(0.0)
+    for value, count in counts:
+        if value is not None:
+            fractions = F.when(F.col(label) == value, min(1.0, rows / count)).otherwise(fractions)
+    return hash_sample(df, key, fractions)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import mixing, sharding, simhash
+from quotemill.llm import html_text, knn, language, mixing, sharding, simhash, toxicity, warc
+from quotemill.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,47 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def voronoi_top10(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = knn.integer_vectors(_table(spark, folder, "embeddings"))
+    return knn.voronoi_top_k(vectors, F.col("vec_id") % 100 == 0, 10)
+
+
+def toxic_spans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    tagger = toxicity.fit_toxicity(spark, docs, _table(spark, folder, "labels"))
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), tagger)
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.size("toxicity.spans").alias("spans"),
+    )
+
+
+def byte_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    network = language.fit_languages(docs)
+    return language.identify(docs.select("doc_id", "text"), network).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+    )
+
+
+def template_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html_text.extract_text(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+def warc_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.write_archives(_table(spark, folder, "pages"))
+    return warc.read_archives(archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     classes = simhash.simhash_classes(_table(spark, folder, "documents"))
     return classes.select(
@@ -49,6 +91,11 @@ def byte_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_voronoi_top10": voronoi_top10,
+        "op2_toxic_spans": toxic_spans,
+        "op3_byte_language": byte_language,
+        "op4_template_text": template_text,
+        "op7_warc_roundtrip": warc_roundtrip,
         "op6_simhash_components": simhash_components,
         "op9_mixed_sources": mixed_sources,
         "op10_byte_shards": byte_shards,
