@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import html_text, knn, language, mixing, sharding, simhash, toxicity, warc
+from quotemill.llm import decontam, edit_counts, html_text, knn, language, mixing, sharding, simhash, toxicity, warc
 from quotemill.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,23 @@ def warc_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def edit_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = edit_counts.with_redactions(_table(spark, folder, "documents").select("doc_id", "text"))
+    counted = edit_counts.count_edited(docs)
+    return counted.select(
+        "doc_id",
+        "counted.tokens_before",
+        "counted.tokens_after",
+        F.size("edits").alias("edits"),
+        "counted.reencoded",
+        F.size("counted.leaf_tokens").alias("leaves"),
+    )
+
+
+def spaced_seed_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     classes = simhash.simhash_classes(_table(spark, folder, "documents"))
     return classes.select(
@@ -95,6 +112,8 @@ def queries() -> dict[str, Query]:
         "op2_toxic_spans": toxic_spans,
         "op3_byte_language": byte_language,
         "op4_template_text": template_text,
+        "op5_edit_token_counts": edit_token_counts,
+        "op8_spaced_seed_leaks": spaced_seed_leaks,
         "op7_warc_roundtrip": warc_roundtrip,
         "op6_simhash_components": simhash_components,
         "op9_mixed_sources": mixed_sources,
