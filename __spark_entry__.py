@@ -232,7 +232,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return _price_queries() | (llm_queries.queries() if llm_queries else {})
+    corpus = llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}
+    return _price_queries() | corpus
 
 
 def _price_queries() -> dict[str, Query]:
