@@ -24,7 +24,7 @@ SLOTS_PER_SHARD = 4096
 #: Rounds of the permutation; each decides for every number whether to trade places.
 _ROUNDS = 16
 #: Documents of one source whose offsets are summed in one task, on average.
-_ROWS_PER_CELL = 50_000
+_ROWS_PER_CELL = 4096
 
 
 def source_targets(
@@ -96,10 +96,11 @@ def mix(
     """The mix of a corpus: (documents with their source's target, pieces taken).
 
     ``docs`` has ``doc_id``, ``source`` and ``size``, the number of words. The first
-    result has ``row``, a number of its own for every row, ``doc_id``, ``source``, ``size``, ``source_size``,
-    ``target`` and ``first_word``, the offset in the source's stream. The second has
-    ``row``, ``pass``, ``shard``, ``slot``, ``start`` and ``words``: in that pass over the
-    source, the slot takes so many of the row's words from ``start`` on.
+    result has ``sid`` and ``row``, numbers of the source and of the row in it,
+    ``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``first_word``, the
+    offset in the source's stream. The second has ``sid``, ``row``, ``pass``, ``shard``,
+    ``slot``, ``start`` and ``words``: in that pass over the source, the slot takes so many
+    of the row's words from ``start`` on.
 
     A source's pieces add up to its target rounded to whole words, within the last block
     exactly. Null sources are one source, null ids are documents like any others,
@@ -136,12 +137,11 @@ def mix(
         F.pmod("turn", "cells").alias("cell"),
     )
     totals = celled.groupBy("sid", "cell").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows"))
-    by_cell = Window.orderBy("sid", "cell").rowsBetween(Window.unboundedPreceding, -1)
     in_source = Window.partitionBy("sid").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
         "sid", "cell",
         F.coalesce(F.sum("words").over(in_source), F.lit(0)).alias("words_before"),
-        F.coalesce(F.sum("rows").over(by_cell), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum("rows").over(in_source), F.lit(0)).alias("rows_before"),
     )
     order = Window.partitionBy("sid", "cell").orderBy("turn", "doc_id", "size")
     placed = celled.join(starts, ["sid", "cell"]).select(
@@ -210,11 +210,12 @@ def mix(
     left = F.greatest(F.col("first_word"), F.col("block") * block_words)
     right = F.least(F.col("first_word") + F.col("size"), F.col("block") * block_words + F.col("block_take"))
     pieces = (
-        inside.join(slots, ["sid", "block"])
-        .select("row", "pass", "shard", "slot", (left - F.col("first_word")).alias("start"), (right - left).alias("words"))
+        # Slots come out of small counts, so their size would be guessed far too low.
+        inside.join(slots.hint("merge"), ["sid", "block"])
+        .select("sid", "row", "pass", "shard", "slot", (left - F.col("first_word")).alias("start"), (right - left).alias("words"))
         .where("words > 0")
     )
-    return placed.drop("sid"), pieces
+    return placed, pieces
 
 
 def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
@@ -224,8 +225,8 @@ def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
     """
     sized = docs.select("doc_id", "source", F.size(words(F.col("text"))).alias("size"))
     placed, pieces = mix(sized, **options)
-    taken = pieces.groupBy("row").agg(F.sum("words").alias("taken"))
-    return placed.join(taken, "row", "left").select(
+    taken = pieces.groupBy("sid", "row").agg(F.sum("words").alias("taken"))
+    return placed.join(taken, ["sid", "row"], "left").select(
         "doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")
     )
 
@@ -244,21 +245,19 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     )
     # Equal rows share a key and a text; each has pieces of its own.
     taken = (
-        pieces.groupBy("row", "pass")
+        pieces.groupBy("sid", "row", "pass")
         .agg(F.array_sort(F.collect_list(F.struct("start", "words"))).alias("_pieces"), F.sum("words").alias("_taken"))
-        .join(placed.select("row", "doc_id"), "row")
+        .join(placed.select("sid", "row", "doc_id"), ["sid", "row"])
         .select(F.col("doc_id").alias("_key"), "_pieces", "_taken")
     )
     one = counted.dropDuplicates(["_key"])
     joined = one.join(taken, "_key")
-    part = F.array_join(
-        F.flatten(
-            F.transform("_pieces", lambda p: F.slice(words(F.col("text")), (p["start"] + 1).cast("int"), p["words"].cast("int")))
-        ),
-        " ",
+    # Words first: one lambda in another would share variables between its uses.
+    cut = joined.withColumn("_words", words(F.col("text"))).withColumn(
+        "_kept", F.transform("_pieces", lambda p: F.slice("_words", (p["start"] + 1).cast("int"), p["words"].cast("int")))
     )
-    text = F.when(F.col("_taken") == F.col("_size"), F.col("text")).otherwise(part)
-    out = {"text": text}
+    text = F.when(F.col("_taken") == F.col("_size"), F.col("text")).otherwise(F.array_join(F.flatten("_kept"), " "))
+    whole = cut.withColumn("text", text)
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.char_length(text).cast("bigint")
-    return joined.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
+        whole = whole.withColumn("n_chars", F.char_length("text").cast("bigint"))
+    return whole.select(*docs.columns)
