@@ -318,7 +318,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     A null or empty html gives an empty text. Pages with a null or odd URL share the
     nameless host. A host of a single page has no evidence but the page's own. Repeated
     rows come back as often. The names ``host``, ``slot`` and ``constant`` may be in
-    ``pages``; they are kept.
+    ``pages``; they are kept, but a column ``text`` is replaced.
     """
     own = pages.select("*", host_of(F.col("url")).alias("_host"))
     _, slots = deduce_templates(own.select(F.col("_host").alias("host"), "html"))
@@ -339,4 +339,4 @@ def extract_text(pages: DataFrame) -> DataFrame:
             )
 
     # The slot travels as text: a nullable integer would become a floating-point number.
-    return joined.select(*[joined[c] for c in pages.columns], fill(F.col("html"), F.col("_slot").cast("string"), F.col("_constant")).alias("text"))
+    return joined.select(*[joined[c] for c in pages.columns if c != "text"], fill(F.col("html"), F.col("_slot").cast("string"), F.col("_constant")).alias("text"))

@@ -33,44 +33,45 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, *, slack: float = SLAC
     row or ``slack``, whichever is more, on either side.
 
     Ties are broken by ``doc_id``, null first, then by the size; repeated rows are
-    separate rows. A null ``grp`` forms one group. Fewer rows than shards leave some
+    separate rows. A null ``grp`` forms one group. Columns named ``shard`` and ``slot``
+    are replaced. Fewer rows than shards leave some
     shards empty, and an empty table gives no rows.
     """
     rows = docs.count()
     parts = max(1, -(-rows // _ROWS_PER_PARTITION))
     order = ["grp", "doc_id", "size"]
     spread = materialize(
-        docs.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "shard-rows"
+        docs.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "shard-rows"
     )
-    totals = spread.groupBy("part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = spread.groupBy("_part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
-        "part",
-        F.coalesce(F.sum("bytes").over(ahead), F.lit(0)).alias("bytes_before"),
-        F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("rows_before"),
-        F.sum("bytes").over(Window.partitionBy()).alias("all_bytes"),
+        "_part",
+        F.coalesce(F.sum("bytes").over(ahead), F.lit(0)).alias("_bytes_before"),
+        F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("_rows_before"),
+        F.sum("bytes").over(Window.partitionBy()).alias("_all_bytes"),
     )
-    inside = Window.partitionBy("part").orderBy(*order)
+    inside = Window.partitionBy("_part").orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        spread.join(F.broadcast(starts) if parts <= 10_000 else starts, "part")
-        .withColumn("offset", F.col("bytes_before") + F.sum("size").over(upto) - F.col("size"))
-        .withColumn("place", F.col("rows_before") + F.row_number().over(inside) - 1)
-        .drop("part", "bytes_before", "rows_before")
+        spread.join(F.broadcast(starts) if parts <= 10_000 else starts, "_part")
+        .withColumn("_offset", F.col("_bytes_before") + F.sum("size").over(upto) - F.col("size"))
+        .withColumn("_place", F.col("_rows_before") + F.row_number().over(inside) - 1)
+        .drop("_part", "_bytes_before", "_rows_before")
     )
     groups = placed.groupBy("grp").agg(
-        F.min("offset").alias("grp_start"), F.sum("size").alias("grp_bytes"), F.count(F.lit(1)).alias("members")
+        F.min("_offset").alias("_grp_start"), F.sum("size").alias("_grp_bytes"), F.count(F.lit(1)).alias("members")
     )
-    wide = groups.where("members > 1").select(F.col("grp").alias("g"), "grp_start", "grp_bytes")
-    joined = placed.join(wide, F.col("grp").eqNullSafe(F.col("g")), "left")
-    target = F.col("all_bytes") / shards
-    whole = F.col("grp_bytes") <= target * slack
-    middle = F.when(whole, F.col("grp_start") + F.col("grp_bytes") / 2).otherwise(F.col("offset") + F.col("size") / 2)
+    wide = groups.where("members > 1").select(F.col("grp").alias("_g"), "_grp_start", "_grp_bytes")
+    joined = placed.join(wide, F.col("grp").eqNullSafe(F.col("_g")), "left")
+    target = F.col("_all_bytes") / shards
+    whole = F.col("_grp_bytes") <= target * slack
+    middle = F.when(whole, F.col("_grp_start") + F.col("_grp_bytes") / 2).otherwise(F.col("_offset") + F.col("size") / 2)
     cut = joined.withColumn("shard", F.least(F.floor(middle / target), F.lit(shards - 1)).cast("int"))
-    cut = materialize(cut.drop("g", "grp_start", "grp_bytes", "offset", "all_bytes"), "shard-places")
-    firsts = cut.groupBy("shard").agg(F.min("place").alias("first_place"))
+    cut = materialize(cut.drop("_g", "_grp_start", "_grp_bytes", "_offset", "_all_bytes"), "shard-places")
+    firsts = cut.groupBy("shard").agg(F.min("_place").alias("_first_place"))
     return (
         cut.join(F.broadcast(firsts), "shard")  # at most one row per shard
-        .withColumn("slot", F.col("place") - F.col("first_place"))
-        .drop("place", "first_place")
+        .withColumn("slot", F.col("_place") - F.col("_first_place"))
+        .drop("_place", "_first_place")
     )

@@ -370,5 +370,6 @@ def _spans(text: str, chances: np.ndarray) -> list[dict]:
 
 def drop_toxic(docs: DataFrame, tagger: SpanTagger, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score is below the threshold, with their own columns."""
-    scored = score_toxicity(docs, tagger)
-    return scored.where(F.col("toxicity.score") < threshold).select(*docs.columns)
+    inner = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    scored = score_toxicity(inner, tagger)
+    return scored.where(F.col("toxicity.score") < threshold).select("row.*")
