@@ -54,7 +54,9 @@ def overlaps(
     ``text_key`` (the hash of a whole text, ``text_hash``), ``item_id``, ``matched`` (the
     most words that agree within one window, 13 words or the whole of a shorter item),
     ``item_words``, and ``item_start`` and ``text_start``, the words at which that window
-    begins. A window counts if at least ``similarity`` of its words agree in place.
+    begins. A window counts if at least ``similarity`` of its words agree in place; an
+    item shorter than a window has to be there word for word, as masks can't promise to
+    meet it otherwise.
 
     Equal texts are one text. Null texts and ids of items take no part, nor do items of
     fewer words than a mask, which are too short to tell a copy from chance. Repeated
@@ -118,7 +120,7 @@ def overlaps(
         ),
     )
     best = lined.withColumn("best", F.array_max(windows)).where(
-        F.col("best.matched") >= F.ceil(F.col("width") * similarity)
+        F.col("best.matched") >= F.when(F.col("width") < window, F.col("width")).otherwise(F.ceil(F.col("width") * similarity))
     )
     row = F.struct(
         F.col("best.matched").alias("matched"),

@@ -31,6 +31,8 @@ BLOCK = frozenset(
     " footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search"
     " section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Elements that hold blocks; those of running text are no steps of a path.
+BOXES = frozenset("article body center div html main section td".split())
 ARTICLE = frozenset(("article", "main"))
 BESIDE = frozenset(
     "aside button canvas dialog footer form head iframe input menu nav noscript object search select svg".split()
@@ -185,7 +187,7 @@ def blocks(page: str) -> list[Block]:
             flush()
         if rest.endswith("/") and name not in BLOCK:
             continue
-        step = name in BLOCK or beside
+        step = name in BOXES or beside
         kind = " ".join(sorted(set(re.sub(r"\d+", "", attributes.get("class", "")).split())))
         token = _hash(top[1], name, kind) if step else top[1]
         stack.append((name, token, beside, article, step))

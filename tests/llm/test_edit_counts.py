@@ -1,0 +1,77 @@
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quotemill.llm import edit_counts
+
+
+@pytest.fixture(scope="module")
+def counter():
+    with open(edit_counts.VOCABULARY, "rb") as file:
+        return edit_counts.TokenCounter(file.read())
+
+
+TEXTS = st.text(alphabet="ab'sre \n\t12!?éll世<", max_size=200)
+
+
+@settings(max_examples=150, deadline=None)
+@given(TEXTS, st.lists(st.tuples(st.integers(0, 220), st.integers(0, 60), TEXTS), max_size=4), st.sampled_from([1, 3, 32]))
+def test_edits_equal_encoding_anew(counter, text, edits, leaf):
+    before = edit_counts.LEAF_PRETOKENS
+    edit_counts.LEAF_PRETOKENS = leaf
+    try:
+        tree = edit_counts.CountTree.build(text, counter)
+    finally:
+        edit_counts.LEAF_PRETOKENS = before
+    for start, length, new in edits:
+        tree.edit(start, start + length, new, counter)
+        start, stop = min(start, len(text)), min(start + length, len(text))
+        text = text[:start] + new + text[stop:]
+        assert tree.text == text
+        assert tree.tokens == len(counter.encoding.encode_ordinary(text))
+        assert tree.leaves()[:, 0].sum() == len(text) and tree.leaves()[:, 1].sum() == tree.tokens
+
+
+def test_work_is_local(counter):
+    text = "some words of a long text " * 20_000
+    tree = edit_counts.CountTree.build(text, counter)
+    tree.edit(250_000, 250_004, "other", counter)
+    assert tree.reencoded < 1000
+    again = edit_counts.CountTree(tree.text, *tree.leaves().T)
+    again.edit(10, 12, "", counter)
+    assert again.tokens == len(counter.encoding.encode_ordinary(again.text))
+
+
+def test_pretokens_in_parts(monkeypatch):
+    shaker = random.Random(0)
+    text = "".join(shaker.choices("ab' 1\n", k=5000)) + "x" * 300 + " " * 300
+    whole = edit_counts._COMPILED.findall(text)
+    monkeypatch.setattr(edit_counts, "_CHARS_AT_ONCE", 40)
+    assert [p for part in edit_counts.pretokens(text) for p in part] == whole
+
+
+def test_query(spark, documents, counter):
+    line = "call +1 234 567 8901 or mail a.b@c.example now"
+    rows = [(1, line), (2, "same\nsame\nsame\nx"), (3, None), (4, ""), (None, line), (1, line)]
+    docs = edit_counts.with_redactions(documents(rows, extra="counted_ tokens_after"))
+    got = edit_counts.count_edited(docs).collect()
+    count = lambda t: len(counter.encoding.encode_ordinary(t))
+    want = {line: "call <NUMBER> or mail <MAIL> now", "same\nsame\nsame\nx": "same\nx", None: "", "": ""}
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.counted.tokens_before == count(r.text or "")
+        assert r.counted.tokens_after == count(want[r.text])
+        assert sum(r.counted.leaf_tokens) == r.counted.tokens_after
+
+
+def test_odd_edits(spark, counter):
+    rows = [
+        (1, "abc def", None), (2, "abc def", [(None, 2, "x"), (2, None, "y")]), (3, "abc def", [(3, 99, None)]),
+        (4, None, [(0, 5, "new")]), (5, "abc", [(-4, 1, "Z")]),
+    ]
+    frame = spark.createDataFrame(rows, "id int, text string, edits array<struct<start: int, stop: int, replacement: string>>")
+    got = {r.id: r.counted.tokens_after for r in edit_counts.count_edited(frame).collect()}
+    assert got == {i: len(counter.encoding.encode_ordinary(t)) for i, t in {1: "abc def", 2: "abc def", 3: "abc", 4: "new", 5: "Zbc"}.items()}
+    assert edit_counts.count_edited(frame.limit(0)).collect() == []

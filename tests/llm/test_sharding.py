@@ -1,0 +1,43 @@
+from pyspark.sql import functions as F
+
+from quotemill.llm import sharding
+
+
+def run(frame, shards=40, **options):
+    sized = frame.select(
+        "*",
+        sharding.document_size(F.col("text")).alias("size"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("grp"),
+    )
+    return sharding.shard_by_bytes(sized, shards, **options).collect()
+
+
+def test_even_and_gapless(spark, documents):
+    rows = [(i, f"{i} " * (i % 50), "en", "s") for i in range(3000)]
+    got = run(documents(rows, extra="part place offset first_place"), 10)
+    assert sorted(r.doc_id for r in got) == list(range(3000))
+    total = sum(r["size"] for r in got)
+    for shard in range(10):
+        own = [r for r in got if r.shard == shard]
+        assert abs(sum(r["size"] for r in own) - total / 10) <= 2 * max(total / 10 * sharding.SLACK, 300)
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+
+
+def test_copies_stay_together_up_to_the_slack(spark, documents):
+    rows = [(i, f"text {i // 5}") for i in range(5000)] + [(i, "hot " * 30) for i in range(5000, 8000)]
+    got = run(documents(rows), 8)
+    homes = {}
+    for r in got:
+        homes.setdefault(r.text, set()).add(r.shard)
+    hot = homes.pop("hot " * 30)
+    assert all(len(h) == 1 for h in homes.values())
+    assert sorted(hot) == list(range(min(hot), max(hot) + 1)) and len(hot) > 1
+
+
+def test_odd_rows(spark, documents):
+    rows = [(None, None), (None, None), (1, ""), (1, ""), (2, "é" * 100_000)]
+    got = run(documents(rows), 3)
+    assert sorted(r["size"] for r in got) == [16, 16, 16, 16, 200_016]
+    assert run(documents([]), 3) == []
+    one = run(documents([(7, "x")]), 40)
+    assert [(r.doc_id, r.slot) for r in one] == [(7, 0)] and 0 <= one[0].shard < 40
