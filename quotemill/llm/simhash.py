@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotemill.llm.components import component_ids
@@ -27,6 +27,7 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 _HASHES_AT_ONCE = 1 << 16
 #: Fingerprints compared at a time in a group.
 _ROWS_AT_ONCE = 2048
+_PROBES_PER_TASK = 131_072
 #: Fingerprints below one node of the lowest level.
 _LEAF = 32
 _FANOUT = 16
@@ -76,6 +77,14 @@ def gray_rank(fp: Column) -> Column:
     return rank.bitwiseXOR(F.lit(-(2**63)).cast("bigint"))
 
 
+def _ranks(codes: np.ndarray) -> np.ndarray:
+    """``gray_rank`` of an array."""
+    rank = codes
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank = rank ^ (rank >> np.uint64(shift))
+    return (rank ^ np.uint64(2**63)).view(np.int64)
+
+
 class Nodes:
     """Nodes of one tree, level by level: masks, patterns and the range of children."""
 
@@ -128,13 +137,13 @@ def _local_links(probes: np.ndarray, codes: np.ndarray, max_bits: int):
 
 
 def fingerprint_links(
-    codes: DataFrame, max_bits: int = 2, *, group_rows: int = 4096, max_groups: int = 16_384
+    codes: DataFrame, max_bits: int = 2, *, group_rows: int = 65_536, max_groups: int = 16_384
 ) -> DataFrame:
     """All pairs (``src``, ``dst``) of ``node`` whose codes ``fp`` differ in 1..max_bits bits.
 
     ``codes`` has one row per distinct code: ``fp`` and a unique ``node``. Groups hold
     ``group_rows`` codes or, in very large inputs, as many as keep the number of groups,
-    hence what is sent to every task, below ``max_groups`` plus one per partition.
+    hence what is sent to every task, below ``max_groups``.
     Every code probes the groups from its own one on, so a pair is met once. Groups that
     many codes probe are split over tasks by the probing code.
     """
@@ -143,22 +152,31 @@ def fingerprint_links(
     rows = max(group_rows, -(-total // max_groups))
     parts = max(1, min(max_groups, -(-total // rows)))
 
-    def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         part, seen = TaskContext.get().partitionId(), 0
         for batch in batches:
-            batch["grp"] = part * 2**32 + (seen + np.arange(len(batch))) // rows
+            batch["part"], batch["place"] = part, seen + np.arange(len(batch))
             seen += len(batch)
-            yield batch[["fp", "node", "rank", "grp"]]
+            yield batch
 
-    ranked = codes.select("fp", "node", gray_rank(F.col("fp")).alias("rank"))
-    grouped = materialize(
-        ranked.repartitionByRange(parts, "rank")
+    ranked = materialize(
+        codes.select("fp", "node", gray_rank(F.col("fp")).alias("rank"))
+        .repartitionByRange(parts, "rank")
         .sortWithinPartitions("rank")
-        .mapInPandas(runs, "fp bigint, node bigint, rank bigint, grp bigint"),
-        "gray-groups",
+        .mapInPandas(placed, "fp bigint, node bigint, rank bigint, part int, place bigint"),
+        "gray-order",
+    )
+    # Groups are runs of the whole order, wherever its partitions end.
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranked.groupBy("part").count().select(
+        "part", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("before")
+    )
+    grouped = ranked.join(starts, "part").select(
+        "fp", "node", "rank", F.expr(f"(before + place) div {rows}").alias("grp")
     )
+    grouped = materialize(grouped, "gray-groups")
     upper = (
         grouped.groupBy("grp")
         .agg(F.bit_and("fp").alias("a"), F.bit_or("fp").alias("o"))
@@ -188,7 +206,7 @@ def fingerprint_links(
     shares = (
         probes.groupBy("grp")
         .count()
-        .select("grp", F.ceil(F.col("count") / (16 * rows)).cast("int").alias("shares"))
+        .select("grp", F.ceil(F.col("count") / _PROBES_PER_TASK).cast("int").alias("shares"))
     )
     left = probes.join(shares, "grp").select(
         "grp", F.pmod(F.xxhash64("fp"), F.col("shares")).cast("int").alias("share"), "fp", "node"
@@ -203,15 +221,18 @@ def fingerprint_links(
 
     def solve(probing: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         members = members.sort_values("rank")
+        order = members["rank"].to_numpy(np.int64)
         code = members["fp"].to_numpy(np.int64).view(np.uint64)
         node = members["node"].to_numpy(np.int64)
         asking = probing["fp"].to_numpy(np.int64).view(np.uint64)
         asker = probing["node"].to_numpy(np.int64)
+        place_of = _ranks(asking)
         found = [pd.DataFrame({"src": [], "dst": []}, dtype=np.int64)]
         if len(code) and len(asking):
             for row, place in _local_links(asking, code, max_bits):
-                pair = pd.DataFrame({"src": asker[row], "dst": node[place]})
-                found.append(pair[pair["src"] != pair["dst"]])
+                # Groups follow the order, so of each pair the one that comes first asks.
+                once = place_of[row] < order[place]
+                found.append(pd.DataFrame({"src": asker[row][once], "dst": node[place][once]}))
         return pd.concat(found, ignore_index=True)
 
     return (
