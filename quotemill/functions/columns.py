@@ -36,7 +36,7 @@ def is_etf_file(path: Column) -> Column:
 
 
 def yes_no(flag: Column) -> Column:
-    """Boolean from a Y/N marker; anything else is NULL."""
+    """Boolean from a marker such as Y or N, as the cast knows them; anything else is NULL."""
     return F.trim(flag).try_cast("boolean")
 
 

@@ -13,9 +13,15 @@ _PREFERENCE = ("security_name", "market_category_code", "listing_exchange")
 
 
 def _trimmed(name: str) -> Column:
+    """Without blanks at its ends, as the price side takes metadata."""
     return F.trim(F.col(f"`{name}`"))
 
 
+def _stripped(name: str) -> Column:
+    """Without white space of any kind at its ends, as staging takes metadata."""
+    return F.regexp_replace(F.col(f"`{name}`"), S.OUTER_SPACE_PATTERN, "")
+
+
 def _named() -> Column:
     return F.length("symbol") > 0
 
@@ -61,19 +67,19 @@ def enrich(prices: DataFrame, metadata: DataFrame) -> DataFrame:
 def stage_metadata(raw: DataFrame, exclude_test_issues: bool = False) -> DataFrame:
     """Staging projection of the metadata, duplicates included."""
     staged = raw.select(
-        _trimmed("Symbol").alias("symbol"),
-        _trimmed("Security Name").alias("security_name"),
-        _trimmed("Listing Exchange").alias("listing_exchange"),
-        _trimmed("Market Category").alias("market_category_code"),
-        _trimmed("Financial Status").alias("financial_status"),
-        _trimmed("CQS Symbol").alias("cqs_symbol"),
-        _trimmed("NASDAQ Symbol").alias("nasdaq_symbol"),
+        _stripped("Symbol").alias("symbol"),
+        _stripped("Security Name").alias("security_name"),
+        _stripped("Listing Exchange").alias("listing_exchange"),
+        _stripped("Market Category").alias("market_category_code"),
+        _stripped("Financial Status").alias("financial_status"),
+        _stripped("CQS Symbol").alias("cqs_symbol"),
+        _stripped("NASDAQ Symbol").alias("nasdaq_symbol"),
         yes_no(F.col("ETF")).alias("is_etf"),
         yes_no(F.col("`Nasdaq Traded`")).alias("nasdaq_traded"),
         yes_no(F.col("`Test Issue`")).alias("is_test_issue"),
         yes_no(F.col("NextShares")).alias("is_nextshares"),
-        _trimmed("Round Lot Size").try_cast("double").alias("round_lot_size"),
-        category_label(_trimmed("Market Category"), S.COMPANY_CATEGORY_LABELS).alias(
+        _stripped("Round Lot Size").try_cast("double").alias("round_lot_size"),
+        category_label(_stripped("Market Category"), S.COMPANY_CATEGORY_LABELS).alias(
             "market_category"
         ),
     ).where(_named())

@@ -24,9 +24,12 @@ from pyspark.sql import functions as F
 
 from quotemill import schemas as S
 from quotemill.functions.columns import relative_change
+from quotemill.session import materialize
 
 MAX_ROWS_PER_TASK = 2_000_000
 
+_CELL_BITS = 12
+
 _LOOK_BACK = max(S.YEAR_ROWS, S.LONG_AVERAGE_ROWS, S.VOLATILITY_ROWS + 1) - 1
 
 
@@ -99,9 +102,13 @@ def _with_indicators(
 
 
 def _fingerprint(prices: DataFrame) -> Column:
-    """Orders rows of one symbol and date, so that repeats give repeatable results."""
-    others = [name for name in prices.columns if name not in ("symbol", "trade_date")]
-    return F.xxhash64(*others)
+    """Orders rows of one symbol and date, so that repeats give repeatable results.
+
+    Hashes take 0.0 and -0.0 for one; only zeros are told apart by their text.
+    """
+    others = [(name, kind) for name, kind in prices.dtypes if name not in ("symbol", "trade_date")]
+    signs = (F.when(F.col(n) == 0, F.col(n).cast("string")) for n, kind in others if kind in ("double", "float"))
+    return F.xxhash64(*(name for name, _ in others), *signs)
 
 
 def long_series(prices: DataFrame, max_rows: int) -> DataFrame:
@@ -115,15 +122,31 @@ def _dealt_to_blocks(prices: DataFrame, span: int) -> DataFrame:
 
     Equal rows travel as one row with a count. Positions come from two cumulative
     sums: over cells (symbol, date, slice of the fingerprint), and over the rows of
-    one cell. A symbol has at most 64 cells per date. So neither a series nor a date nor a group of copies has to fit one
-    task; the copies of a row are written out only inside their block.
+    one cell. There are as many cells as rows ask for, up to 4,096 for a date, so the
+    different rows of a date are spread that far; a group of copies is one row until
+    it is written out inside its blocks.
     """
     columns = prices.columns
     cell = ["symbol", "trade_date", "cell"]
     marked = prices.withColumn("tie", _fingerprint(prices)).withColumn(
-        "cell", F.shiftright("tie", 58)
+        "cell", F.shiftright("tie", 64 - _CELL_BITS)
+    )
+    # Grouping would make one of 0.0 and -0.0; as texts they stay apart.
+    others = [name for name in columns if name not in cell]
+    as_text = {
+        f"text_{name}": F.col(name).cast("string")
+        for name, kind in prices.dtypes
+        if kind in ("double", "float") and name in others
+    }
+    keys = [*cell, "tie", *as_text, *(name for name in others if f"text_{name}" not in as_text)]
+    runs = (
+        marked.withColumns(as_text)
+        .groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("copies"),
+            *(F.first(name).alias(name) for name in others if f"text_{name}" in as_text),
+        )
     )
-    runs = marked.groupBy(*columns, "tie", "cell").agg(F.count(F.lit(1)).alias("copies"))
 
     earlier_cells = (
         Window.partitionBy("symbol")
@@ -138,7 +161,7 @@ def _dealt_to_blocks(prices: DataFrame, span: int) -> DataFrame:
 
     earlier_runs = (
         Window.partitionBy(*cell)
-        .orderBy("tie", *(name for name in columns if name not in cell))
+        .orderBy(*keys[len(cell):])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     first = F.coalesce("cell_start", F.lit(0)) + F.coalesce(
@@ -168,38 +191,48 @@ def _dealt_to_blocks(prices: DataFrame, span: int) -> DataFrame:
 def with_indicators(
     prices: DataFrame,
     max_rows: int = MAX_ROWS_PER_TASK,
-    long_symbols: DataFrame | None = None,
+    candidates: DataFrame | None = None,
+    metadata: DataFrame | None = None,
 ) -> DataFrame:
     """Clean price rows (each with symbol and date) with the six indicators.
 
-    Rows per symbol are counted first, a job over one column; if no symbol exceeds
-    ``max_rows``, as with daily data, the plan is one shuffle by symbol. A caller who
-    knows the long series from elsewhere (file sizes) passes ``long_symbols``.
+    Series of more than ``max_rows`` rows are cut; which they are is counted first, a
+    job over one column. A caller who can tell without reading rows that only some
+    series may be that long passes them as ``candidates``, and only those are counted;
+    if there are none, nothing is. Without long series the plan is one shuffle by symbol.
 
-    Every long series has more than ``max_rows`` rows, so there are at most
-    ``rows / max_rows`` of them: half a million names for 10^12 rows. That bounds the
-    broadcast which parts them from the rest.
+    ``metadata``, one row per symbol, is joined as ``companies.enrich`` does, but before
+    short and long series are put together again: the short ones are still distributed
+    by symbol then, and the long ones are not yet cut.
     """
     columns = prices.columns
-    if long_symbols is None:
-        long_symbols = long_series(prices, max_rows)
+
+    def enriched(rows: DataFrame) -> DataFrame:
+        return rows if metadata is None else rows.join(metadata, "symbol", "left")
 
     def whole(usual: DataFrame) -> DataFrame:
         tied = usual.withColumn("tie", _fingerprint(prices))
-        return _with_indicators(tied, ["symbol"], ["trade_date", "tie"], columns)
+        return enriched(_with_indicators(tied, ["symbol"], ["trade_date", "tie"], columns))
 
     def cut(long: DataFrame) -> DataFrame:
         helpers = ["block", "position"]
         rows = _with_indicators(
             _dealt_to_blocks(long, max_rows), ["symbol", "block"], ["position"],
-            [*columns, *helpers],
+            [*long.columns, *helpers],
         )
         # a block only reads the rows it shares with the block before
         return rows.where(F.col("position") >= F.col("block") * max_rows).drop(*helpers)
 
+    if candidates is not None:
+        if candidates.isEmpty():
+            return whole(prices)
+        counted = prices.join(candidates, "symbol", "left_semi")
+    else:
+        counted = prices
+    long_symbols = materialize(long_series(counted, max_rows), "long-series")
     if long_symbols.isEmpty():
         return whole(prices)
-    listed = F.broadcast(long_symbols)
-    return whole(prices.join(listed, "symbol", "left_anti")).unionByName(
-        cut(prices.join(listed, "symbol", "left_semi"))
-    )
+    # Read twice by the cut, for cells and for rows; written, the source runs once.
+    long = materialize(enriched(prices.join(long_symbols, "symbol", "left_semi")), "long-rows")
+    usual = whole(prices.join(long_symbols, "symbol", "left_anti"))
+    return usual.unionByName(cut(long))

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotemill import schemas as S
-from quotemill.functions.columns import day_bit, month_of
 
 ERROR, WARN = "error", "warn"
 
@@ -122,24 +121,6 @@ def duplicated_keys(table: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def repeated_days(table: DataFrame, symbol: str, day: str) -> DataFrame:
-    """Number of rows per symbol and month beyond one per day.
-
-    Equal in verdict to looking for a repeated (symbol, day), but it shuffles one row
-    per symbol and month, not every row of the table.
-    """
-    return (
-        table.where(F.col(symbol).isNotNull() & F.col(day).isNotNull())
-        .groupBy(symbol, month_of(F.col(day)).alias("month"))
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.bit_count(F.bit_or(day_bit(F.col(day)))).alias("days"),
-        )
-        .select(symbol, "month", (F.col("rows") - F.col("days")).alias("surplus"))
-        .where(F.col("surplus") > 0)
-    )
-
-
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Non-null keys of ``child`` missing in ``parent``, with their row counts.
 
@@ -156,9 +137,6 @@ def _table_level(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
         parent, parent_column = check.parent
         found = orphans(table, check.columns[0], tables[parent], parent_column)
         failures = F.sum("rows")
-    elif len(check.columns) == 2 and dict(table.dtypes)[check.columns[1]] == "date":
-        found = repeated_days(table, *check.columns)
-        failures = F.sum("surplus")
     else:
         found = duplicated_keys(table, *check.columns)
         failures = F.count(F.lit(1))

@@ -11,18 +11,20 @@ from pyspark.sql import functions as F
 
 from quotemill import schemas as S
 from quotemill.operators import companies, prices, quality, reports
-from quotemill.operators.cleaning import clean_prices, combine
+from quotemill.operators.cleaning import clean_prices
 from quotemill.operators.indicators import MAX_ROWS_PER_TASK, with_indicators
 from quotemill.plans import marts
-from quotemill.session import size_shuffles
+from quotemill.session import materialize, sized_shuffles
 from quotemill.sinks.tables import LoadReport, write_by_month, write_by_year, write_flat
 from quotemill.sources.price_files import first_files, long_series_candidates, scan_prices
 from quotemill.sources.tables import (
+    listing,
     register_views,
     scan_metadata,
     scan_processed,
     scan_table,
     stored_bytes,
+    total_bytes,
 )
 
 # --- fixed values: table names ------------------------------------------------------
@@ -65,18 +67,26 @@ def enriched_prices(
 ) -> DataFrame:
     """Clean price rows of all files with indicators and metadata.
 
-    All globs are read by one scan. Which series are long is judged by file length,
-    so the files are parsed once. ``sample`` limits each glob to its first files.
+    All globs are read by one scan. File lengths tell which series could be long, so
+    rows are counted for those alone. ``sample`` limits each glob to its first files.
     """
+    paths = _paths(spark, price_globs, sample)
+    return _enriched(spark, paths, listing(spark, paths), metadata_path, max_rows)
+
+
+def _paths(spark: SparkSession, price_globs: Iterable[str], sample: int) -> list[str]:
     paths: list[str] = []
     for glob in price_globs:
         paths += first_files(spark, glob, sample) if sample > 0 else [glob]
+    return paths
+
+
+def _enriched(
+    spark: SparkSession, paths: list[str], files: DataFrame, metadata_path: str, max_rows: int
+) -> DataFrame:
     clean = clean_prices(scan_prices(spark, paths))
-    computed = with_indicators(
-        clean, max_rows, long_series_candidates(spark, paths, max_rows)
-    )
     metadata = companies.price_metadata(scan_metadata(spark, metadata_path))
-    return companies.enrich(computed, metadata)
+    return with_indicators(clean, max_rows, long_series_candidates(files, max_rows), metadata)
 
 
 def run_prices(
@@ -91,10 +101,11 @@ def run_prices(
 
     The report reads the written table, so the lineage runs once.
     """
-    price_globs = list(price_globs)
-    size_shuffles(spark, stored_bytes(spark, price_globs))
-    final = enriched_prices(spark, price_globs, metadata_path, sample)
-    written = write_by_year(final, output, files_per_year)
+    paths = _paths(spark, price_globs, sample)
+    files = materialize(listing(spark, paths), "price-files")
+    with sized_shuffles(spark, total_bytes(files)):
+        final = _enriched(spark, paths, files, metadata_path, MAX_ROWS_PER_TASK)
+        written = write_by_year(final, output, files_per_year)
     table = scan_processed(spark, output)
     return PriceRun(
         written, reports.run_report(table).first(), reports.sample_rows(table).collect()
@@ -113,10 +124,10 @@ def run_raw_load(
         raise ValueError(f"unknown table {table!r}")
     loaded = {}
     if table in ("prices", "both"):
-        size_shuffles(spark, stored_bytes(spark, processed) * PARQUET_EXPANSION)
         rows = scan_processed(spark, processed)
         place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-        loaded[RAW_PRICES] = write_by_month(rows, f"{warehouse}/{RAW_PRICES}", row_id=place)
+        with sized_shuffles(spark, stored_bytes(spark, processed) * PARQUET_EXPANSION):
+            loaded[RAW_PRICES] = write_by_month(rows, f"{warehouse}/{RAW_PRICES}", row_id=place)
     if table in ("meta", "both"):
         rows = scan_metadata(spark, metadata)
         loaded[RAW_METADATA] = write_flat(rows, f"{warehouse}/{RAW_METADATA}")
@@ -133,8 +144,15 @@ def build_models(
     The fact keeps the clustering of the raw table, so it is written without a
     shuffle; the rollup is written once and serves four marts.
     """
-    size_shuffles(spark, stored_bytes(spark, f"{warehouse}/{RAW_PRICES}") * PARQUET_EXPANSION)
+    stored = stored_bytes(spark, f"{warehouse}/{RAW_PRICES}")
+    with sized_shuffles(spark, stored * PARQUET_EXPANSION):
+        _write_models(spark, warehouse, events)
+    return open_models(spark, warehouse)
 
+
+def _write_models(
+    spark: SparkSession, warehouse: str, events: Iterable[tuple[str, dt.date, dt.date]]
+) -> None:
     def written(name: str) -> DataFrame:
         return scan_table(spark, warehouse, name)
 
@@ -153,7 +171,6 @@ def build_models(
     publish(SEGMENT_YEARS, marts.segment_by_year(months))
     publish(EVENTS, marts.market_events(fact, events))
     publish(RANKING, marts.ticker_ranking(months, dimension))
-    return open_models(spark, warehouse)
 
 
 def open_models(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:

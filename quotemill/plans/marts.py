@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotemill import schemas as S
@@ -25,12 +25,6 @@ from quotemill.functions.columns import (
 )
 from quotemill.sources.tables import literal_events
 
-# More events than this are pruned by their overall range in place of one by one.
-_EVENTS_PRUNED_SINGLY = 50
-# Events are broadcast up to this many rows (one per event and month), about 10 MB.
-_BROADCAST_EVENT_MONTHS = 100_000
-
-
 def _mean(total: str, count: str) -> Column:
     """Mean over ticker-days from partial sums; NULL if there are none."""
     return F.try_divide(F.sum(total), F.sum(count))
@@ -141,49 +135,43 @@ def segment_by_year(months: DataFrame) -> DataFrame:
 
 
 def _ranges(column: Column, events: list, as_month: bool) -> Column:
-    """Does ``column`` lie in the range of some event?"""
-    spans = [(start, end) for _, start, end in events]
-    if len(spans) > _EVENTS_PRUNED_SINGLY:
-        spans = [(min(start for start, _ in spans), max(end for _, end in spans))]
-    if as_month:
-        spans = [(start.replace(day=1), end) for start, end in spans]
+    """Does ``column`` lie in the range of some event? Ranges that meet are one."""
+    spans: list[tuple[dt.date, dt.date]] = []
+    for start, end in sorted((start, end) for _, start, end in events):
+        start = start.replace(day=1) if as_month else start
+        if spans and start <= spans[-1][1] + dt.timedelta(days=1):
+            spans[-1] = (spans[-1][0], max(spans[-1][1], end))
+        else:
+            spans.append((start, end))
     return reduce(or_, (column.between(F.lit(a), F.lit(b)) for a, b in spans), F.lit(False))
 
 
-def _event_months(spark: SparkSession, events: list) -> DataFrame:
-    """One row per event and month it touches, broadcast if their number is small."""
-    first, last = F.col("event_start"), F.col("event_end")
-    every_month = F.sequence(month_of(first), month_of(last), F.expr("interval 1 month"))
-    listed = literal_events(spark, events).withColumn("month", F.explode(every_month))
-    rows = sum(
-        (end.year - start.year) * 12 + end.month - start.month + 1 for _, start, end in events
-    )
-    return F.broadcast(listed) if rows <= _BROADCAST_EVENT_MONTHS else listed
-
-
 def market_events(
     fact: DataFrame, events: Iterable[tuple[str, dt.date, dt.date]] = S.MARKET_EVENTS
 ) -> DataFrame:
     """Market behaviour within named date ranges, both ends included.
 
     A row counts in each event it falls in; an event without rows is absent. The
-    range join is an equi-join: each event is listed once per month it touches,
-    rows meet it by month, and the exact bounds are tested on the matches. The
-    ranges also filter the scan, on the month key too where the table has one.
+    range join is an equi-join on the day: each event is listed once per day, so every
+    match is one. The ranges also filter the scan, on the month key too where the table
+    has one.
     """
     events = [event for event in events if event[1] <= event[2]]
     day = F.col("trade_date")
     rows = fact.where(F.col("daily_return").isNotNull() & _ranges(day, events, as_month=False))
     if "trade_month" in fact.columns:
         rows = rows.where(_ranges(F.col("trade_month"), events, as_month=True))
-    rows = rows.select(
-        month_of(day).alias("month"), day, "symbol", "daily_return", "volatility_30", "volume"
+    days = literal_events(fact.sparkSession, events).withColumn(
+        "trade_date", F.explode(F.sequence("event_start", "event_end"))
     )
-    first, last = F.col("event_start"), F.col("event_end")
     return (
-        rows.join(_event_months(fact.sparkSession, events), "month")
-        .where(day.between(first, last))
-        .groupBy("event_name", first.alias("period_start"), last.alias("period_end"))
+        rows.select("trade_date", "symbol", "daily_return", "volatility_30", "volume")
+        .join(days, "trade_date")
+        .groupBy(
+            "event_name",
+            F.col("event_start").alias("period_start"),
+            F.col("event_end").alias("period_end"),
+        )
         .agg(
             return_digits(F.avg("daily_return")).alias("avg_daily_return"),
             return_digits(F.avg("volatility_30")).alias("avg_volatility"),

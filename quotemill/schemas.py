@@ -17,6 +17,8 @@ PRICE_FILE_COLUMNS = {
     "Volume": ("volume", T.LongType()),
 }
 PRICE_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
+# White space of Unicode at either end.
+OUTER_SPACE_PATTERN = r"(?U)^\s+|\s+$"
 TICKER_FILE_SUFFIX = ".csv"
 ETF_DIRECTORY = "/etfs/"
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +18,8 @@ DEFAULTS = {
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-_BYTES_PER_PARTITION = 256 * 1024**2
-_PARTITION_RANGE = (200, 50_000)
+#: Rows of one shuffle partition: small enough to sort in an executor's share of memory.
+BYTES_PER_PARTITION = 256 * 1024**2
 
 
 def get_session(
@@ -30,29 +31,36 @@ def get_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     for key, value in DEFAULTS.items():
-        if not _chosen(spark, key) and key not in (conf or {}):
+        if not _chosen(spark, key):
             spark.conf.set(key, value)
     return spark
 
 
 def _chosen(spark: SparkSession, key: str) -> bool:
-    return spark.sparkContext.getConf().contains(key)
+    """Whether somebody has set it, at submission or in the running session."""
+    return key in spark.conf.getAll
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int | None:
-    """Start shuffles with partitions that fit executor memory for this much input.
+@contextmanager
+def sized_shuffles(
+    spark: SparkSession, input_bytes: int, bytes_per_partition: int = BYTES_PER_PARTITION
+) -> Iterator[int | None]:
+    """Within it, shuffles start with partitions that fit executor memory for this input.
 
     AQE merges what turns out small but cannot split an ordinary partition, so the
-    first guess must be high enough. Nothing is changed if the submitter has chosen
-    a number. Beyond the upper limit partitions grow and spill, which is cheaper
-    than tracking more of them.
+    first guess must be high enough: at least Spark's own default, and as many as the
+    input asks for. Nothing is changed if a number has been chosen, and the session is
+    left as it was.
     """
     if _chosen(spark, SHUFFLE_PARTITIONS) or _chosen(spark, INITIAL_PARTITIONS):
-        return None
-    least, most = _PARTITION_RANGE
-    partitions = min(max(-(-input_bytes // _BYTES_PER_PARTITION), least), most)
+        yield None
+        return
+    partitions = max(-(-input_bytes // bytes_per_partition), int(spark.conf.get(SHUFFLE_PARTITIONS)))
     spark.conf.set(INITIAL_PARTITIONS, str(partitions))
-    return partitions
+    try:
+        yield partitions
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -72,17 +80,34 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+def _own_folder(spark: SparkSession, shared: str) -> str:
+    """This application's part of the shared folder; it goes when the driver ends."""
+    path = f"{shared}/quotemill-{spark.sparkContext.applicationId}"
+    files, place = file_system(spark, path)
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path for it; for renames and removals."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A fresh, unused path below ``folder``, or below this application's shared folder."""
+    base = folder or _own_folder(spark, shared_folder(spark))
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of the written table.
 
     For results that several later queries read: they then scan columns from
-    files that outlive any executor, in place of repeating the whole lineage.
+    files that outlive any executor, in place of repeating the whole lineage. The files
+    go when the driver ends, unless a ``folder`` of the caller's holds them.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name, folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

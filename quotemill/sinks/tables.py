@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill.functions.columns import month_of
+from quotemill.session import file_system
 
 
 @dataclass(frozen=True)
@@ -17,15 +19,42 @@ class LoadReport:
 
 
 def _write(df: DataFrame, path: str, partition: str | None = None) -> LoadReport:
-    """Write and count in one pass. A failed job raises out of the write."""
+    """Write and count in one pass, beside the old table, which is then replaced.
+
+    A failed job raises out of the write and leaves the old table as it was.
+    """
     counted = Observation()
-    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
     if partition:
         writer = writer.partitionBy(partition)
-    writer.parquet(path)
+    files, written = file_system(df.sparkSession, fresh)
+    try:
+        writer.parquet(fresh)
+    except Exception:
+        files.delete(written, True)
+        raise
+    _replace(df.sparkSession, fresh, path)
     return LoadReport(path, counted.get["rows"])
 
 
+def _replace(spark: SparkSession, fresh: str, path: str) -> None:
+    """Puts a written table in the place of another; the old one goes last."""
+    files, source = file_system(spark, fresh)
+    _, target = file_system(spark, path)
+    _, old = file_system(spark, f"{fresh}.old")
+    replaced = files.exists(target)
+    if replaced and not files.rename(target, old):
+        raise OSError(f"cannot move {path} away")
+    if not files.rename(source, target):
+        if replaced:
+            files.rename(old, target)
+        raise OSError(f"cannot move {fresh} to {path}")
+    if replaced:
+        files.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 def write_by_year(df: DataFrame, path: str, files_per_year: int | None = None) -> LoadReport:
     """Parquet below one directory per year.
 
@@ -33,7 +62,8 @@ def write_by_year(df: DataFrame, path: str, files_per_year: int | None = None) -
     many tasks and packs small years together, so files come out near the advisory
     partition size and no task holds a whole hot year. ``files_per_year`` caps the
     number of files instead; rows of a year are then spread by hash over that many
-    tasks, which suits small data only.
+    tasks, which suits small data only. Splitting a big year needs AQE; without it a
+    year is one task unless ``files_per_year`` spreads it.
     """
     dated = df.withColumn("year", F.year("trade_date"))
     if files_per_year is None:

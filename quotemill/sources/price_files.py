@@ -64,21 +64,14 @@ def first_files(spark: SparkSession, glob: str, count: int) -> list[str]:
     return [re.sub(r"([\\*?\[\]{}])", r"\\\1", row.path) for row in rows]
 
 
-def scan_price_sample(spark: SparkSession, glob: str, count: int) -> DataFrame:
-    """As ``scan_prices``, limited to the first ``count`` files if it is positive."""
-    return scan_prices(spark, first_files(spark, glob, count) if count > 0 else glob)
+def long_series_candidates(files: DataFrame, max_rows: int) -> DataFrame:
+    """Symbols whose files could hold more than ``max_rows`` records, from their ``listing``.
 
-
-def long_series_candidates(
-    spark: SparkSession, paths: str | Sequence[str], max_rows: int
-) -> DataFrame:
-    """Symbols whose files are long enough to hold more than ``max_rows`` records.
-
-    Needs file lengths only. It may name a symbol too many, never one too few.
+    An upper bound by file length alone: it may name a symbol too many, never one too
+    few. Whether a series is long is decided by its rows.
     """
     return (
-        listing(spark, paths)
-        .groupBy(ticker_of(file_name(F.col("_metadata.file_path"))).alias("symbol"))
+        files.groupBy(ticker_of(F.col("file")).alias("symbol"))
         .agg(F.sum("length").alias("bytes"))
         .where(F.col("bytes") > max_rows * _SHORTEST_RECORD_BYTES)
         .select("symbol")

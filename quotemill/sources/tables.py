@@ -8,18 +8,29 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.functions.columns import month_of
+from quotemill.functions.columns import file_name, month_of
 from quotemill.schemas import EVENT_SCHEMA
 
 
 def listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Files below ``paths`` as rows; their content is read only if selected."""
+    """``path``, ``file`` and ``length`` of the files below ``paths``; contents are not read.
+
+    Tasks of a file scan follow the bytes of the files, which nothing reads here, so
+    they are merged to what the cluster runs at a time.
+    """
     found = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(found)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(found)
+    return files.select("path", file_name(F.col("_metadata.file_path")).alias("file"), "length").coalesce(
+        spark.sparkContext.defaultParallelism
+    )
+
+
+def total_bytes(files: DataFrame) -> int:
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
 def stored_bytes(spark: SparkSession, paths: str | Sequence[str]) -> int:
-    return listing(spark, paths).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return total_bytes(listing(spark, paths))
 
 
 def scan_metadata(spark: SparkSession, path: str) -> DataFrame:

@@ -9,10 +9,14 @@ the same doubles whatever the order of summation.
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quotemill.schemas import PRICE_FILE_COLUMNS
+from quotemill.session import file_system
+
 # --- fixed values: the adapter --------------------------------------------------------
 DAMPING = 20011
 REGION_CODES = {"AFRICA": "Q", "AMERICA": "G", "ASIA": "S", "EUROPE": "N", "MIDDLE EAST": "A"}
@@ -24,6 +28,13 @@ TEST_EVENTS = (
     ("E00", dt.date(2000, 3, 1), dt.date(2002, 10, 31)),
 )
 
+# Every 40th day of a ticker, counted from its number, has one of these defects.
+DEFECTS = (
+    "bad date", "bad number", "missing field", "extra field", "no close", "zero close",
+    "negative close", "NaN close", "decimal volume", "no high", "no volume", "repeated day",
+)
+DEFECT_PERIOD = 40
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -109,3 +120,94 @@ def market_metadata(spark: SparkSession, folder: str) -> DataFrame:
         F.col("s_name").alias("NASDAQ Symbol"),
         F.lit("N").alias("NextShares"),
     )
+
+
+def _key(symbol: Column) -> Column:
+    """The number in a ticker's name."""
+    return F.regexp_extract(symbol, r"(\d+)$", 1).cast("int")
+
+
+def _line(*fields: Column | str) -> Column:
+    parts = [F.coalesce((F.col(f) if isinstance(f, str) else f).cast("string"), F.lit("")) for f in fields]
+    return F.concat_ws(",", *parts)
+
+
+def price_lines(prices: DataFrame, defects: bool = False) -> DataFrame:
+    """Price rows as records of a price file: ``symbol``, ``is_etf``, ``line``.
+
+    With ``defects`` some records are spoilt in the ways of ``DEFECTS``, by ticker and day.
+    """
+    names = [short for short, _ in PRICE_FILE_COLUMNS.values()]
+    whole = _line(*names)
+    if not defects:
+        return prices.select("symbol", "is_etf", whole.alias("line"))
+    kind = F.pmod(F.date_diff("trade_date", F.lit(dt.date(1990, 1, 1))) * 31 + _key(F.col("symbol")), F.lit(DEFECT_PERIOD))
+
+    def changed(**new: str) -> Column:
+        return _line(*(F.lit(new[name]) if name in new else name for name in names))
+
+    records = (
+        F.array(changed(trade_date="not a date")),
+        F.array(changed(open="x1")),
+        F.array(_line(*names[:-1])),
+        F.array(F.concat(whole, F.lit(",more"))),
+        F.array(changed(close="")),
+        F.array(changed(close="0")),
+        F.array(changed(close="-1.5")),
+        F.array(changed(close="NaN")),
+        F.array(changed(volume="100.0")),
+        F.array(changed(high="")),
+        F.array(changed(volume="")),
+        F.array(whole, whole),
+    )
+    lines = F.array(whole)
+    for number, spoilt in enumerate(records):
+        lines = F.when(kind == number, spoilt).otherwise(lines)
+    return prices.select("symbol", "is_etf", F.explode(lines).alias("line"))
+
+
+def write_price_files(lines: DataFrame, folder: str) -> list[str]:
+    """One headered file per ticker below stocks/ and etfs/; returns a glob for each.
+
+    Written by ticker and then renamed, one rename per ticker, so no data moves twice.
+    """
+    spark = lines.sparkSession
+    header = ",".join(PRICE_FILE_COLUMNS)
+    heads = lines.select("symbol", "is_etf").distinct().select("*", F.lit(header).alias("line"), F.lit(0).alias("n"))
+    rows = lines.withColumn("n", F.lit(1)).unionByName(heads)
+    directory = F.when(F.col("is_etf"), "etfs").otherwise("stocks").alias("directory")
+    (
+        rows.select(directory, "symbol", "line", "n")
+        .repartition("directory", "symbol")
+        .sortWithinPartitions("directory", "symbol", "n", "line")
+        .drop("n")
+        .write.partitionBy("directory", "symbol")
+        .text(f"{folder}/parts")
+    )
+    files, _ = file_system(spark, folder)
+    globs = []
+    for name in ("stocks", "etfs"):
+        _, target = file_system(spark, f"{folder}/{name}")
+        files.mkdirs(target)
+        _, pattern = file_system(spark, f"{folder}/parts/directory={name}/symbol=*/*.txt")
+        for status in files.globStatus(pattern):
+            ticker = unquote(status.getPath().getParent().getName().removeprefix("symbol="))
+            _, place = file_system(spark, f"{folder}/{name}/{ticker}.csv")
+            files.rename(status.getPath(), place)
+        globs.append(f"{folder}/{name}/*.csv")
+    return globs
+
+
+def edge_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices that try the ranking: every third ticker is short, every fifth leaps daily.
+
+    A short ticker has its first 100 days only. The close of a leaping one is a
+    hundredfold every other day, so its mean return to the power of its days leaves the
+    range of a double.
+    """
+    prices = market_prices(spark, folder)
+    key = _key(F.col("symbol"))
+    number = F.row_number().over(Window.partitionBy("symbol").orderBy("trade_date"))
+    leap = (key % 5 == 0) & (number % 2 == 0)
+    rows = prices.withColumns({"number": number, "close": F.when(leap, F.col("close") * 100).otherwise(F.col("close"))})
+    return rows.where((key % 3 != 0) | (F.col("number") <= 100)).drop("number")
