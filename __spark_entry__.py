@@ -15,7 +15,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oracle import ORACLE
@@ -26,11 +26,10 @@ from quotemill.plans import dashboards, jobs, marts
 from quotemill.session import materialize, scratch_path
 from quotemill.sinks.tables import write_by_month, write_by_year, write_flat
 from quotemill.sources import testbed
-from quotemill.sources.price_files import scan_prices
+from quotemill.sources.price_files import first_files, scan_prices
 from quotemill.sources.tables import (
     register_views,
     scan_metadata,
-    scan_processed,
     within_dates,
     within_years,
 )
@@ -62,7 +61,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 def _indicators(spark: SparkSession, folder: str) -> DataFrame:
     return with_indicators(
         testbed.market_prices(spark, folder),
-        long_symbols=testbed.long_series_candidates(spark, folder, MAX_ROWS_PER_TASK),
+        candidates=testbed.long_series_candidates(spark, folder, MAX_ROWS_PER_TASK),
     )
 
 
@@ -79,6 +78,14 @@ def _cut_indicators(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(cut.select("symbol", "trade_date", *S.INDICATOR_COLUMNS))
 
 
+def _cut_enriched(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``prices_enriched``, half of the series short and half cut."""
+    prices_ = testbed.market_prices(spark, folder)
+    middle = prices_.groupBy("symbol").count().agg(F.percentile("count", 0.5)).first()[0]
+    metadata = companies.price_metadata(_raw_metadata(spark, folder))
+    return _rounded(with_indicators(prices_, max_rows=int(middle), metadata=metadata))
+
+
 def _raw_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return testbed.market_metadata(spark, folder)
 
@@ -92,8 +99,11 @@ def _companies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, folder: str) -> DataFrame:
-    metadata = companies.price_metadata(_raw_metadata(spark, folder))
-    return companies.enrich(_indicators(spark, folder), metadata)
+    return with_indicators(
+        testbed.market_prices(spark, folder),
+        candidates=testbed.long_series_candidates(spark, folder, MAX_ROWS_PER_TASK),
+        metadata=companies.price_metadata(_raw_metadata(spark, folder)),
+    )
 
 
 def _staged_prices(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,25 +138,97 @@ def _ranking(spark: SparkSession, folder: str) -> DataFrame:
     return marts.ticker_ranking(_months(spark, folder), _companies(spark, folder))
 
 
+def _cleaned_files(spark: SparkSession, folder: str, defects: bool) -> DataFrame:
+    lines = testbed.price_lines(testbed.market_prices(spark, folder), defects)
+    globs = testbed.write_price_files(lines, scratch_path(spark, "price-files"))
+    return cleaning.clean_prices(scan_prices(spark, globs)).select(
+        "symbol", *(short for short, _ in S.PRICE_FILE_COLUMNS.values()), "is_etf"
+    )
+
+
 def _price_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Prices written as CSV below stocks/ and etfs/, scanned and cleaned again."""
-    base = scratch_path(spark, "price-files")
-    names = {short: name for name, (short, _) in S.PRICE_FILE_COLUMNS.items()}
-    source = testbed.market_prices(spark, folder)
-    for directory, kept in (("stocks", ~F.col("is_etf")), ("etfs", F.col("is_etf"))):
-        source.where(kept).select(*names).withColumnsRenamed(names).write.csv(
-            f"{base}/{directory}", header=True
+    """Prices written as one CSV per ticker below stocks/ and etfs/, scanned and cleaned."""
+    return _cleaned_files(spark, folder, defects=False)
+
+
+def _dirty_files(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``csv_roundtrip``, with spoilt records among the others."""
+    return _cleaned_files(spark, folder, defects=True)
+
+
+def _first_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the first three files of each class, in sample mode."""
+    lines = testbed.price_lines(testbed.market_prices(spark, folder))
+    globs = testbed.write_price_files(lines, scratch_path(spark, "price-files"))
+    paths = [path for glob in globs for path in first_files(spark, glob, 3)]
+    return cleaning.clean_prices(scan_prices(spark, paths)).groupBy("symbol", "is_etf").agg(
+        F.count(F.lit(1)).alias("price_rows")
+    )
+
+
+_BUILT: dict[tuple[str, str], str] = {}
+
+
+def _built(spark: SparkSession, folder: str) -> str:
+    """The batch jobs over files of all tickers, run once per session and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _BUILT:
+        base = scratch_path(spark, "jobs")
+        lines = testbed.price_lines(testbed.market_prices(spark, folder))
+        globs = testbed.write_price_files(lines, base)
+        _raw_metadata(spark, folder).write.csv(f"{base}/metadata", header=True)
+        jobs.run_prices(spark, globs, f"{base}/metadata", f"{base}/processed")
+        jobs.run_raw_load(spark, base, f"{base}/processed", f"{base}/metadata")
+        jobs.run_raw_load(spark, base, metadata=f"{base}/metadata", table="meta")
+        jobs.build_models(spark, base, testbed.TEST_EVENTS)
+        _BUILT[key] = base
+    return _BUILT[key]
+
+
+def _job_table(name: str, *columns: str) -> Query:
+    """A whole table as the jobs wrote it."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        table = spark.read.parquet(f"{_built(spark, folder)}/{name}")
+        return _rounded(table.select(*columns) if columns else table)
+
+    return query
+
+
+def _job_checks(spark: SparkSession, folder: str) -> DataFrame:
+    tables = jobs.open_models(spark, _built(spark, folder))
+    return quality.quality_report(tables, (*quality.MODEL_CHECKS, quality.FACT_KEY_CHECK))
+
+
+def _edge_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranking over short and leaping tickers."""
+    fact = prices.fact_prices(
+        prices.stage_prices(
+            with_indicators(
+                testbed.edge_prices(spark, folder),
+                metadata=companies.price_metadata(_raw_metadata(spark, folder)),
+            )
         )
-    scans = (scan_prices(spark, f"{base}/{directory}/*.csv") for directory in ("stocks", "etfs"))
-    clean = cleaning.clean_prices(cleaning.combine(*scans))
-    return clean.groupBy("trade_date", "is_etf").agg(
-        F.count(F.lit(1)).alias("price_rows"),
-        F.sum("volume").alias("total_volume"),
-        F.min("low").alias("lowest"),
-        F.max("high").alias("highest"),
-        F.min("close").alias("min_close"),
-        F.max("adj_close").alias("max_adj_close"),
     )
+    ranking = marts.ticker_ranking(prices.ticker_months(fact), _companies(spark, folder))
+    return ranking.drop("avg_volatility")
+
+
+def _repeated_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys found more than once when every tenth ticker's days come three times."""
+    rows = testbed.market_prices(spark, folder)
+    copies = F.when(F.col("symbol").endswith("0"), 3).otherwise(1)
+    thrice = rows.withColumn("n", F.explode(F.sequence(F.lit(1), copies)))
+    check = quality.unique("t", "symbol", "trade_date", severity=quality.WARN)
+    return quality.quality_report({"t": thrice}, [check])
+
+
+def _ranked_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The best and worst tickers with their places, so that their order is compared."""
+    ranking = _ranking(spark, folder)
+    order = Window.orderBy("place")
+    best = dashboards.best_tickers(ranking).withColumn("place", F.monotonically_increasing_id())
+    return best.withColumn("place", F.row_number().over(order)).select("place", "symbol")
 
 
 def _metadata_file(spark: SparkSession, folder: str) -> DataFrame:
@@ -156,19 +238,45 @@ def _metadata_file(spark: SparkSession, folder: str) -> DataFrame:
     return companies.stage_metadata(scan_metadata(spark, path))
 
 
-def _year_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Enriched prices written by year; whole years read back."""
+def _written_years(spark: SparkSession, folder: str, files_per_year: int | None = None) -> DataFrame:
     path = scratch_path(spark, "by-year")
-    write_by_year(_enriched(spark, folder), path)
-    years = within_years(spark.read.parquet(path), SLICE_START.year, SLICE_END.year)
+    write_by_year(_enriched(spark, folder), path, files_per_year)
+    return spark.read.parquet(path)
+
+
+def _year_table(files_per_year: int | None = None) -> Query:
+    """Enriched prices written by year and read back."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        table = _written_years(spark, folder, files_per_year)
+        return _rounded(table.drop("year").select(*S.STAGED_PRICE_COLUMNS))
+
+    return query
+
+
+def _whole_years(spark: SparkSession, folder: str) -> DataFrame:
+    """Two whole years of the table by year."""
+    years = within_years(_written_years(spark, folder), SLICE_START.year, SLICE_END.year)
     return _rounded(years.drop("year").select(*S.STAGED_PRICE_COLUMNS))
 
 
+def _written_months(spark: SparkSession, folder: str) -> DataFrame:
+    """Fact written by month as the jobs do: by row identity, then clustered as it is."""
+    first, second = scratch_path(spark, "by-month"), scratch_path(spark, "by-month")
+    fact = materialize(_fact(spark, folder), "fact")
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    write_by_month(fact, first, row_id=place)
+    write_by_month(spark.read.parquet(first).drop("trade_month"), second, clustered=True)
+    return spark.read.parquet(second)
+
+
 def _month_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Fact written by month, clustered by symbol; a date range read back."""
-    path = scratch_path(spark, "by-month")
-    write_by_month(materialize(_fact(spark, folder), "fact"), path)
-    days = within_dates(spark.read.parquet(path), SLICE_START, SLICE_END)
+    return _rounded(_written_months(spark, folder).select(*S.FACT_COLUMNS))
+
+
+def _some_months(spark: SparkSession, folder: str) -> DataFrame:
+    """A date range of the table by month."""
+    days = within_dates(_written_months(spark, folder), SLICE_START, SLICE_END)
     return _rounded(days.select(*S.FACT_COLUMNS))
 
 
@@ -244,6 +352,7 @@ def _price_queries() -> dict[str, Query]:
         "volatility_30": _indicator_query("volatility_30"),
         "week52_range": _indicator_query("week52_high", "week52_low"),
         "indicators_long_series": _cut_indicators,
+        "enriched_long_series": _cut_enriched,
         # metadata and star schema
         "meta_staged": _staged_metadata,
         "meta_staged_no_test_issues": lambda spark, folder: companies.stage_metadata(
@@ -266,6 +375,8 @@ def _price_queries() -> dict[str, Query]:
         ),
         "agg_top_tickers": _ranking,
         # dashboard and documented queries
+        "ranking_edges": _edge_ranking,
+        "ranking_places": _ranked_days,
         "top20": lambda spark, folder: dashboards.best_tickers(_ranking(spark, folder)),
         "bottom20": lambda spark, folder: dashboards.worst_tickers(_ranking(spark, folder)),
         "dash_volume": lambda spark, folder: dashboards.volume_trend(_market(spark, folder)),
@@ -294,11 +405,28 @@ def _price_queries() -> dict[str, Query]:
         ),
         "dq_report": _quality,
         "orphan_symbols": _orphans,
+        "repeated_days": _repeated_days,
+        # the batch jobs, from files to checked tables
+        "job_processed": _job_table("processed", *S.STAGED_PRICE_COLUMNS),
+        "job_raw_prices": _job_table(jobs.RAW_PRICES, *S.STAGED_PRICE_COLUMNS),
+        "job_companies": _job_table(jobs.COMPANIES),
+        "job_fact": _job_table(jobs.FACT, *S.FACT_COLUMNS),
+        "job_sector": _job_table(jobs.SEGMENT_MONTHS),
+        "job_market": _job_table(jobs.MARKET_MONTHS),
+        "job_yearly": _job_table(jobs.SEGMENT_YEARS),
+        "job_events": _job_table(jobs.EVENTS),
+        "job_ranking": _job_table(jobs.RANKING),
+        "job_checks": _job_checks,
         # sources and sinks
         "csv_roundtrip": _price_files,
+        "dirty_files": _dirty_files,
+        "first_files": _first_files,
         "metadata_csv": _metadata_file,
-        "parquet_by_year": _year_table,
+        "parquet_by_year": _year_table(),
+        "parquet_files_per_year": _year_table(files_per_year=2),
+        "parquet_pruned_years": _whole_years,
         "parquet_by_month": _month_table,
+        "parquet_pruned_months": _some_months,
         "flat_table_sql": _flat_table,
         "load_report": _load_report,
     }

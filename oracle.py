@@ -144,6 +144,40 @@ RELATIONS = {
         FROM fact
         WHERE market_category <> '' AND daily_return IS NOT NULL
         GROUP BY ALL""",
+    "dirty": """
+        SELECT p.symbol, trade_date, open, CASE WHEN kind <> 9 THEN high END AS high, low, close,
+               adj_close, CASE WHEN kind <> 10 THEN volume END AS volume, is_etf
+        FROM (SELECT *, (date_diff('day', DATE '1990-01-01', trade_date) * 31
+                         + CAST(right(symbol, 9) AS INTEGER)) % 40 AS kind FROM prices) AS p
+        JOIN (VALUES (1), (2)) AS copies(n) ON n = 1 OR kind = 11
+        WHERE kind > 8""",
+    "leaping": """
+        SELECT * EXCLUDE (close, number),
+               CASE WHEN CAST(right(symbol, 9) AS INTEGER) % 5 = 0 AND number % 2 = 0
+                    THEN close * 100 ELSE close END AS close
+        FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY trade_date) AS number
+              FROM prices)
+        WHERE CAST(right(symbol, 9) AS INTEGER) % 3 <> 0 OR number <= 100""",
+    "leap_returns": """
+        SELECT symbol, trade_date, volume, (close - before) / before AS daily_return
+        FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY trade_date) AS before
+              FROM leaping)
+        WHERE before > 0""",
+    "leap_ranking": """
+        SELECT * EXCLUDE (growth),
+               CASE WHEN isfinite(growth) THEN round(growth - 1, 4) END AS approx_total_return
+        FROM (SELECT *, CASE WHEN trading_days * ln(1 + avg_daily_return) < 709
+                             THEN pow(1 + avg_daily_return, trading_days) END AS growth
+              FROM (SELECT f.symbol, d.security_name, d.market_category,
+                           count(DISTINCT f.trade_date) AS trading_days,
+                           round(avg(f.daily_return), 6) AS avg_daily_return,
+                           CAST(sum(f.volume) AS BIGINT) AS total_volume,
+                           min(f.trade_date) AS first_trade_date,
+                           max(f.trade_date) AS last_trade_date
+                    FROM leap_returns AS f JOIN dim AS d ON f.symbol = d.symbol
+                    WHERE NOT d.is_etf
+                    GROUP BY f.symbol, d.security_name, d.market_category)
+              WHERE trading_days >= 252)""",
     "ranking": """
         SELECT symbol, security_name, market_category, trading_days, avg_daily_return,
                avg_volatility, total_volume, first_trade_date, last_trade_date,
@@ -162,6 +196,7 @@ RELATIONS = {
               WHERE trading_days >= 252)""",
 }
 
+# --- fixed values: named periods --------------------------------------------------------
 TEST_EVENTS = """(VALUES
     ('E50', DATE '1950-01-01', DATE '1950-12-31'),
     ('E95', DATE '1995-06-01', DATE '1995-08-31'),
@@ -279,8 +314,8 @@ def _quality() -> str:
     parts.append(
         _check(
             "fact", "symbol, trade_date", "unique", "warn",
-            "SELECT coalesce(sum(k - 1), 0) FROM (SELECT count(*) AS k FROM fact"
-            " GROUP BY symbol, trade_date)",
+            "SELECT count(*) FROM (SELECT symbol FROM fact"
+            " GROUP BY symbol, trade_date HAVING count(*) > 1)",
             "fact_daily_prices",
         )
     )
@@ -375,17 +410,42 @@ ORACLE = {
         "SELECT symbol, count(*) AS rows FROM prices"
         " WHERE symbol NOT IN (SELECT symbol FROM dim) GROUP BY symbol"
     ),
-    "csv_roundtrip": _sql(
-        "SELECT trade_date, is_etf, count(*) AS price_rows,"
-        " CAST(sum(volume) AS BIGINT) AS total_volume, min(low) AS lowest,"
-        " max(high) AS highest, min(close) AS min_close, max(adj_close) AS max_adj_close"
-        " FROM prices GROUP BY trade_date, is_etf"
+    "csv_roundtrip": _sql("SELECT * FROM prices"),
+    "dirty_files": _sql("SELECT * FROM dirty"),
+    "first_files": _sql(
+        "SELECT symbol, is_etf, count(*) AS price_rows FROM prices GROUP BY symbol, is_etf"
+        " QUALIFY row_number() OVER (PARTITION BY is_etf ORDER BY symbol) <= 3"
     ),
     "metadata_csv": _sql("SELECT * FROM staged_meta"),
-    "parquet_by_year": _sql(
+    "parquet_by_year": _sql(f"SELECT {_ENRICHED} FROM enriched"),
+    "parquet_files_per_year": _sql(f"SELECT {_ENRICHED} FROM enriched"),
+    "parquet_pruned_years": _sql(
         f"SELECT {_ENRICHED} FROM enriched WHERE year(trade_date) BETWEEN 1997 AND 1998"
     ),
-    "parquet_by_month": _sql(f"SELECT {_FACT} FROM fact WHERE trade_date BETWEEN {SLICE}"),
+    "parquet_by_month": _sql(f"SELECT {_FACT} FROM fact"),
+    "parquet_pruned_months": _sql(f"SELECT {_FACT} FROM fact WHERE trade_date BETWEEN {SLICE}"),
+    "enriched_long_series": _sql(f"SELECT {_ENRICHED} FROM enriched"),
+    "ranking_edges": _sql("SELECT * FROM leap_ranking"),
+    "ranking_places": _sql(
+        "SELECT CAST(row_number() OVER (ORDER BY avg_daily_return DESC, symbol) AS INTEGER) AS place,"
+        " symbol FROM ranking QUALIFY place <= 20"
+    ),
+    "repeated_days": _sql(
+        _check(
+            "t", "symbol, trade_date", "unique", "warn",
+            "SELECT count(*) FROM prices WHERE symbol LIKE '%0'", "t",
+        )
+    ),
+    "job_processed": _sql(f"SELECT {_ENRICHED} FROM enriched"),
+    "job_raw_prices": _sql(f"SELECT {_ENRICHED} FROM enriched"),
+    "job_companies": _sql("SELECT * FROM dim"),
+    "job_fact": _sql(f"SELECT {_FACT} FROM fact"),
+    "job_sector": _sql("SELECT * FROM sector"),
+    "job_market": _sql("SELECT * FROM market"),
+    "job_yearly": _sql("SELECT * FROM yearly"),
+    "job_events": _sql("SELECT * FROM events_mart"),
+    "job_ranking": _sql("SELECT * FROM ranking"),
+    "job_checks": _sql(_quality()),
     "flat_table_sql": _sql(
         "SELECT market_category, is_etf, count(*) AS companies FROM dim"
         " GROUP BY market_category, is_etf"

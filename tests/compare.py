@@ -71,7 +71,7 @@ if __name__ == "__main__":
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(folder)
-    for name in sys.argv[2:] or entry.queries():
+    for name in sys.argv[2:] or entry.oracle_sql():
         start = time.time()
         rows, found = differences(spark, connection, folder, name)
         print(f"{name:30s} {rows:8d} {time.time() - start:6.1f}s", "OK" if not found else found,

@@ -15,13 +15,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.operators import companies, quality
-from quotemill.operators.indicators import with_indicators
+from quotemill.operators import quality
 from quotemill.plans import jobs
-from quotemill.session import scratch_path, size_shuffles
-from quotemill.sinks.tables import write_by_year
+from quotemill.session import scratch_path
 from quotemill.sources import testbed
-from quotemill.sources.tables import stored_bytes
 
 
 def copied(df, column: str, copies: int):
@@ -44,8 +41,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     base = scratch_path(spark, "scale")
-    prices = testbed.market_prices(spark, folder)
-    copied(prices, "symbol", copies).write.parquet(f"{base}/prices")
+    prices = copied(testbed.market_prices(spark, folder), "symbol", copies)
     unique = testbed.market_metadata(spark, folder).where(~F.col("Security Name").endswith(" Z"))
     copied(unique, "Symbol", copies).write.csv(f"{base}/meta", header=True)
 
@@ -53,16 +49,11 @@ def main() -> None:
         start = time.time()
         result = work()
         print(f"{name:28s} {time.time() - start:7.1f}s  {result}", flush=True)
+        return result
 
-    rows = spark.read.parquet(f"{base}/prices")
-    size_shuffles(spark, stored_bytes(spark, f"{base}/prices") * jobs.PARQUET_EXPANSION)
-
-    def processed():
-        metadata = companies.price_metadata(jobs.scan_metadata(spark, f"{base}/meta"))
-        enriched = companies.enrich(with_indicators(rows), metadata)
-        return write_by_year(enriched, f"{base}/processed").rows
-
-    step("indicators, join, write", processed)
+    globs = step("price files", lambda: testbed.write_price_files(testbed.price_lines(prices), base))
+    step("price job", lambda: jobs.run_prices(
+        spark, globs, f"{base}/meta", f"{base}/processed").written.rows)
     step("raw load", lambda: jobs.run_raw_load(
         spark, f"{base}/warehouse", f"{base}/processed", f"{base}/meta")["raw_daily_prices"].rows)
     step("star schema and marts", lambda: len(

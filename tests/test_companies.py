@@ -86,3 +86,15 @@ def test_unlisted_prices_stay_with_nulls(metadata, price_rows):
     assert found["X"].market_category == "NASDAQ Global Select Market"
     assert found["X"].etf_flag == "N"
     assert found["gone"].market_category is None and found["gone"].security_name is None
+
+
+def test_staging_strips_white_space_of_any_kind_and_prices_blanks_only(spark):
+    names = [
+        "Symbol", "Security Name", "Listing Exchange", "Market Category", "Financial Status", "CQS Symbol",
+        "NASDAQ Symbol", "ETF", "Nasdaq Traded", "Test Issue", "NextShares", "Round Lot Size",
+    ]
+    row = ["\t AAA\u00a0", "\u2003Alpha x\n", "Q", "Q\t", "N", "A", "A", "N", "Y", "N", "N", "100"]
+    raw = spark.createDataFrame([row], ", ".join(f"`{n}` string" for n in names))
+    staged = stage_metadata(raw).first()
+    assert (staged.symbol, staged.security_name, staged.market_category_code) == ("AAA", "Alpha x", "Q")
+    assert price_metadata(raw).first().symbol == "\t AAA\u00a0"

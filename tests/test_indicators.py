@@ -94,10 +94,22 @@ def test_long_series_are_those_above_the_limit(two_series):
     assert long_series(prices, 620).isEmpty()
 
 
-def test_named_long_series_need_no_count(two_series, spark):
+def test_only_candidates_are_counted_and_cut(two_series, spark):
     series, prices = two_series
     listed = spark.createDataFrame([("B",), ("not there",)], "symbol string")
     assert_matches(with_indicators(prices, 100, listed), series)
+    assert_matches(with_indicators(prices, 100, listed.where("false")), series)
+
+
+def test_signed_zeros_and_nan_survive_the_cut(price_rows):
+    day = dt.date(2001, 1, 1)
+    rows = [("A", day + dt.timedelta(days=i), 5.0 + i % 3, (-0.0, 0.0, float("nan"), None, 1.5)[i % 5], -0.0 if i % 2 else 0.0) for i in range(120)]
+    rows += [("A", day, 5.0, -0.0, -0.0)] * 3
+    prices = price_rows(rows)
+    text = [f"cast({c} AS string) AS {c}" for c in ("symbol", "trade_date", "high", "low", "week52_low", "week52_high")]
+    whole, cut = (with_indicators(prices, n).selectExpr(text) for n in (1000, 30))
+    assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
+    assert whole.where("high = '-0.0'").count() > 20
 
 
 def test_copies_and_repeated_dates_survive_the_cut(price_rows):

@@ -8,7 +8,7 @@ import pytest
 from quotemill import schemas as S
 from quotemill.operators.quality import QualityError
 from quotemill.plans import jobs
-from quotemill.session import get_session, shared_folder, size_shuffles
+from quotemill.session import get_session, scratch_path, shared_folder, sized_shuffles
 
 META_HEADER = (
     "Nasdaq Traded,Symbol,Security Name,Listing Exchange,Market Category,ETF,Round Lot Size,"
@@ -134,24 +134,35 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
 
 
-def test_session_settings_of_the_caller_win(spark):
+def test_scratch_lies_in_the_application_folder_or_the_callers(spark):
+    assert f"quotemill-{spark.sparkContext.applicationId}/x-" in scratch_path(spark, "x")
+    assert scratch_path(spark, "x", "/mine").startswith("/mine/x-")
+
+
+def test_settings_of_the_caller_win(spark):
     session = get_session(conf={"spark.sql.session.timeZone": "Europe/Paris"})
     try:
         assert session.conf.get("spark.sql.session.timeZone") == "Europe/Paris"
-        assert size_shuffles(session, 10**15) is None  # the submitter chose a number
-        assert session.conf.get("spark.sql.shuffle.partitions") == "8"
+        session.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert get_session().conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+        session.conf.set("spark.sql.shuffle.partitions", 17)
+        with sized_shuffles(session, 10**15) as chosen:
+            assert chosen is None and session.conf.get("spark.sql.shuffle.partitions") == "17"
     finally:
         session.conf.set("spark.sql.session.timeZone", "UTC")
+        session.conf.set("spark.sql.shuffle.partitions", 8)
         session.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
-def test_shuffles_follow_the_input(spark, monkeypatch):
+def test_shuffles_follow_the_input_and_the_session_is_restored(spark, monkeypatch):
     monkeypatch.setattr("quotemill.session._chosen", lambda *_: False)
-    try:
-        sizes = [size_shuffles(spark, bytes_) for bytes_ in (0, 10**12, 10**14)]
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-    assert sizes == [200, 3726, 50_000]
+    key, sizes = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", []
+    for bytes_ in (0, 10**12, 10**14):
+        with sized_shuffles(spark, bytes_) as partitions:
+            assert spark.conf.get(key) == str(partitions)
+            sizes.append(partitions)
+        assert key not in spark.conf.getAll
+    assert sizes == [8, 3726, 372_530]
 
 
 def test_command_line(landed):

@@ -105,24 +105,24 @@ def test_marts_shuffle_no_more_than_their_groups(month_table):
         assert plan.count("partial_sum") >= 1
 
 
-def test_event_join_is_an_equi_join_on_pruned_months(month_table):
-    plan = static_plan(marts.market_events(month_table, testbed.TEST_EVENTS))
-    assert "BroadcastHashJoin [month#" in plan
-    assert not any(keys.startswith("month#") for keys in exchanges(plan))
+@pytest.mark.parametrize("threshold, joined", [("10485760", "BroadcastHashJoin"), ("-1", "SortMergeJoin")])
+def test_event_join_is_an_equi_join_on_the_day(spark, month_table, threshold, joined):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=threshold):
+        plan = static_plan(marts.market_events(month_table, testbed.TEST_EVENTS))
+    assert f"{joined} [trade_date#" in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert re.search(r"PartitionFilters: \[.*trade_month", plan)
     assert re.search(r"PushedFilters: \[.*trade_date", plan)
 
 
-def test_too_many_events_are_not_broadcast(spark, month_table, monkeypatch):
-    monkeypatch.setattr(marts, "_BROADCAST_EVENT_MONTHS", 10)
-    shuffled = marts.market_events(month_table, testbed.TEST_EVENTS)
-    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
-        assert "SortMergeJoin [month#" in static_plan(shuffled)
-    monkeypatch.undo()
-    assert sorted(shuffled.collect()) == sorted(
-        marts.market_events(month_table, testbed.TEST_EVENTS).collect()
-    )
+def test_ranges_that_meet_are_one(month_table):
+    import datetime as dt
+
+    days = [dt.date(1997, 1, 1) + dt.timedelta(days=i) for i in range(200)]
+    events = [(f"e{i}", day, day) for i, day in enumerate(days)]
+    plan = static_plan(marts.market_events(month_table, events))
+    assert plan.count("trade_date#") < 60
+    assert marts.market_events(month_table, events).count() > 100
 
 
 def test_star_slice_prunes_and_reads_few_columns(spark, month_table):
@@ -143,10 +143,8 @@ def test_star_slice_prunes_and_reads_few_columns(spark, month_table):
 
 
 def test_no_query_uses_python_or_nested_loops(spark):
-    lazily = [name for name in entry.queries() if name not in (
-        "dq_report", "csv_roundtrip", "metadata_csv", "parquet_by_year", "parquet_by_month",
-        "flat_table_sql", "load_report",
-    )]
+    writing = re.compile("dq_report|csv_|dirty_|first_files|metadata_csv|parquet_|flat_table|load_|job_")
+    lazily = [name for name in entry._price_queries() if not writing.match(name)]
     for name in lazily:
         plan = static_plan(entry.queries()[name](spark, TESTDATA))
         for word in ("Python", "NestedLoop", "Cartesian", "ArrowEval"):
@@ -163,3 +161,23 @@ def test_cut_series_never_put_a_symbol_into_one_task(spark, written):
     digits = {c: f"round({c}, 9) AS {c}" for c in entry.S.INDICATOR_COLUMNS}
     a, b = (df.selectExpr(*(digits.get(c, c) for c in whole.columns)) for df in (whole, cut))
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_cut_series_are_enriched_before_the_union(spark, written):
+    """Nothing is shuffled once short and long series are together, and nothing is forced."""
+    metadata = price_metadata(written["metadata"])
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = static_plan(with_indicators(written["prices"], 540, metadata=metadata))
+    assert "Union" in plan and "Broadcast" not in plan
+    assert not re.search(r"(Exchange|Join)", plan[: plan.index("Union")])
+
+
+def test_file_listing_runs_in_few_tasks(spark, tmp_path):
+    from quotemill.sources.tables import listing
+
+    for i in range(40):
+        (tmp_path / f"{i}.csv").write_text("x" * 2000)
+    with settings(spark, spark__sql__files__maxPartitionBytes="1k", spark__sql__files__openCostInBytes="1"):
+        files = listing(spark, str(tmp_path))
+        assert files.count() == 40
+        assert files.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism

@@ -33,10 +33,11 @@ def test_each_rule_passes_and_fails(tables):
     assert report(tables, Q.relationship("p", "symbol", "p", "symbol")) == [(0, "pass")]
 
 
-def test_daily_key_counts_surplus_rows(tables):
-    assert report(tables, Q.unique("t", "symbol", "trade_date")) == [(3, "fail")]
+@pytest.mark.parametrize("key", [("symbol", "trade_date"), ("trade_date", "symbol")])
+def test_keys_of_two_columns_count_repeated_keys(tables, key):
+    assert report(tables, Q.unique("t", *key)) == [(2, "fail")]
     first_rows = {"t": tables["t"].dropDuplicates(["symbol", "trade_date"])}
-    assert report(first_rows, Q.unique("t", "symbol", "trade_date")) == [(0, "pass")]
+    assert report(first_rows, Q.unique("t", *key)) == [(0, "pass")]
     assert report(tables, Q.unique("t", "symbol", "category")) == [(1, "fail")]
 
 

@@ -91,3 +91,12 @@ def test_failed_writes_raise(prices, tmp_path):
     broken = prices.selectExpr("*", "raise_error('no') AS boom")
     with pytest.raises(Exception, match="no"):
         write_flat(broken, str(tmp_path / "t"))
+
+
+def test_failed_writes_leave_the_old_table(spark, prices, tmp_path):
+    path = str(tmp_path / "t")
+    write_by_year(prices, path)
+    with pytest.raises(Exception, match="no"):
+        write_by_year(prices.selectExpr("* EXCEPT (volume)", "raise_error('no') AS volume"), path)
+    assert same(prices, scan_processed(spark, path))
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]  # and nothing beside it

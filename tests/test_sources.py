@@ -6,10 +6,9 @@ from quotemill.operators.cleaning import clean_prices, combine
 from quotemill.sources.price_files import (
     first_files,
     long_series_candidates,
-    scan_price_sample,
     scan_prices,
 )
-from quotemill.sources.tables import scan_metadata
+from quotemill.sources.tables import listing, scan_metadata
 
 HEADER = "Date,Open,High,Low,Close,Adj Close,Volume\n"
 GOOD = "2020-01-02,1,2,0.5,1.5,1.5,100\n"
@@ -86,9 +85,8 @@ def test_sample_takes_the_first_files_by_name(spark, tmp_path):
     for name in ("C.csv", "A.csv", "B [x].csv"):
         write(tmp_path / "stocks", name, GOOD)
     glob = f"{tmp_path}/stocks/*.csv"
-    sample = scan_price_sample(spark, glob, 2)
+    sample = scan_prices(spark, first_files(spark, glob, 2))
     assert sorted(row.symbol for row in sample.collect()) == ["A", "B [x]"]
-    assert scan_price_sample(spark, glob, 0).count() == 3
     assert len(first_files(spark, glob, 5)) == 3
 
 
@@ -101,7 +99,7 @@ def test_sample_of_an_empty_glob_is_an_error(spark, tmp_path):
 def test_long_series_are_recognised_by_file_length(spark, tmp_path):
     write(tmp_path / "stocks", "LONG+1.csv", *[GOOD] * 50)
     write(tmp_path / "stocks", "SHORT.csv", GOOD)
-    found = long_series_candidates(spark, f"{tmp_path}/stocks/*.csv", 40)
+    found = long_series_candidates(listing(spark, f"{tmp_path}/stocks/*.csv"), 40)
     assert [row.symbol for row in found.collect()] == ["LONG+1"]
 
 
