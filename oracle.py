@@ -153,7 +153,7 @@ RELATIONS = {
         WHERE kind > 8""",
     "leaping": """
         SELECT * EXCLUDE (close, number),
-               CASE WHEN CAST(right(symbol, 9) AS INTEGER) % 5 = 0 AND number % 2 = 0
+               CASE WHEN CAST(right(symbol, 9) AS INTEGER) % 4 = 2 AND number % 2 = 0
                     THEN close * 100 ELSE close END AS close
         FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY trade_date) AS number
               FROM prices)

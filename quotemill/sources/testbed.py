@@ -199,7 +199,7 @@ def write_price_files(lines: DataFrame, folder: str) -> list[str]:
 
 
 def edge_prices(spark: SparkSession, folder: str) -> DataFrame:
-    """Prices that try the ranking: every third ticker is short, every fifth leaps daily.
+    """Prices that try the ranking: every third ticker is short, some of the others leap daily.
 
     A short ticker has its first 100 days only. The close of a leaping one is a
     hundredfold every other day, so its mean return to the power of its days leaves the
@@ -208,6 +208,6 @@ def edge_prices(spark: SparkSession, folder: str) -> DataFrame:
     prices = market_prices(spark, folder)
     key = _key(F.col("symbol"))
     number = F.row_number().over(Window.partitionBy("symbol").orderBy("trade_date"))
-    leap = (key % 5 == 0) & (number % 2 == 0)
+    leap = (key % 4 == 2) & (number % 2 == 0)
     rows = prices.withColumns({"number": number, "close": F.when(leap, F.col("close") * 100).otherwise(F.col("close"))})
     return rows.where((key % 3 != 0) | (F.col("number") <= 100)).drop("number")
