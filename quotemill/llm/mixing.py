@@ -21,6 +21,7 @@ SHARE = 1.5
 MOST = 2.0
 BLOCK_WORDS = 512
 SLOTS_PER_SHARD = 4096
+_SLOTS_PER_TASK = 32_768
 #: Rounds of the permutation; each decides for every number whether to trade places.
 _ROUNDS = 16
 #: Documents of one source whose offsets are summed in one task, on average.
@@ -162,11 +163,13 @@ def mix(
     )
     all_slots = passes.agg(F.sum("slots")).first()[0] or 0
     shards = max(1, -(-all_slots // SLOTS_PER_SHARD))
+    # Few rows become many here, so the number of tasks follows what they become.
+    tasks = max(1, -(-all_slots // _SLOTS_PER_TASK))
     # The draw: one shard for each slot, counted; then the counts are numbered through.
     runs = passes.select(
         "sid", "pass", "blocks", "take", "slots",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("slots") - 1) / SLOTS_PER_SHARD))).alias("run"),
-    ).repartition(F.col("sid"), F.col("pass"), F.col("run"))
+    ).repartition(tasks, "sid", "pass", "run")
     draws = (
         runs.select(
             "sid", "pass", "blocks", "take",
@@ -184,6 +187,7 @@ def mix(
     through = Window.partitionBy("sid", "pass").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     slots = (
         draws.withColumn("upto", F.sum("count").over(through))
+        .repartition(tasks, "sid", "pass", "shard")
         .select("sid", "pass", "blocks", "take", "shard", F.explode(F.sequence(F.col("upto") - F.col("count"), F.col("upto") - 1)).alias("slot"))
         # The stream's last, shorter block keeps its place after all others.
         .withColumn(
