@@ -75,3 +75,24 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, *, slack: float = SLAC
         .withColumn("slot", F.col("_place") - F.col("_first_place"))
         .drop("_place", "_first_place")
     )
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS, *, slack: float = SLACK) -> DataFrame:
+    """Documents with ``size``, ``shard`` and ``slot``, as ``shard_by_bytes`` places them.
+
+    Places are found for digests of the rows, so texts are shuffled once, to meet their
+    places. Equal rows are one text with several places. Columns of ``docs`` by the
+    three names are replaced.
+    """
+    columns = [c for c in docs.columns if c not in ("size", "shard", "slot")]
+    keyed = docs.select(*columns, F.xxhash64(*columns).alias("_key"))
+    digest = keyed.select(
+        "_key",
+        "doc_id",
+        document_size(F.col("text")).alias("size"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("grp"),
+    )
+    places = materialize(
+        shard_by_bytes(digest, shards, slack=slack).select("_key", "size", "shard", "slot"), "document-places"
+    )
+    return keyed.dropDuplicates(["_key"]).join(places, "_key").select(*columns, "size", "shard", "slot")

@@ -31,7 +31,7 @@ _CLEAN_WINDOWS = 12_000
 #: A text is tagged in parts of at most so many characters, each a sequence of its own.
 _PART_CHARS = 200_000
 _WORDS_AT_ONCE = 400_000
-_CHARS_AT_ONCE = 8_000_000
+_CHARS_AT_ONCE = 2_000_000
 _CACHED_WORDS = 300_000
 _SPAN = 0.5
 

@@ -41,3 +41,15 @@ def test_odd_rows(spark, documents):
     assert run(documents([]), 3) == []
     one = run(documents([(7, "x")]), 40)
     assert [(r.doc_id, r.slot) for r in one] == [(7, 0)] and 0 <= one[0].shard < 40
+
+
+def test_documents_meet_their_places(spark, documents):
+    rows = [(i % 200, f"text {i % 150} " * (i % 7)) for i in range(600)] + [(None, None)] * 3
+    docs = documents(rows, extra="grp slot part")
+    got = sharding.shard_documents(docs, 4)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "grp", "part", "size", "shard", "slot"]
+    found = got.collect()
+    assert sorted((r.doc_id, r.text) for r in found if r.doc_id is not None) == sorted(r for r in rows if r[0] is not None)
+    assert len(found) == len(rows)
+    for shard in range(4):
+        assert sorted(r.slot for r in found if r.shard == shard) == list(range(sum(r.shard == shard for r in found)))
