@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quotemill.llm import decontam, edit_counts, html_text, knn, language, mixing, sharding, simhash, toxicity, warc
 from quotemill.llm.common import held_out
+from quotemill.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,4 +123,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
