@@ -70,7 +70,43 @@ LEAKS = """
            CAST(s AS INTEGER) AS item_start, CAST(s + shift AS INTEGER) AS text_start
     FROM best JOIN doc_words USING (text)"""
 
+# One global order, cut at equal parts of all bytes. CRC-32 byte by byte from its table.
+SHARDS = """
+    WITH crc_table AS (
+        SELECT list(v ORDER BY n) AS tab
+        FROM (SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, k:
+                  CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v
+              FROM (SELECT unnest(range(256)) AS n))),
+    sized AS (
+        SELECT doc_id, coalesce(text, '') AS text, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+               CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS grp
+        FROM documents),
+    texts AS (
+        SELECT DISTINCT text, list_transform(string_split(hex(encode(text)), ''),
+                   lambda x: instr('0123456789ABCDEF', x) - 1) AS d
+        FROM sized),
+    bytes AS (SELECT text, list_transform(range(len(d) // 2), lambda i: d[2 * i + 1] * 16 + d[2 * i + 2]) AS bs FROM texts),
+    sums AS (
+        SELECT text, xor(4294967295, list_reduce(list_prepend(4294967295, bs),
+                   lambda c, x: xor(c >> 8, tab[xor(c, x) % 256 + 1]))) AS text_crc32
+        FROM bytes, crc_table),
+    placed AS (
+        SELECT *, sum(size) OVER w - size AS offset_, row_number() OVER w - 1 AS place,
+               sum(size) OVER () / 40 AS target
+        FROM sized
+        WINDOW w AS (ORDER BY grp, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)),
+    groups AS (SELECT grp, min(offset_) AS grp_start, sum(size) AS grp_bytes FROM placed GROUP BY grp),
+    cut AS (
+        SELECT *, CAST(least(39, floor(
+                   CASE WHEN grp_bytes <= target * 0.01 THEN grp_start + grp_bytes / 2
+                        ELSE offset_ + size / 2 END / target)) AS INTEGER) AS shard
+        FROM placed JOIN groups USING (grp))
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+           CAST(place - min(place) OVER (PARTITION BY shard) AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+    FROM cut JOIN sums USING (text)"""
+
 ORACLE = {
+    "op10_byte_shards": SHARDS,
     "op1_voronoi_top10": TOP10,
     "op7_warc_roundtrip": RECORDS,
     "op8_spaced_seed_leaks": LEAKS,

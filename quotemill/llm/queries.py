@@ -94,7 +94,7 @@ def byte_shards(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id",
         sharding.document_size(F.col("text")).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("grp"),
+        sharding.text_group(F.col("text")).alias("grp"),
     )
     return sharding.shard_by_bytes(digest).select(
         "doc_id",

@@ -7,7 +7,7 @@ def run(frame, shards=40, **options):
     sized = frame.select(
         "*",
         sharding.document_size(F.col("text")).alias("size"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("grp"),
+        sharding.text_group(F.col("text")).alias("grp"),
     )
     return sharding.shard_by_bytes(sized, shards, **options).collect()
 
