@@ -153,15 +153,19 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
     members = np.zeros(len(points))
     members[sizes["cell"].to_numpy()] = sizes["rows"]
     low, high = np.full((len(points), len(points)), np.inf), np.full((len(points), len(points)), -np.inf)
-    blocks, chunks = np.zeros(len(points), np.int64), np.zeros(len(points), np.int64)
-    for group, asking in zip(groups, radius["rows"].to_numpy(), strict=True):
+    for group in groups:
         reach = np.sort(radii[group] + across[group, cells] + closest["dist"].to_numpy())
         # One id may be the query's own, hence k + 1.
         bound = (reach[k] if len(reach) > k else np.inf) + slack
         low[group] = across[group] - radii[group] - bound - slack
         high[group] = across[group] + radii[group] + bound + slack
-        blocks[group] = -(-asking // _QUERY_ROWS)
-        chunks[group] = max(1, -(-int(members[low[group] <= high[group]].sum()) // _DATA_ROWS))
+    bundle_of, bundles = _bundled(groups, radius["rows"].to_numpy(), across)
+    # A bundle needs what one of its groups needs.
+    low = np.array([low[own].min(axis=0) for own, _ in bundles])
+    high = np.array([high[own].max(axis=0) for own, _ in bundles])
+    blocks = np.array([-(-rows_ // _QUERY_ROWS) for _, rows_ in bundles])
+    sent = np.array([members[lo <= hi].sum() for lo, hi in zip(low, high, strict=True)])
+    chunks = np.maximum(1, -(-sent.astype(np.int64) // _DATA_ROWS))
     first = np.concatenate(([0], np.cumsum(blocks * chunks)[:-1]))
 
     def hashed(ids: np.ndarray) -> np.ndarray:
@@ -170,8 +174,8 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, group = batch["vec_id"].to_numpy(np.int64), batch["query_cell"].to_numpy(np.int64)
-            block = hashed(ids) % np.maximum(blocks[group], 1)
+            ids, group = batch["vec_id"].to_numpy(np.int64), bundle_of[batch["query_cell"].to_numpy(np.int64)]
+            block = hashed(ids) % blocks[group]
             count = chunks[group]
             at = np.repeat(np.arange(len(ids)), count)
             chunk = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
@@ -183,7 +187,7 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
             ids, cell = batch["vec_id"].to_numpy(np.int64), batch["cell"].to_numpy(np.int64)
             dist, vectors_ = batch["dist"].to_numpy(), batch["v"].to_numpy()
             spread = hashed(ids)
-            for group in groups:
+            for group in range(len(blocks)):
                 needed = np.flatnonzero((dist >= low[group, cell]) & (dist <= high[group, cell]))
                 for block in range(blocks[group]):
                     place = first[group] + block * chunks[group] + spread[needed] % chunks[group]
@@ -229,6 +233,23 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
     )
 
 
+def _bundled(groups: np.ndarray, sizes: np.ndarray, across: np.ndarray) -> tuple[np.ndarray, list]:
+    """Query groups that lie near each other, put together up to one block of queries.
+
+    Data are sent once to a bundle, not once to each of its groups. Returns the bundle
+    of each pivot and, per bundle, its groups and their queries.
+    """
+    bundle_of, bundles = np.zeros(len(across), np.int64), []
+    order = np.argsort(across[groups[0], groups], kind="stable")
+    for group, size in zip(groups[order], sizes[order], strict=True):
+        if not bundles or bundles[-1][1] + size > _QUERY_ROWS:
+            bundles.append(([], 0))
+        own, held = bundles[-1]
+        bundles[-1] = ([*own, group], held + size)
+        bundle_of[group] = len(bundles) - 1
+    return bundle_of, bundles
+
+
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Distances of all rows of ``a`` to the bounded number of rows of ``b``."""
     squares = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * a @ b.T
