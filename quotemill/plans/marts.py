@@ -18,7 +18,6 @@ from quotemill import schemas as S
 from quotemill.functions.columns import (
     compounded,
     compounded_or_null,
-    month_of,
     price_digits,
     return_digits,
     year_of,
