@@ -75,8 +75,8 @@ LEAST_PAGES = 2
 #: A run of text in this part of at least so many different pages belongs to the template.
 CONSTANT = 0.9
 CONSTANT_PAGES = 5
-#: Part of the open text that an element must hold to be the main slot.
-MAIN_SHARE = 0.5
+#: Part of the open text that a marked element must hold to be the main slot.
+MARKED_SHARE = 0.5
 
 
 @dataclass
@@ -210,6 +210,7 @@ def page_tokens(page: str) -> dict[int, tuple[int, int, int, bool, bool, bool]]:
             entry[5] &= block.beside
         run = tokens.setdefault(_hash(block.path[-1], "text", block.text), [block.path[-1], 0, 0, len(block.path), block.article, block.beside, True])
         run[1] += 1
+        run[2] += 0 if block.beside else len(block.text)
     return {token: tuple(entry) for token, entry in tokens.items()}
 
 
@@ -224,6 +225,26 @@ def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
+def _innermost(part: pd.DataFrame) -> pd.DataFrame:
+    """The innermost element of a host's template that leaves no open text outside it.
+
+    Open is what stands neither in elements beside the article nor in constant runs.
+    """
+    elements = part[~part["run"]]
+    parent = dict(zip(elements["token"], elements["parent"], strict=True))
+    left = dict(zip(elements["token"], elements["chars"], strict=True))
+    for run in part[part["run"]].itertuples():
+        above = run.parent
+        while above in left:
+            left[above] -= run.chars
+            above = parent[above]
+    root = elements.loc[elements["depth"] == 0, "token"].iloc[0]
+    full = elements[elements["valid"] & ~elements["beside"] & (elements["token"].map(left) == left[root])]
+    # With no open text at all, the page as a whole is the slot.
+    slot = full.sort_values(["depth", "token"])["token"].iloc[-1] if left[root] and len(full) else root
+    return pd.DataFrame({"host": [part["host"].iloc[0]], "inner": [slot]})
+
+
 def deduce_templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Templates of hosts: (tokens with their class, one row per host with its main slot).
 
@@ -281,25 +302,31 @@ def deduce_templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         .where("lo IS NULL OR lo = hi")
         .select("host", "class", F.col("lo").alias("around"))
     )
-    template = nested.join(valid, ["host", "class"]).withColumn("class_parent", F.col("around")).drop("around")
-    template = materialize(template, "templates")
-    article = F.col("article") & ~F.col("beside") & ~F.col("run")
-    fitting = template.where("NOT run AND NOT beside").where(F.col("chars") >= F.col("all_chars") * MAIN_SHARE)
-    # The outermost element of an article, or else the innermost that holds most open text.
-    main = fitting.groupBy("host").agg(
-        F.min(F.when(article, F.struct("depth", F.col("chars") * -1, "token"))).alias("marked"),
-        F.max(F.struct("depth", "chars", "token")).alias("inner"),
+    common = nested.join(valid.withColumn("valid", F.lit(True)), ["host", "class"], "left")
+    common = common.withColumn("class_parent", F.col("around")).withColumn("valid", F.coalesce("valid", F.lit(False)))
+    common = materialize(common.drop("around"), "templates")
+    template = common.where("valid").drop("valid")
+    steady = (
+        F.col("run") & F.col("valid") & (F.col("pages") >= CONSTANT_PAGES) & (F.col("pages") >= F.col("all_pages") * CONSTANT)
+    ) & ~F.col("article")
+    # The outermost element of an article, or else the innermost that leaves no open text out.
+    marked = (
+        template.where("article AND NOT beside AND NOT run").where(F.col("chars") >= F.col("all_chars") * MARKED_SHARE)
+        .groupBy("host")
+        .agg(F.min(F.struct("depth", F.col("chars") * -1, "token")).alias("marked"))
     )
-    constant = (
-        template.where((F.col("run")) & (F.col("pages") >= CONSTANT_PAGES) & (F.col("pages") >= F.col("all_pages") * CONSTANT))
-        .where(~F.col("article"))
+    inner = (
+        common.where(~F.col("run") | steady)
+        .select("host", "token", "parent", "chars", "depth", "beside", "run", "valid")
         .groupBy("host")
-        .agg(F.array_sort(F.collect_list("token")).alias("constant"))
+        .applyInPandas(_innermost, "host string, inner bigint")
+    )
+    constant = common.where(steady).groupBy("host").agg(F.array_sort(F.collect_list("token")).alias("constant"))
+    slots = (
+        inner.join(marked, "host", "left")
+        .select("host", F.coalesce("marked.token", "inner").alias("slot"))
+        .join(constant, "host", "left")
     )
-    slots = main.select(
-        "host",
-        F.coalesce("marked.token", "inner.token").alias("slot"),
-    ).join(constant, "host", "left")
     return template, slots
 
 
