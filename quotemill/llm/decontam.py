@@ -9,6 +9,8 @@ words were put in place of others.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from quotemill.session import materialize
 MASKS = ("11101011", "11001111")
 WINDOW = 13
 SIMILARITY = 0.8
+#: Items below this many words are a copy only word for word.
+SHORTEST = len(MASKS[0])
 #: Test hashes are sent to all tasks up to so many (16 bytes of content each).
 BROADCAST_SEEDS = 2_000_000
 _GAP = r"[^\p{L}\p{N}]+"
@@ -45,8 +49,46 @@ def _seeds(hashes: Column) -> Column:
     return F.concat(*[sown(number, mask) for number, mask in enumerate(MASKS)])
 
 
+def _spans(size: int, similarity: float) -> list[tuple[int, int]]:
+    """(start, length) of spans of an item, one of which at least every similar stretch keeps whole."""
+    parts = 1 if size < SHORTEST else size - math.ceil(size * similarity) + 1
+    cuts = [size * part // parts for part in range(parts + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _span_seed(hashes: Column, at: Column, length: int) -> Column:
+    return F.xxhash64(F.lit(-length), *[F.get(hashes, at + place) for place in range(length)])
+
+
+def _short_seeds(hashes: Column, sizes: list[int], similarity: float) -> Column:
+    """(position, hash) of the spans of an item whose number of words is one of ``sizes``."""
+    out = F.array().cast("array<struct<at:int,seed:bigint>>")
+    for size in sizes:
+        spans = [
+            F.struct(F.lit(at).alias("at"), _span_seed(hashes, F.lit(at), length).alias("seed"))
+            for at, length in _spans(size, similarity)
+        ]
+        out = F.when(F.size(hashes) == size, F.array(*spans)).otherwise(out)
+    return out
+
+
+def _stretches(hashes: Column, lengths: list[int]) -> Column:
+    """(position, hash) of all stretches of the given lengths in a text."""
+    def each(length: int) -> Column:
+        last = F.size(hashes) - length
+        positions = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(positions, lambda at: F.struct(at.alias("at"), _span_seed(hashes, at, length).alias("seed")))
+
+    return F.concat(*[each(length) for length in lengths])
+
+
 def overlaps(
-    docs: DataFrame, items: DataFrame, *, window: int = WINDOW, similarity: float = SIMILARITY
+    docs: DataFrame,
+    items: DataFrame,
+    *,
+    window: int = WINDOW,
+    similarity: float = SIMILARITY,
+    short_items: bool = False,
 ) -> DataFrame:
     """Texts of ``docs`` that share a stretch with a test item: one row per text and item.
 
@@ -55,22 +97,35 @@ def overlaps(
     most words that agree within one window, 13 words or the whole of a shorter item),
     ``item_words``, and ``item_start`` and ``text_start``, the words at which that window
     begins. A window counts if at least ``similarity`` of its words agree in place; an
-    item shorter than a window has to be there word for word, as masks can't promise to
-    meet it otherwise.
+    item shorter than a window has to be there word for word, which is the rule of op8's SQL.
+
+    With ``short_items`` the share holds for shorter items too: one of 8 words or more counts
+    where at least ``similarity`` of its words agree, found by spans of which a similar stretch
+    keeps one whole, and one of 1 to 7 words where all do. Spans are only made for the lengths
+    that occur among the items.
 
-    Equal texts are one text. Null texts and ids of items take no part, nor do items of
-    fewer words than a mask, which are too short to tell a copy from chance. Repeated
+    Equal texts are one text. Null texts and ids of items take no part, nor, without
+    ``short_items``, do items of fewer words than a mask. Repeated
     items are one. Empty tables give no rows.
     """
     spark = docs.sparkSession
     test = (
         items.where("item_id IS NOT NULL AND text IS NOT NULL")
         .select("item_id", word_hashes(F.col("text")).alias("item_hashes"))
-        .where(F.size("item_hashes") >= len(MASKS[0]))
+        .where(F.size("item_hashes") >= (1 if short_items else SHORTEST))
         .distinct()
     )
     test = materialize(test, "test-items")
-    sown = test.select("item_id", F.explode(_seeds(F.col("item_hashes"))).alias("s")).select(
+    sizes = []
+    if short_items:
+        brief = test.select(F.size("item_hashes").alias("n")).where(F.col("n") < window).distinct().collect()
+        sizes = sorted(row.n for row in brief)
+    lengths = sorted({length for size in sizes for _, length in _spans(size, similarity)})
+    item_seeds, text_seeds = _seeds(F.col("item_hashes")), _seeds(F.col("hashes"))
+    if sizes:
+        item_seeds = F.concat(item_seeds, _short_seeds(F.col("item_hashes"), sizes, similarity))
+        text_seeds = F.concat(text_seeds, _stretches(F.col("hashes"), lengths))
+    sown = test.select("item_id", F.explode(item_seeds).alias("s")).select(
         "item_id", F.col("s.at").alias("item_at"), "s.seed"
     )
     sown = materialize(sown.distinct(), "test-seeds")
@@ -78,7 +133,7 @@ def overlaps(
     # The hashes are made once, then walked by both masks.
     sought = (
         keyed.select("text_key", word_hashes(F.col("text")).alias("hashes"))
-        .select("text_key", F.explode(_seeds(F.col("hashes"))).alias("s"))
+        .select("text_key", F.explode(text_seeds).alias("s"))
         .select("text_key", F.col("s.at").alias("at"), "s.seed")
     )
     small = sown.count() <= BROADCAST_SEEDS
@@ -119,8 +174,9 @@ def overlaps(
             (-at).alias("back"),
         ),
     )
+    whole = SHORTEST if short_items else window
     best = lined.withColumn("best", F.array_max(windows)).where(
-        F.col("best.matched") >= F.when(F.col("width") < window, F.col("width")).otherwise(F.ceil(F.col("width") * similarity))
+        F.col("best.matched") >= F.when(F.col("width") < whole, F.col("width")).otherwise(F.ceil(F.col("width") * similarity))
     )
     row = F.struct(
         F.col("best.matched").alias("matched"),

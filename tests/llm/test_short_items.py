@@ -1,0 +1,48 @@
+import itertools
+import math
+import random
+
+import corpus_pipeline
+
+from quotemill.llm import decontam
+
+
+def brute(docs, items):
+    found = set()
+    for (i, text), (item, passage) in itertools.product(docs, items):
+        a, b = text.split(), passage.split()
+        width = min(13, len(b))
+        need = width if width < 8 else math.ceil(width * 0.8)
+        for shift in range(width - len(b), len(a) - width + 1):
+            same = [int(a[j + shift] == b[j]) for j in range(len(b)) if 0 <= j + shift < len(a)]
+            if any(sum(same[at : at + width]) >= need for at in range(len(same) - width + 1)):
+                found.add((i, item))
+    return found
+
+
+def test_spans_meet_every_similar_stretch():
+    for size in range(1, 13):
+        lost = 0 if size < 8 else size - math.ceil(size * 0.8)
+        spans = [set(range(at, at + length)) for at, length in decontam._spans(size, 0.8)]
+        assert set().union(*spans) == set(range(size))
+        assert all(any(not s & set(gone) for s in spans) for gone in itertools.combinations(range(size), lost))
+
+
+def test_short_items_equal_brute_force(spark, documents, tmp_path):
+    shaker = random.Random(11)
+    some = lambda n: [f"w{shaker.randrange(300)}" for _ in range(n)]
+    items = [(n, " ".join(some(1 + n % 16))) for n in range(64)]
+    docs = []
+    for n in range(200):
+        part = shaker.choice(items)[1].split()
+        for _ in range(n % 4):
+            part[shaker.randrange(len(part))] = "changed"
+        docs.append((n, " ".join(some(shaker.randrange(20)) + part + some(shaker.randrange(20)))))
+    want = brute(docs, items)
+    assert any(len(items[k][1].split()) == 8 and items[k][1] not in docs[i][1] for i, k in want)
+    test = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontam.contaminated(documents(docs), test, short_items=True).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    test.write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = corpus_pipeline.benchmark_leaks(spark, documents(docs), str(tmp_path)).collect()
+    assert {r.doc_id for r in kept} == {i for i, _ in docs} - {i for i, _ in want}
