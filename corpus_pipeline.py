@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotemill.llm import decontam, jaccard, mixing, sharding, toxicity
+from quotemill.llm import decontam, mixing, sharding, simhash, toxicity
 from quotemill.session import materialize
 
 
@@ -21,9 +21,10 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies stays, that with the smallest id.
 
-    Near copies have a similarity of at least 0.8 in five-word shingles.
+    Near copies are what the operator's contract links: fingerprints of three-word
+    shingles that differ in at most two bits.
     """
-    return jaccard.drop_near_copies(docs)
+    return simhash.drop_near_copies(docs, width=3, max_bits=2)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
