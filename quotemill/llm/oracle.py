@@ -105,7 +105,45 @@ SHARDS = """
            CAST(place - min(place) OVER (PARTITION BY shard) AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
     FROM cut JOIN sums USING (text)"""
 
+
+
+def _lloyd() -> str:
+    """Three rounds from hashed starts, every distance measured; a step of common table expressions a round."""
+    start = """
+    WITH vectors AS MATERIALIZED (
+        SELECT row_number() OVER () AS row_, vec_id, v
+        FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+              FROM embeddings
+              WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+    components AS MATERIALIZED (SELECT row_, unnest(range(64)) AS place, unnest(v) AS x FROM vectors),
+    c0 AS MATERIALIZED (
+        SELECT CAST(row_number() OVER w - 1 AS INTEGER) AS cluster, v FROM vectors
+        WINDOW w AS (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) QUALIFY row_number() OVER w <= 16)"""
+    assign = """,
+    a{n} AS MATERIALIZED (
+        SELECT row_, vec_id, cluster, distance
+        FROM (SELECT row_, vec_id, cluster, CAST(list_sum(list_transform(list_zip(a.v, c.v),
+                         lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance
+              FROM vectors AS a, c{n} AS c)
+        QUALIFY row_number() OVER (PARTITION BY row_ ORDER BY distance, cluster) = 1)"""
+    move = """,
+    s{m} AS MATERIALIZED (
+        SELECT cluster, list((total - ((total % n) + n) % n) // n ORDER BY place) AS v
+        FROM (SELECT cluster, place, CAST(sum(x) AS BIGINT) AS total, count(*) AS n
+              FROM components JOIN a{n} USING (row_) GROUP BY cluster, place)
+        GROUP BY cluster),
+    c{m} AS MATERIALIZED (SELECT cluster, coalesce(s{m}.v, c{n}.v) AS v FROM c{n} LEFT JOIN s{m} USING (cluster))"""
+    rounds = "".join(assign.format(n=n) + move.format(n=n, m=n + 1) for n in range(3))
+    return start + rounds + assign.format(n=3) + """
+    SELECT vec_id, cluster, distance,
+           CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+           CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+           sha256(array_to_string(v, ',')) AS centroid_sha256
+    FROM a3 JOIN c3 USING (cluster)"""
+
+
 ORACLE = {
+    "op11_orchard_clusters": _lloyd(),
     "op10_byte_shards": SHARDS,
     "op1_voronoi_top10": TOP10,
     "op7_warc_roundtrip": RECORDS,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import decontam, edit_counts, html_text, knn, language, mixing, sharding, simhash, toxicity, warc
+from quotemill.llm import centroids, decontam, edit_counts, html_text, knn, language, mixing, sharding, simhash, toxicity, warc
 from quotemill.llm.common import held_out
 from quotemill.llm.oracle import ORACLE
 
@@ -107,6 +107,18 @@ def byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def orchard_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = centroids.scaled_vectors(_table(spark, folder, "embeddings"))
+    return centroids.cluster(vectors).select(
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        F.sha2(F.col("centroid").cast("binary"), 256).alias("centroid_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_voronoi_top10": voronoi_top10,
@@ -119,6 +131,7 @@ def queries() -> dict[str, Query]:
         "op6_simhash_components": simhash_components,
         "op9_mixed_sources": mixed_sources,
         "op10_byte_shards": byte_shards,
+        "op11_orchard_clusters": orchard_clusters,
     }
 
 

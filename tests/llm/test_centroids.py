@@ -1,0 +1,97 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from conftest import TESTDATA
+
+from quotemill.llm import centroids
+from quotemill.llm.centroids import LONGEST, Orchard
+
+VECTORS = "vec_id bigint, embedding array<double>"
+
+
+def plain_nearest(points, vector):
+    return min((sum((a - b) ** 2 for a, b in zip(vector, point, strict=True)), n) for n, point in enumerate(points))
+
+
+def plain_clusters(rows, count, rounds):
+    """Lloyd's rounds that measure every distance, with Python's integers."""
+    def hashed(row):
+        return (row[0] is None, hashlib.sha256(f"1:{row[0]}".encode()).hexdigest() if row[0] is not None else "", row[1])
+
+    points = [list(v) for _, v in sorted(rows, key=hashed)[:count]]
+    for turn in range(rounds + 1):
+        found = [(i, *plain_nearest(points, v)) for i, (_, v) in enumerate(rows)]
+        if turn == rounds:
+            break
+        for own in range(len(points)):
+            members = [rows[i][1] for i, _, n in found if n == own]
+            if members:
+                points[own] = [sum(column) // len(members) for column in zip(*members, strict=True)]
+    return sorted(((rows[i][0], n, min(square, LONGEST), ",".join(map(str, points[n]))) for i, square, n in found), key=repr), found
+
+
+def got(frame):
+    return sorted(((r.vec_id, r.cluster, r.distance, r.centroid) for r in frame.collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_search_measures_as_plain_search_does(seed):
+    random.seed(seed)
+    points = [[random.randint(-3, 3) for _ in range(3)] for _ in range(random.choice((1, 2, 17)))]
+    vectors = [[random.randint(-4, 4) for _ in range(3)] for _ in range(300)]
+    number, square = Orchard(points).nearest(np.array(vectors, dtype=float))
+    assert [(int(s), int(n)) for s, n in zip(square, number, strict=True)] == [plain_nearest(points, v) for v in vectors]
+
+
+def test_search_stops_early():
+    """A centroid far beyond twice the distance is never measured."""
+    orchard = Orchard([[0], [1000]])
+    orchard.points[1] = math.nan
+    assert orchard.nearest(np.array([[3.0]]))[0].tolist() == [0]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_clusters_equal_plain_rounds(spark, seed):
+    random.seed(seed)
+    rows = [(i, [float(random.randint(-9, 9)) for _ in range(4)]) for i in range(150)]
+    rows += rows[:5] + [(None, [1.0, 2.0, 3.0, 4.0]), (3, [7.0, 7.0, 7.0, 7.0])]
+    frame = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id bigint, vec array<double>, cluster string, total int").repartition(3)
+    want, found = plain_clusters([(i, [int(x) for x in v]) for i, v in rows], 6, 3)
+    result = centroids.cluster(frame, centroids=6)
+    assert got(result) == want
+    row = result.where("vec_id = 7").first()
+    own = next(n for i, _, n in found if rows[i][0] == 7)
+    assert row.inertia == sum(s for _, s, _ in found)
+    assert row.cluster_inertia == sum(s for _, s, n in found if n == own)
+
+
+def test_very_long_vectors_stay_exact(spark):
+    random.seed(5)
+    rows = [(i, [float(random.randint(-50, 50)) for _ in range(4)]) for i in range(60)]
+    rows += [(100, [2.0**40 + 1.0, 0.0, 0.0, 0.0]), (101, [-(2.0**90), 1.0, 2.0, 3.0]), (102, [2.0**900, 0.0, 0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, vec array<double>")
+    want, found = plain_clusters([(i, [int(x) for x in v]) for i, v in rows], 5, 3)
+    result = centroids.cluster(frame, centroids=5)
+    assert got(result) == want
+    assert result.first().inertia == min(LONGEST, sum(s for _, s, _ in found))
+
+
+def test_what_takes_part(spark):
+    good = [0.5, -0.01, 1.0]
+    rows = [(1, good), (2, None), (3, [1.0, None, 1.0]), (4, [math.nan, 0.0, 0.0]), (5, [math.inf, 0.0, 0.0]), (6, [1.0, 2.0]), (7, [1e308, 0.0, 0.0]), (8, [])]
+    frame = spark.createDataFrame(rows, VECTORS)
+    kept = centroids.scaled_vectors(frame, width=3).collect()
+    assert [(r.vec_id, r.vec) for r in kept] == [(1, [32.0, -1.0, 64.0])]
+    # fewer vectors than centroids, and none at all
+    assert got(centroids.cluster(centroids.scaled_vectors(frame, width=3))) == [(1, 0, 0, "32,-1,64")]
+    none = centroids.cluster(centroids.scaled_vectors(frame.where("false"), width=3))
+    assert none.collect() == [] and none.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid"]
+
+
+def test_given_table(spark):
+    vectors = centroids.scaled_vectors(spark.read.parquet(f"{TESTDATA}/embeddings.parquet"))
+    rows = [(r.vec_id, [int(x) for x in r.vec]) for r in vectors.collect()]
+    assert got(centroids.cluster(vectors)) == plain_clusters(rows, 16, 3)[0]
