@@ -106,6 +106,26 @@ SHARDS = """
     FROM cut JOIN sums USING (text)"""
 
 
+# Every window as text, with the smallest document it begins in; no hashes.
+WINDOWS = """
+    WITH docs AS (
+        SELECT row_number() OVER () AS row_, doc_id,
+               list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t-\\r]+'), lambda w: w <> '') AS ws
+        FROM documents),
+    starts AS (SELECT row_, doc_id, ws, unnest(range(len(ws) - 49)) AS s FROM docs WHERE doc_id IS NOT NULL),
+    windows AS (SELECT row_, doc_id, s, md5(array_to_string(list_slice(ws, s + 1, s + 50), ' ')) AS w FROM starts),
+    firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+    gone AS (SELECT row_, list(DISTINCT s + i) AS removed
+             FROM (SELECT row_, s, unnest(range(50)) AS i FROM windows JOIN firsts USING (w) WHERE doc_id > first)
+             GROUP BY row_),
+    words AS (SELECT row_, unnest(ws) AS w, unnest(range(len(ws))) AS place FROM docs),
+    lost AS (SELECT row_, unnest(removed) AS place FROM gone),
+    kept AS (SELECT row_, string_agg(w, ' ' ORDER BY place) AS kept, count(*) AS n_kept
+             FROM words ANTI JOIN lost USING (row_, place) GROUP BY row_)
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM docs LEFT JOIN kept USING (row_)"""
+
 
 def _lloyd() -> str:
     """Three rounds from hashed starts, every distance measured; a step of common table expressions a round."""
@@ -144,6 +164,7 @@ def _lloyd() -> str:
 
 ORACLE = {
     "op11_orchard_clusters": _lloyd(),
+    "op13_repeated_windows": WINDOWS,
     "op10_byte_shards": SHARDS,
     "op1_voronoi_top10": TOP10,
     "op7_warc_roundtrip": RECORDS,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import centroids, decontam, edit_counts, html_text, knn, language, mixing, sharding, simhash, toxicity, warc
+from quotemill.llm import centroids, decontam, edit_counts, html_text, knn, language, mixing, sharding, simhash, substrings, toxicity, warc
 from quotemill.llm.common import held_out
 from quotemill.llm.oracle import ORACLE
 
@@ -119,6 +119,15 @@ def orchard_clusters(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_voronoi_top10": voronoi_top10,
@@ -132,6 +141,7 @@ def queries() -> dict[str, Query]:
         "op9_mixed_sources": mixed_sources,
         "op10_byte_shards": byte_shards,
         "op11_orchard_clusters": orchard_clusters,
+        "op13_repeated_windows": repeated_windows,
     }
 
 
