@@ -126,6 +126,55 @@ WINDOWS = """
            sha256(coalesce(kept, '')) AS kept_sha256
     FROM docs LEFT JOIN kept USING (row_)"""
 
+# CRC-32 byte by byte; near words by what is left when one code point is taken out.
+VARIANTS = """
+    WITH RECURSIVE crc_table AS (
+        SELECT list(v ORDER BY n) AS tab
+        FROM (SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, k:
+                  CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v
+              FROM (SELECT unnest(range(256)) AS n))),
+    runs AS (
+        SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+        FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{C0}-\\x{FF}]+')) AS run FROM documents)
+        GROUP BY ALL),
+    hexed AS (
+        SELECT *, list_transform(string_split(hex(encode(doc_id || ':' || w)), ''),
+                   lambda x: instr('0123456789ABCDEF', x) - 1) AS d
+        FROM runs),
+    hashed AS (
+        SELECT w, n, length(w) AS len, xor(4294967295, list_reduce(list_prepend(4294967295,
+                   list_transform(range(len(d) // 2), lambda i: d[2 * i + 1] * 16 + d[2 * i + 2])),
+                   lambda c, x: xor(c >> 8, tab[xor(c, x) % 256 + 1]))) AS h
+        FROM hexed, crc_table),
+    words AS MATERIALIZED (
+        SELECT word, CAST(sum(n) AS BIGINT) AS n
+        FROM (SELECT CASE WHEN h % 31 = 0 THEN left(w, CAST(h % len AS INTEGER)) || substr(w, CAST(h % len AS INTEGER) + 2)
+                          ELSE w END AS word, n FROM hashed)
+        WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    shorter AS MATERIALIZED (
+        SELECT word, n, place, left(word, place) || substr(word, place + 2) AS rest
+        FROM (SELECT word, n, unnest(range(CAST(length(word) AS INTEGER))) AS place FROM words)),
+    pairs AS (
+        SELECT a.word AS u, a.n AS un, b.word AS v, b.n AS vn
+        FROM shorter AS a JOIN shorter AS b ON a.rest = b.rest AND a.place = b.place AND a.word < b.word
+        UNION
+        SELECT a.word, a.n, b.word, b.n FROM shorter AS a JOIN words AS b ON a.rest = b.word),
+    near AS (SELECT u AS word, v AS near, vn AS near_n FROM pairs UNION ALL SELECT v, u, un FROM pairs),
+    best AS (
+        SELECT word, count(*) OVER (PARTITION BY word) AS n_near, near, near_n FROM near
+        QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+    forms AS MATERIALIZED (
+        SELECT word, n, coalesce(n_near, 0) AS n_near,
+               CASE WHEN near_n >= 10 * n THEN near END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+        FROM words LEFT JOIN best USING (word)),
+    chain AS (
+        SELECT word, form AS last FROM forms WHERE form IS NOT NULL
+        UNION ALL
+        SELECT chain.word, forms.form FROM chain JOIN forms ON chain.last = forms.word WHERE forms.form IS NOT NULL),
+    roots AS (SELECT chain.word, last AS root FROM chain JOIN forms ON chain.last = forms.word WHERE forms.form IS NULL)
+    SELECT word, form, coalesce(root, word) AS root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+    FROM forms LEFT JOIN roots USING (word)"""
+
 
 def _lloyd() -> str:
     """Three rounds from hashed starts, every distance measured; a step of common table expressions a round."""
@@ -164,6 +213,7 @@ def _lloyd() -> str:
 
 ORACLE = {
     "op11_orchard_clusters": _lloyd(),
+    "op12_spelling_variants": VARIANTS,
     "op13_repeated_windows": WINDOWS,
     "op10_byte_shards": SHARDS,
     "op1_voronoi_top10": TOP10,

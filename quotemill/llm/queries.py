@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import centroids, decontam, edit_counts, html_text, knn, language, mixing, sharding, simhash, substrings, toxicity, warc
+from quotemill.llm import centroids, decontam, edit_counts, html_text, knn, language, mixing, sharding, simhash, spelling, substrings, toxicity, warc
 from quotemill.llm.common import held_out
 from quotemill.llm.oracle import ORACLE
 
@@ -128,6 +128,11 @@ def repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.vocabulary(_table(spark, folder, "documents"))
+    return spelling.variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_voronoi_top10": voronoi_top10,
@@ -141,6 +146,7 @@ def queries() -> dict[str, Query]:
         "op9_mixed_sources": mixed_sources,
         "op10_byte_shards": byte_shards,
         "op11_orchard_clusters": orchard_clusters,
+        "op12_spelling_variants": spelling_variants,
         "op13_repeated_windows": repeated_windows,
     }
 
