@@ -22,14 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotemill.llm.bloom import bloom_of
+from quotemill.llm.bloom import Bloom, bloom_of
 from quotemill.session import materialize, sized_shuffles
 
 WIDTH = 50
 #: Two pairs of moduli just below 2^31 and their bases; a pair makes a hash of 62 bits.
 _FIELDS = ((2147483647, 1483721947), (2147483629, 1103527590), (2147483587, 1812433253), (2147483579, 1664525011))
 #: Words hashed at a time, unless one text has more.
-_WORDS_AT_ONCE = 1 << 19
+_WORDS_AT_ONCE = 1 << 18
 _CACHED_WORDS = 1 << 18
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: A hash met in more texts than this, and than one in 2^21 bytes, is settled without a
@@ -91,14 +91,18 @@ class WindowHasher:
         return (total[starts + self.width] - total[starts]) % p * down[starts] % p
 
 
-def _laid_out(batches: Iterator[pa.RecordBatch], hasher: WindowHasher, text: int):
-    """Texts with a window, some at a time: batch, their rows, lengths, and values of all their words."""
+def _laid_out(batches: Iterator[pa.RecordBatch], hasher: WindowHasher, leading: Bloom):
+    """Texts with a window, some at a time: batch, their rows, lengths, and values of all their words.
+
+    Batches have the columns ``key``, by which ``leading`` tells what may take part, and ``text``.
+    """
     for batch in batches:
         rows: list[int] = []
         parts: list[np.ndarray] = []
         held = 0
-        for row, value in enumerate(batch.column(text)):
-            words = value.as_buffer().to_pybytes().split()
+        texts = batch.column("text")
+        for row in np.flatnonzero(leading.perhaps(batch.column("key").to_numpy(zero_copy_only=False))):
+            words = texts[row].as_buffer().to_pybytes().split()
             if len(words) >= hasher.width:
                 rows.append(row)
                 parts.append(hasher.values(words))
@@ -111,7 +115,7 @@ def _laid_out(batches: Iterator[pa.RecordBatch], hasher: WindowHasher, text: int
 
 
 def _once_per_text(keys: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Places that keep each key once for each text; ``text`` ascends."""
+    """Places that keep each key once for each text, in the order of the keys; ``text`` ascends."""
     order = np.argsort(keys, kind="stable")
     new = np.ones(len(order), dtype=bool)
     new[1:] = (keys[order][1:] != keys[order][:-1]) | (text[order][1:] != text[order][:-1])
@@ -148,19 +152,24 @@ def removed_windows(docs: DataFrame, *, width: int = WIDTH) -> DataFrame:
         )
         leading = bloom_of(firsts.select(F.xxhash64("digest", "doc_id")))
         # What the filter rejects is certainly a copy; a copy it lets through is only more work.
-        sought = base.where(leading.column(F.xxhash64("digest", "doc_id"))).select("doc_id", "text_hash", "text")
+        sought = base.select(F.xxhash64("digest", "doc_id").alias("key"), "doc_id", "text_hash", "text")
 
         def short(hashes: np.ndarray) -> np.ndarray:
             return (hashes * _SPREAD) >> np.uint64(64 - bits)
 
         def sow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hasher = WindowHasher(width)
-            for _, _, lengths, values in _laid_out(batches, hasher, 0):
+            for _, _, lengths, values in _laid_out(batches, hasher, leading):
                 starts, own = hasher.starts(lengths)
                 keys = short(hasher.hashes(values, starts, 0))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[_once_per_text(keys, own)].view(np.int64))], names=["h"])
-
-        counts = sought.select("text").mapInArrow(sow, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("texts"))
+                each, texts = np.unique(keys[_once_per_text(keys, own)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(each.view(np.int64)), pa.array(texts)], names=["h", "texts"])
+
+        # Counts of some 2^18 words at a time leave the task, so a hash comes once for all texts
+        # that these words make up. Nearly all hashes are unlike; a map of them in the task would
+        # take memory and combine little more.
+        sown = sought.select("key", "text").mapInArrow(sow, "h bigint, texts bigint").repartition("h")
+        counts = sown.groupBy("h").agg(F.sum("texts").alias("texts"))
         repeated = materialize(counts.where("texts > 1"), "repeated-hashes")
         known = bloom_of(repeated.select("h"))
         # At most one in 2^20 of the windows, by the definition of ``common``.
@@ -168,7 +177,7 @@ def removed_windows(docs: DataFrame, *, width: int = WIDTH) -> DataFrame:
 
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hasher = WindowHasher(width)
-            for batch, rows, lengths, values in _laid_out(batches, hasher, 2):
+            for batch, rows, lengths, values in _laid_out(batches, hasher, leading):
                 starts, own = hasher.starts(lengths)
                 a = hasher.hashes(values, starts, 0)
                 keys = short(a).view(np.int64)
@@ -182,8 +191,8 @@ def removed_windows(docs: DataFrame, *, width: int = WIDTH) -> DataFrame:
                             pa.array(a[at].view(np.int64)),
                             pa.array(b.view(np.int64)),
                             pa.array(np.isin(keys[at], hot)),
-                            batch.column(0).take(place),
-                            batch.column(1).take(place),
+                            batch.column("doc_id").take(place),
+                            batch.column("text_hash").take(place),
                         ],
                         names=["a", "b", "hot", "doc_id", "text_hash"],
                     )
@@ -235,13 +244,17 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     marks = removed_windows(docs, width=width)
     touched = bloom_of(marks.select(F.xxhash64("doc_id", "text_hash")))
-    rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
-    perhaps = touched.column(F.xxhash64("doc_id", "text_hash"))
+    hashed = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
+    rows = hashed.withColumn("key", F.xxhash64("doc_id", "text_hash"))
     # Only texts that may lose something are shuffled to their marks.
-    same = rows.where(~perhaps).select(
-        "doc_id", "text", F.lit(False).alias("whole"), F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("windows")
-    )
-    cut = rows.where(perhaps).join(marks, ["doc_id", "text_hash"], "left").select("doc_id", "text", "whole", "windows")
+    cut = rows.where(touched.column(F.col("key"))).join(marks, ["doc_id", "text_hash"], "left")
+
+    def stay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The other texts, which have no marks."""
+        for batch in batches:
+            own = batch.filter(pa.array(~touched.perhaps(batch.column(0).to_numpy(zero_copy_only=False))))
+            none = [pa.nulls(len(own), pa.bool_()), pa.nulls(len(own), pa.null())]
+            yield pa.RecordBatch.from_arrays([own.column(1), own.column(2), *none], names=["doc_id", "text", "whole", "windows"])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WindowHasher(width)
@@ -276,7 +289,8 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH) -> DataFrame:
             )
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:int,end:int>>, kept string"
-    return same.unionByName(cut).mapInArrow(remove, schema)
+    same = rows.select("key", "doc_id", "text").mapInArrow(lambda batches: remove(stay(batches)), schema)
+    return same.unionByName(cut.select("doc_id", "text", "whole", "windows").mapInArrow(remove, schema))
 
 
 def _marked(hasher: WindowHasher, values: np.ndarray, starts: np.ndarray, windows: pa.StructArray) -> np.ndarray:
