@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 #: 64-bit words of the largest filter: 16 MiB, about 12 bits a key for 11 million keys.
 MOST_WORDS = 1 << 21
 _BITS_PER_KEY = 12
+#: Words that reach the driver in one row; the smallest filter.
+_SLICE = 1 << 10
 
 
 def _mixed(keys: np.ndarray) -> np.ndarray:
@@ -59,7 +61,7 @@ class Bloom:
 
 def bloom_of(keys: DataFrame) -> Bloom:
     """The filter of the one bigint column of a written table; nulls are not allowed."""
-    words = 1 << 10
+    words = _SLICE
     wanted = keys.count() * _BITS_PER_KEY // 64
     while words < min(wanted, MOST_WORDS):
         words *= 2
@@ -69,8 +71,21 @@ def bloom_of(keys: DataFrame) -> Bloom:
             word, bits = _places(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), words)
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bits.view(np.int64))], names=["word", "bits"])
 
-    # At most MOST_WORDS rows, whatever the number of keys.
-    rows = keys.mapInArrow(place, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    marked = keys.mapInArrow(place, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    # At most MOST_WORDS rows are left, whatever the number of keys; they come packed.
+    slices = marked.groupBy(F.expr(f"word div {_SLICE}").alias("slice")).agg(F.collect_list(F.struct("word", "bits")).alias("marks"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = []
+            for number, marks in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = np.zeros(_SLICE, dtype="<u8")
+                word = marks.values.field("word").to_numpy(zero_copy_only=False)
+                own[word - number * _SLICE] = marks.values.field("bits").to_numpy(zero_copy_only=False).view(np.uint64)
+                packed.append(own.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["slice", "packed"])
+
     table = np.zeros(words, dtype=np.uint64)
-    table[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    for row in slices.mapInArrow(pack, "slice bigint, packed binary").collect():
+        table[row.slice * _SLICE : (row.slice + 1) * _SLICE] = np.frombuffer(row.packed, dtype="<u8")
     return Bloom(table)
