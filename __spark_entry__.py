@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -23,13 +24,17 @@ from quotemill import schemas as S
 from quotemill.operators import cleaning, companies, prices, quality, reports
 from quotemill.operators.indicators import MAX_ROWS_PER_TASK, with_indicators
 from quotemill.plans import dashboards, jobs, marts
-from quotemill.session import materialize, scratch_path
+from quotemill.session import file_system, materialize, scratch_path
+from quotemill.sinks.snapshots import current, read_snapshot, replace_table
 from quotemill.sinks.tables import write_by_month, write_by_year, write_flat
 from quotemill.sources import testbed
 from quotemill.sources.price_files import first_files, scan_prices
 from quotemill.sources.tables import (
     register_views,
     scan_metadata,
+    scan_processed,
+    scan_table,
+    stored_bytes,
     within_dates,
     within_years,
 )
@@ -38,9 +43,7 @@ try:
     import corpus_pipeline
     from quotemill import llm
     from quotemill.llm import queries as llm_queries
-except ModuleNotFoundError as missing:  # the corpus operators are an optional part
-    if missing.name not in ("corpus_pipeline", "quotemill.llm"):
-        raise
+except ImportError:  # the corpus operators and what they import are an optional part
     llm_queries = None
 else:
     # Their functions travel with the tasks, so executors need no copy of the package.
@@ -166,38 +169,112 @@ def _first_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_BUILT: dict[tuple[str, str], str] = {}
+def _landed(spark: SparkSession, folder: str) -> tuple[str, list[str]]:
+    """A fresh folder with a price file of every ticker and the metadata file; and the globs."""
+    base = scratch_path(spark, "jobs")
+    lines = testbed.price_lines(testbed.market_prices(spark, folder))
+    globs = testbed.write_price_files(lines, base)
+    _raw_metadata(spark, folder).write.csv(f"{base}/metadata", header=True)
+    return base, globs
+
+
+def _loaded(spark: SparkSession, folder: str) -> str:
+    """The price job and the raw load over files of all tickers."""
+    base, globs = _landed(spark, folder)
+    jobs.run_prices(spark, globs, f"{base}/metadata", f"{base}/processed")
+    jobs.run_raw_load(spark, base, f"{base}/processed", f"{base}/metadata")
+    return base
+
+
+def _modelled(spark: SparkSession, folder: str) -> str:
+    """All batch jobs over files of all tickers."""
+    base = _loaded(spark, folder)
+    jobs.build_models(spark, base, testbed.TEST_EVENTS)
+    return base
 
 
-def _built(spark: SparkSession, folder: str) -> str:
-    """The batch jobs over files of all tickers, run once per session and folder."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _BUILT:
-        base = scratch_path(spark, "jobs")
-        lines = testbed.price_lines(testbed.market_prices(spark, folder))
-        globs = testbed.write_price_files(lines, base)
-        _raw_metadata(spark, folder).write.csv(f"{base}/metadata", header=True)
-        jobs.run_prices(spark, globs, f"{base}/metadata", f"{base}/processed")
-        jobs.run_raw_load(spark, base, f"{base}/processed", f"{base}/metadata")
-        jobs.run_raw_load(spark, base, metadata=f"{base}/metadata", table="meta")
-        jobs.build_models(spark, base, testbed.TEST_EVENTS)
-        _BUILT[key] = base
-    return _BUILT[key]
+def _job_processed(spark: SparkSession, folder: str) -> DataFrame:
+    """The processed table as the price job wrote it."""
+    base, globs = _landed(spark, folder)
+    jobs.run_prices(spark, globs, f"{base}/metadata", f"{base}/processed")
+    return _rounded(scan_processed(spark, f"{base}/processed").select(*S.STAGED_PRICE_COLUMNS))
+
+
+def _job_raw_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw table as the load left it."""
+    table = scan_table(spark, _loaded(spark, folder), jobs.RAW_PRICES)
+    return _rounded(table.select(*S.STAGED_PRICE_COLUMNS))
 
 
 def _job_table(name: str, *columns: str) -> Query:
     """A whole table as the jobs wrote it."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        table = spark.read.parquet(f"{_built(spark, folder)}/{name}")
+        table = scan_table(spark, _modelled(spark, folder), name)
         return _rounded(table.select(*columns) if columns else table)
 
     return query
 
 
 def _job_checks(spark: SparkSession, folder: str) -> DataFrame:
-    tables = jobs.open_models(spark, _built(spark, folder))
-    return quality.quality_report(tables, (*quality.MODEL_CHECKS, quality.FACT_KEY_CHECK))
+    """The checks of the built warehouse, from what its writes measured where they could."""
+    return jobs.check_models(spark, _modelled(spark, folder))
+
+
+def _partial_reload(spark: SparkSession, folder: str) -> DataFrame:
+    """Both raw tables after loads of one of them at a time, each onto other content.
+
+    First both are loaded from funds only; then prices alone from all files, and metadata
+    alone from all rows.
+    """
+    base, globs = _landed(spark, folder)
+    funds = [glob for glob in globs if "/etfs/" in glob]
+    some = f"{base}/some-metadata"
+    _raw_metadata(spark, folder).where("ETF = 'Y'").write.csv(some, header=True)
+    jobs.run_prices(spark, funds, some, f"{base}/funds")
+    jobs.run_raw_load(spark, base, f"{base}/funds", some)
+
+    def counted(step: str) -> DataFrame:
+        return reduce(DataFrame.unionByName, [
+            scan_table(spark, base, name).agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(step).alias("step"), F.lit(name).alias("table_name"), "rows"
+            )
+            for name in (jobs.RAW_PRICES, jobs.RAW_METADATA)
+        ])
+
+    steps = [counted("funds")]
+    jobs.run_prices(spark, globs, f"{base}/metadata", f"{base}/processed")
+    jobs.run_raw_load(spark, base, processed=f"{base}/processed", table="prices")
+    steps.append(counted("prices"))
+    jobs.run_raw_load(spark, base, metadata=f"{base}/metadata", table="meta")
+    steps.append(counted("meta"))
+    return reduce(DataFrame.unionByName, steps)
+
+
+def _replaced_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A table after a load, after one that failed, after one more, and as opened before that."""
+    table = f"{scratch_path(spark, 'replaced')}/companies"
+    companies_ = _companies(spark, folder)
+
+    def load(rows: DataFrame) -> None:
+        replace_table(spark, table, lambda path: write_flat(rows, path, new=True))
+
+    def seen(step: str, frame: DataFrame) -> DataFrame:
+        return frame.select(F.lit(step).alias("step"), "symbol", "security_name", "is_etf")
+
+    load(companies_)
+    opened = read_snapshot(spark, table)
+    steps = [seen("loaded", opened)]
+    broken = F.when(F.col("is_etf"), F.raise_error(F.lit("broken load"))).otherwise(F.col("symbol"))
+    try:
+        load(companies_.withColumn("symbol", broken))
+    except Exception as error:
+        if "broken load" not in str(error):
+            raise
+    steps.append(seen("failed", read_snapshot(spark, table)))
+    load(companies_.where("NOT is_etf"))
+    steps += [seen("replaced", read_snapshot(spark, table)), seen("opened before", opened)]
+    return reduce(DataFrame.unionByName, steps)
 
 
 def _edge_ranking(spark: SparkSession, folder: str) -> DataFrame:
@@ -293,24 +370,33 @@ def _flat_table(spark: SparkSession, folder: str) -> DataFrame:
 
 def _load_report(spark: SparkSession, folder: str) -> DataFrame:
     """Rows reported by the two raw loads."""
+    return _raw_loads(spark, folder).select("table_name", "rows_loaded")
+
+
+def _load_report_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows reported by the two raw loads, and whether the bytes are those of their files."""
+    return _raw_loads(spark, folder).select("table_name", "rows_loaded", (F.col("bytes") == F.col("found")).alias("bytes_agree"))
+
+
+def _raw_loads(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_path(spark, "raw-load")
     write_by_year(_enriched(spark, folder), f"{base}/processed")
     _raw_metadata(spark, folder).write.csv(f"{base}/metadata", header=True)
     loaded = jobs.run_raw_load(spark, base, f"{base}/processed", f"{base}/metadata")
     return spark.createDataFrame(
-        [(name, report.rows) for name, report in loaded.items()],
-        "table_name string, rows_loaded bigint",
+        [(name, report.rows, report.bytes, stored_bytes(spark, current(spark, f"{base}/{name}").folder)) for name, report in loaded.items()],
+        "table_name string, rows_loaded bigint, bytes bigint, found bigint",
     )
 
 
-def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All checked tables; the fact and the rollup are written, as in the batch job."""
+def _tables(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """All checked tables, and the rollup; the fact and the rollup are written, as in the batch job."""
     staged = materialize(_staged_prices(spark, folder), jobs.STAGED_PRICES)
     fact = prices.fact_prices(staged)
     months = materialize(prices.ticker_months(fact), jobs.TICKER_MONTHS)
     staged_metadata = _staged_metadata(spark, folder)
     dimension = materialize(companies.company_dimension(staged_metadata), jobs.COMPANIES)
-    return {
+    tables = {
         jobs.STAGED_PRICES: staged,
         jobs.STAGED_METADATA: staged_metadata,
         jobs.COMPANIES: dimension,
@@ -321,11 +407,80 @@ def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         jobs.EVENTS: marts.market_events(fact, testbed.TEST_EVENTS),
         jobs.RANKING: marts.ticker_ranking(months, dimension),
     }
+    return tables, months
 
 
 def _quality(spark: SparkSession, folder: str) -> DataFrame:
-    checks = (*quality.MODEL_CHECKS, quality.FACT_KEY_CHECK)
-    return quality.quality_report(_tables(spark, folder), checks)
+    """The published checks; the fact's key is checked on the rollup's days."""
+    tables, months = _tables(spark, folder)
+    return quality.quality_report(tables, jobs.PUBLISHED_CHECKS, months={jobs.FACT: months})
+
+
+def _repeated_days_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``repeated_days``, from the days of the rollup; two segments may share a ticker's day."""
+    fact = _fact(spark, folder)
+    copies = F.when(F.col("symbol").endswith("0"), 3).otherwise(1)
+    thrice = fact.withColumn("n", F.explode(F.sequence(F.lit(1), copies)))
+    moved = thrice.withColumn("market_category", F.when(F.col("n") == 2, "moved").otherwise(F.col("market_category")))
+    check = quality.unique("t", "symbol", "trade_date", severity=quality.WARN)
+    return quality.quality_report({"t": moved}, [check], months={"t": prices.ticker_months(moved)})
+
+
+def _violations(spark: SparkSession, folder: str) -> DataFrame:
+    """The violating rows of a dirty table of prices and of the dimension, keys as text."""
+    tables = {
+        "fact_daily_prices": testbed.violating_rows(_fact(spark, folder)),
+        "stg_symbols_meta": _staged_metadata(spark, folder),
+        "dim_companies": _companies(spark, folder),
+    }
+    checks = [
+        *quality.not_null("fact_daily_prices", "symbol", "close", "volume"),
+        quality.accepted_values(
+            "fact_daily_prices", "market_category", (*S.COMPANY_CATEGORY_LABELS.values(), S.OTHER_CATEGORY), quality.WARN
+        ),
+        quality.FACT_KEY_CHECK,
+        quality.relationship("fact_daily_prices", "symbol", "dim_companies", "symbol", quality.WARN),
+        quality.unique("stg_symbols_meta", "symbol"),
+        quality.unique("dim_companies", "symbol"),
+    ]
+    found = quality.violations(tables, checks)
+    key = F.array_join(F.transform(F.array_sort(F.map_entries("key")), lambda e: F.concat(e.key, F.lit("="), e.value)), ",")
+    return found.withColumn("key", key)
+
+
+def _staged_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The staging projection over rows of which some must go."""
+    return _rounded(prices.stage_prices(testbed.spoilt_rows(_enriched(spark, folder))))
+
+
+def _mart_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The key of every row of the five marts, with its place in the order of display."""
+    made = {
+        jobs.SEGMENT_MONTHS: (_segments, ("trade_month", "market_category")),
+        jobs.MARKET_MONTHS: (_market, ("trade_month",)),
+        jobs.SEGMENT_YEARS: (_years, ("trade_year", "market_category")),
+        jobs.EVENTS: (_events, ("event_name",)),
+        jobs.RANKING: (_ranking, ("symbol",)),
+    }
+    shown = []
+    for name, (mart, key) in made.items():
+        # Ids follow the order of the rows, though with gaps; places have none.
+        ordered = dashboards.in_order(mart(spark, folder), name).withColumn("id", F.monotonically_increasing_id())
+        place = F.row_number().over(Window.orderBy("id"))
+        shown.append(ordered.select(F.lit(name).alias("mart"), place.alias("place"), F.concat_ws(" ", *key).alias("key")))
+    return reduce(DataFrame.unionByName, shown)
+
+
+def _uri_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each price file, read by a list of globs, by one glob with braces, and by a folder, all as URIs."""
+    base, _ = _landed(spark, folder)
+    files, place = file_system(spark, base)
+    uri = files.makeQualified(place).toString()
+    forms = {"list": [f"{uri}/stocks/*.csv", f"{uri}/etfs/*.csv"], "braces": f"{uri}/{{stocks,etfs}}/*.csv", "folders": [f"{uri}/stocks", f"{uri}/etfs"]}
+    return reduce(DataFrame.unionByName, [
+        scan_prices(spark, paths).groupBy("symbol", "is_etf").agg(F.count(F.lit(1)).alias("price_rows")).withColumn("form", F.lit(form))
+        for form, paths in forms.items()
+    ])
 
 
 def _orphans(spark: SparkSession, folder: str) -> DataFrame:
@@ -404,11 +559,15 @@ def _price_queries() -> dict[str, Query]:
             reports.sample_rows(_enriched(spark, folder))
         ),
         "dq_report": _quality,
+        "dq_violations": _violations,
+        "staged_filter": _staged_filter,
+        "mart_orders": _mart_orders,
         "orphan_symbols": _orphans,
         "repeated_days": _repeated_days,
+        "repeated_days_rollup": _repeated_days_rollup,
         # the batch jobs, from files to checked tables
-        "job_processed": _job_table("processed", *S.STAGED_PRICE_COLUMNS),
-        "job_raw_prices": _job_table(jobs.RAW_PRICES, *S.STAGED_PRICE_COLUMNS),
+        "job_processed": _job_processed,
+        "job_raw_prices": _job_raw_prices,
         "job_companies": _job_table(jobs.COMPANIES),
         "job_fact": _job_table(jobs.FACT, *S.FACT_COLUMNS),
         "job_sector": _job_table(jobs.SEGMENT_MONTHS),
@@ -429,6 +588,10 @@ def _price_queries() -> dict[str, Query]:
         "parquet_pruned_months": _some_months,
         "flat_table_sql": _flat_table,
         "load_report": _load_report,
+        "load_report_bytes": _load_report_bytes,
+        "uri_scan": _uri_scan,
+        "replaced_table": _replaced_table,
+        "partial_reload": _partial_reload,
     }
 
 

@@ -210,6 +210,38 @@ MARKET_EVENTS = """(VALUES
     ('Financial Crisis (2007–09)', DATE '2007-10-01', DATE '2009-03-31'),
     ('COVID Crash (2020)', DATE '2020-01-20', DATE '2020-04-01'))"""
 
+_KIND = "(date_diff('day', DATE '1990-01-01', trade_date) * 31 + CAST(right(symbol, 9) AS INTEGER)) % 40"
+
+RELATIONS["violating"] = f"""
+        SELECT symbol, trade_date, kind, CASE WHEN kind NOT IN (0, 1) THEN close END AS close,
+               CASE WHEN kind NOT IN (1, 2) THEN volume END AS volume,
+               CASE WHEN kind = 3 THEN 'Pink ' || symbol ELSE market_category END AS market_category
+        FROM (SELECT *, {_KIND} AS kind FROM fact)
+        JOIN (VALUES (1), (2)) AS copies(n) ON n = 1 OR kind = 4"""
+
+
+def _violations() -> str:
+    def part(table: str, column: str, rule: str, severity: str, value: str, source: str) -> str:
+        return (
+            f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{rule}' AS check_name, '{severity}' AS severity,"
+            f" key, CAST({value} AS VARCHAR) AS value FROM {source}"
+        )
+
+    day = "'symbol=' || symbol || ',trade_date=' || trade_date"
+    fact = "fact_daily_prices"
+    rows = f"(SELECT *, {day} AS key FROM violating) WHERE"
+    parts = [
+        part(fact, "close", "not_null", "error", "NULL", f"{rows} close IS NULL"),
+        part(fact, "volume", "not_null", "error", "NULL", f"{rows} volume IS NULL"),
+        part(fact, "market_category", "accepted_values", "warn", "market_category", f"{rows} kind = 3"),
+        part(fact, "symbol, trade_date", "unique", "warn", "n", f"(SELECT {day} AS key, count(*) AS n FROM violating"
+             " GROUP BY symbol, trade_date HAVING count(*) > 1)"),
+        part(fact, "symbol", "relationships", "warn", "symbol", f"{rows} symbol NOT IN (SELECT symbol FROM dim)"),
+        part("stg_symbols_meta", "symbol", "unique", "error", "n",
+             "(SELECT 'symbol=' || symbol AS key, count(*) AS n FROM staged_meta GROUP BY symbol HAVING count(*) > 1)"),
+    ]
+    return " UNION ALL ".join(parts)
+
 
 def _events(values: str) -> str:
     return f"""
@@ -406,6 +438,28 @@ ORACLE = {
         " FROM enriched ORDER BY symbol, trade_date LIMIT 5"
     ),
     "dq_report": _sql(_quality()),
+    "dq_violations": _sql(_violations()),
+    "staged_filter": _sql(f"SELECT {_ENRICHED} FROM enriched WHERE {_KIND} > 6"),
+    "mart_orders": _sql(
+        "SELECT mart, CAST(row_number() OVER (PARTITION BY mart ORDER BY a, r, b) AS INTEGER) AS place, key FROM ("
+        "SELECT 'agg_sector_performance' AS mart, trade_month AS a, 0.0 AS r, market_category AS b,"
+        " trade_month || ' ' || market_category AS key FROM sector"
+        " UNION ALL SELECT 'agg_monthly_summary', trade_month, 0, '', CAST(trade_month AS VARCHAR) FROM market"
+        " UNION ALL SELECT 'agg_yearly_performance', make_date(trade_year, 1, 1), 0, market_category,"
+        " trade_year || ' ' || market_category FROM yearly"
+        " UNION ALL SELECT 'agg_market_crash_analysis', period_start, 0, event_name, event_name FROM events_mart"
+        " UNION ALL SELECT 'agg_top_tickers_alltime', DATE '2000-01-01', -avg_daily_return, symbol, symbol FROM ranking)"
+    ),
+    "uri_scan": _sql(
+        "SELECT symbol, is_etf, count(*) AS price_rows, form FROM prices, (VALUES ('list'), ('braces'), ('folders')) AS f(form)"
+        " GROUP BY symbol, is_etf, form"
+    ),
+    "repeated_days_rollup": _sql(
+        _check(
+            "t", "symbol, trade_date", "unique", "warn",
+            "SELECT count(*) FROM fact WHERE symbol LIKE '%0'", "t",
+        )
+    ),
     "orphan_symbols": _sql(
         "SELECT symbol, count(*) AS rows FROM prices"
         " WHERE symbol NOT IN (SELECT symbol FROM dim) GROUP BY symbol"
@@ -450,6 +504,22 @@ ORACLE = {
         "SELECT market_category, is_etf, count(*) AS companies FROM dim"
         " GROUP BY market_category, is_etf"
     ),
+    "load_report_bytes": _sql(
+        "SELECT 'raw_daily_prices' AS table_name, count(*) AS rows_loaded, true AS bytes_agree FROM enriched"
+        " UNION ALL SELECT 'raw_symbols_meta', count(*), true FROM raw_meta"
+    ),
+    "replaced_table": _sql(
+        "SELECT step, symbol, security_name, is_etf FROM dim"
+        " JOIN (VALUES ('loaded'), ('failed'), ('replaced'), ('opened before')) AS steps(step)"
+        " ON step <> 'replaced' OR NOT is_etf"
+    ),
+    "partial_reload": _sql(
+        "SELECT step, table_name, rows"
+        " FROM (SELECT count(*) FILTER (is_etf) AS n_funds, count(*) AS n_all, 'raw_daily_prices' AS table_name FROM enriched"
+        " UNION ALL SELECT count(*) FILTER (is_etf), count(*), 'raw_symbols_meta' FROM raw_meta) AS counts"
+        " JOIN LATERAL (VALUES ('funds', n_funds), ('prices', CASE table_name WHEN 'raw_daily_prices' THEN n_all ELSE n_funds END),"
+        " ('meta', n_all)) AS steps(step, rows) ON true"
+    ),
     "load_report": _sql(
         "SELECT 'raw_daily_prices' AS table_name, count(*) AS rows_loaded FROM enriched"
         " UNION ALL SELECT 'raw_symbols_meta', count(*) FROM raw_meta"

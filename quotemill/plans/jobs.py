@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from quotemill.operators.cleaning import clean_prices
 from quotemill.operators.indicators import MAX_ROWS_PER_TASK, with_indicators
 from quotemill.plans import marts
 from quotemill.session import materialize, sized_shuffles
+from quotemill.sinks.snapshots import current, replace_table
 from quotemill.sinks.tables import LoadReport, write_by_month, write_by_year, write_flat
 from quotemill.sources.price_files import first_files, long_series_candidates, scan_prices
 from quotemill.sources.tables import (
@@ -47,6 +50,9 @@ WRITTEN_TABLES = (
     SEGMENT_YEARS, EVENTS, RANKING,
 )
 
+# Independent models written at a time, as many as the source's scheduler runs.
+MODELS_AT_ONCE = 4
+PUBLISHED_CHECKS = (*quality.MODEL_CHECKS, quality.FACT_KEY_CHECK)
 # Rows in a shuffle take about this many times their Parquet size.
 PARQUET_EXPANSION = 3
 
@@ -127,10 +133,16 @@ def run_raw_load(
         rows = scan_processed(spark, processed)
         place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
         with sized_shuffles(spark, stored_bytes(spark, processed) * PARQUET_EXPANSION):
-            loaded[RAW_PRICES] = write_by_month(rows, f"{warehouse}/{RAW_PRICES}", row_id=place)
+            loaded[RAW_PRICES] = replace_table(
+                spark,
+                f"{warehouse}/{RAW_PRICES}",
+                lambda folder: write_by_month(rows, folder, row_id=place, new=True),
+            )
     if table in ("meta", "both"):
-        rows = scan_metadata(spark, metadata)
-        loaded[RAW_METADATA] = write_flat(rows, f"{warehouse}/{RAW_METADATA}")
+        listed = scan_metadata(spark, metadata)
+        loaded[RAW_METADATA] = replace_table(
+            spark, f"{warehouse}/{RAW_METADATA}", lambda folder: write_flat(listed, folder, new=True)
+        )
     return loaded
 
 
@@ -138,39 +150,75 @@ def build_models(
     spark: SparkSession,
     warehouse: str,
     events: Iterable[tuple[str, dt.date, dt.date]] = S.MARKET_EVENTS,
+    checks: Iterable[quality.Check] = PUBLISHED_CHECKS,
 ) -> dict[str, DataFrame]:
     """Write star schema and marts from the raw tables and open them.
 
+    Each write counts the violations of the row-level ``checks`` of its table on the way.
     The fact keeps the clustering of the raw table, so it is written without a
     shuffle; the rollup is written once and serves four marts.
     """
-    stored = stored_bytes(spark, f"{warehouse}/{RAW_PRICES}")
+    stored = current(spark, f"{warehouse}/{RAW_PRICES}").bytes
     with sized_shuffles(spark, stored * PARQUET_EXPANSION):
-        _write_models(spark, warehouse, events)
+        _write_models(spark, warehouse, events, tuple(checks))
     return open_models(spark, warehouse)
 
 
 def _write_models(
-    spark: SparkSession, warehouse: str, events: Iterable[tuple[str, dt.date, dt.date]]
+    spark: SparkSession,
+    warehouse: str,
+    events: Iterable[tuple[str, dt.date, dt.date]],
+    checks: Sequence[quality.Check],
 ) -> None:
     def written(name: str) -> DataFrame:
         return scan_table(spark, warehouse, name)
 
     def publish(name: str, rows: DataFrame) -> DataFrame:
-        write_flat(rows, f"{warehouse}/{name}")
+        measures = quality.row_measures(checks, name)
+        replace_table(
+            spark, f"{warehouse}/{name}", lambda folder: write_flat(rows, folder, new=True, measures=measures)
+        )
         return written(name)
 
     staged = prices.stage_prices(written(RAW_PRICES))
-    write_by_month(prices.fact_prices(staged), f"{warehouse}/{FACT}", clustered=True)
+    # The fact has every row of the staged view, whose rules are measured with its own.
+    facts = prices.fact_prices(staged)
+    replace_table(
+        spark,
+        f"{warehouse}/{FACT}",
+        lambda folder: write_by_month(
+            facts, folder, clustered=True, new=True, measures=quality.row_measures(checks, FACT, STAGED_PRICES)
+        ),
+    )
     fact = written(FACT)
     staged_metadata = companies.stage_metadata(written(RAW_METADATA))
     dimension = publish(COMPANIES, companies.company_dimension(staged_metadata))
     months = publish(TICKER_MONTHS, prices.ticker_months(fact))
-    publish(SEGMENT_MONTHS, marts.segment_by_month(months))
-    publish(MARKET_MONTHS, marts.market_by_month(months))
-    publish(SEGMENT_YEARS, marts.segment_by_year(months))
-    publish(EVENTS, marts.market_events(fact, events))
-    publish(RANKING, marts.ticker_ranking(months, dimension))
+    _side_by_side(
+        spark,
+        (
+            lambda: publish(SEGMENT_MONTHS, marts.segment_by_month(months)),
+            lambda: publish(MARKET_MONTHS, marts.market_by_month(months)),
+            lambda: publish(SEGMENT_YEARS, marts.segment_by_year(months)),
+            lambda: publish(EVENTS, marts.market_events(fact, events)),
+            lambda: publish(RANKING, marts.ticker_ranking(months, dimension)),
+        ),
+    )
+
+
+def _side_by_side(spark: SparkSession, steps: Sequence[Callable[[], object]]) -> None:
+    """Runs independent steps as concurrent Spark jobs of this session; raises the first failure.
+
+    Short jobs then fill the cores that others leave idle at their ends. Each step has a
+    scheduler pool of its own, which counts where the cluster schedules fairly.
+    """
+    def step(number: int) -> object:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"models-{number}")
+        return steps[number]()
+
+    with ThreadPoolExecutor(MODELS_AT_ONCE) as threads:
+        for done in [threads.submit(inheritable_thread_target(spark)(step), n) for n in range(len(steps))]:
+            done.result()
 
 
 def open_models(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
@@ -185,11 +233,27 @@ def open_models(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     return tables
 
 
+def check_models(
+    spark: SparkSession, warehouse: str, checks: Iterable[quality.Check] = PUBLISHED_CHECKS
+) -> DataFrame:
+    """The report on a built warehouse; what the writes have counted is not counted again.
+
+    The fact's key is checked on the days of the rollup.
+    """
+    tables = open_models(spark, warehouse)
+    measured: dict[str, int] = {}
+    for name in WRITTEN_TABLES:
+        measured |= current(spark, f"{warehouse}/{name}").measures
+    return quality.quality_report(tables, checks, measured=measured, months={FACT: tables[TICKER_MONTHS]})
+
+
 def run_models(
     spark: SparkSession,
     warehouse: str,
     events: Iterable[tuple[str, dt.date, dt.date]] = S.MARKET_EVENTS,
-    checks: Iterable[quality.Check] = (*quality.MODEL_CHECKS, quality.FACT_KEY_CHECK),
+    checks: Iterable[quality.Check] = PUBLISHED_CHECKS,
 ) -> list[Row]:
     """Build all models, then check them; raises if an error-level check fails."""
-    return quality.enforce(quality.quality_report(build_models(spark, warehouse, events), checks))
+    checks = tuple(checks)
+    build_models(spark, warehouse, events, checks)
+    return quality.enforce(check_models(spark, warehouse, checks))

@@ -119,3 +119,16 @@ COMPANY_COLUMNS = (
     "is_test_issue",
     "round_lot_size",
 )
+
+#: What identifies a row of a checked table.
+TABLE_KEYS = {
+    "stg_daily_prices": ("symbol", "trade_date"),
+    "stg_symbols_meta": ("symbol",),
+    "dim_companies": ("symbol",),
+    "fact_daily_prices": ("symbol", "trade_date"),
+    "agg_sector_performance": ("trade_month", "market_category"),
+    "agg_monthly_summary": ("trade_month",),
+    "agg_yearly_performance": ("trade_year", "market_category"),
+    "agg_market_crash_analysis": ("event_name",),
+    "agg_top_tickers_alltime": ("symbol",),
+}

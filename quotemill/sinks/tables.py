@@ -1,9 +1,14 @@
-"""Writers of partitioned and flat Parquet tables. Each replaces the old content."""
+"""Writers of partitioned and flat Parquet tables.
+
+Each replaces the old content of a folder, or with ``new`` writes a folder that nobody
+reads yet, as a version of a table does (``snapshots``).
+"""
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,18 +19,31 @@ from quotemill.session import file_system
 
 @dataclass(frozen=True)
 class LoadReport:
+    """Rows and bytes that a load wrote, and what it measured on the way."""
+
     path: str
     rows: int
+    bytes: int = 0
+    measures: Mapping[str, int] = field(default_factory=dict)
 
 
-def _write(df: DataFrame, path: str, partition: str | None = None) -> LoadReport:
-    """Write and count in one pass, beside the old table, which is then replaced.
+def _write(
+    df: DataFrame,
+    path: str,
+    partition: str | None = None,
+    new: bool = False,
+    measures: Mapping[str, Column] | None = None,
+) -> LoadReport:
+    """Write, count and measure in one pass, beside the old table, which is then replaced.
 
-    A failed job raises out of the write and leaves the old table as it was.
+    A failed job raises out of the write and leaves the old table as it was. A ``new``
+    folder is written in place. ``measures`` are aggregates over the written rows.
     """
+    measures = measures or {}
     counted = Observation()
-    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
+    fresh = path if new else f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    taken = [measure.alias(f"m{number}") for number, measure in enumerate(measures.values())]
+    writer = df.observe(counted, F.count(F.lit(1)).alias("rows"), *taken).write
     if partition:
         writer = writer.partitionBy(partition)
     files, written = file_system(df.sparkSession, fresh)
@@ -34,8 +52,12 @@ def _write(df: DataFrame, path: str, partition: str | None = None) -> LoadReport
     except Exception:
         files.delete(written, True)
         raise
-    _replace(df.sparkSession, fresh, path)
-    return LoadReport(path, counted.get["rows"])
+    size = files.getContentSummary(written).getLength()
+    if not new:
+        _replace(df.sparkSession, fresh, path)
+    found = counted.get
+    told = {name: found[f"m{number}"] for number, name in enumerate(measures)}
+    return LoadReport(path, found["rows"], size, told)
 
 
 def _replace(spark: SparkSession, fresh: str, path: str) -> None:
@@ -75,7 +97,12 @@ def write_by_year(df: DataFrame, path: str, files_per_year: int | None = None) -
 
 
 def write_by_month(
-    df: DataFrame, path: str, clustered: bool = False, row_id: Column | None = None
+    df: DataFrame,
+    path: str,
+    clustered: bool = False,
+    row_id: Column | None = None,
+    new: bool = False,
+    measures: Mapping[str, Column] | None = None,
 ) -> LoadReport:
     """Parquet below one directory per month, clustered by symbol.
 
@@ -97,9 +124,11 @@ def write_by_month(
     if not clustered:
         dated = dated.repartitionByRange(*keys, "row_id")
     rows = dated.sortWithinPartitions(*keys).select(*columns, "trade_month")
-    return _write(rows, path, "trade_month")
+    return _write(rows, path, "trade_month", new, measures)
 
 
-def write_flat(df: DataFrame, path: str) -> LoadReport:
+def write_flat(
+    df: DataFrame, path: str, new: bool = False, measures: Mapping[str, Column] | None = None
+) -> LoadReport:
     """Unpartitioned Parquet table."""
-    return _write(df, path)
+    return _write(df, path, new=new, measures=measures)

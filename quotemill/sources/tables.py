@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quotemill.functions.columns import file_name, month_of
 from quotemill.schemas import EVENT_SCHEMA
+from quotemill.sinks.snapshots import read_snapshot
 
 
 def listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -48,7 +49,8 @@ def scan_processed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{warehouse}/{name}")
+    """A table of the warehouse as its last load left it; later loads don't disturb the result."""
+    return read_snapshot(spark, f"{warehouse}/{name}")
 
 
 def within_dates(table: DataFrame, start: dt.date, end: dt.date) -> DataFrame:

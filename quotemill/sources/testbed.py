@@ -9,6 +9,7 @@ the same doubles whatever the order of summation.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -141,7 +142,7 @@ def price_lines(prices: DataFrame, defects: bool = False) -> DataFrame:
     whole = _line(*names)
     if not defects:
         return prices.select("symbol", "is_etf", whole.alias("line"))
-    kind = F.pmod(F.date_diff("trade_date", F.lit(dt.date(1990, 1, 1))) * 31 + _key(F.col("symbol")), F.lit(DEFECT_PERIOD))
+    kind = _kind(F.col("symbol"), F.col("trade_date"))
 
     def changed(**new: str) -> Column:
         return _line(*(F.lit(new[name]) if name in new else name for name in names))
@@ -166,10 +167,39 @@ def price_lines(prices: DataFrame, defects: bool = False) -> DataFrame:
     return prices.select("symbol", "is_etf", F.explode(lines).alias("line"))
 
 
+def _kind(symbol: Column, day: Column) -> Column:
+    """A number from 0 to 39 by ticker and day."""
+    return F.pmod(F.date_diff(day, F.lit(dt.date(1990, 1, 1))) * 31 + _key(symbol), F.lit(DEFECT_PERIOD))
+
+
+def spoilt_rows(prices: DataFrame) -> DataFrame:
+    """Rows of prices of which every one of 40 kinds 0 to 6 is unusable."""
+    kind, close = _kind(F.col("symbol"), F.col("trade_date")), F.col("close")
+    spoilt = {
+        "close": F.when(kind == 0, F.lit(None)).when(kind == 1, 0.0).when(kind == 2, -close).when(kind == 3, float("nan")).otherwise(close),
+        "trade_date": F.when(kind != 4, F.col("trade_date")),
+        "symbol": F.when(kind == 5, "").when(kind != 6, F.col("symbol")),
+    }
+    return prices.select(*(spoilt.get(name, F.col(name)).alias(name) for name in prices.columns))
+
+
+def violating_rows(prices: DataFrame) -> DataFrame:
+    """Rows of prices that break rules: kinds 0 to 2 lack a value, 3 has an odd segment, 4 comes twice."""
+    kind = _kind(F.col("symbol"), F.col("trade_date"))
+    marked = prices.withColumn("n", F.explode(F.sequence(F.lit(1), F.when(kind == 4, 2).otherwise(1))))
+    spoilt = {
+        "close": F.when(~kind.isin(0, 1), F.col("close")),
+        "volume": F.when(~kind.isin(1, 2), F.col("volume")),
+        "market_category": F.when(kind == 3, F.concat(F.lit("Pink "), "symbol")).otherwise(F.col("market_category")),
+    }
+    return marked.select(*(spoilt.get(name, F.col(name)).alias(name) for name in prices.columns))
+
+
 def write_price_files(lines: DataFrame, folder: str) -> list[str]:
     """One headered file per ticker below stocks/ and etfs/; returns a glob for each.
 
-    Written by ticker and then renamed, one rename per ticker, so no data moves twice.
+    Written by ticker and then renamed, one rename per ticker, so no data moves twice. The
+    renames are calls of the file system without data, many at a time.
     """
     spark = lines.sparkSession
     header = ",".join(PRICE_FILE_COLUMNS)
@@ -190,10 +220,13 @@ def write_price_files(lines: DataFrame, folder: str) -> list[str]:
         _, target = file_system(spark, f"{folder}/{name}")
         files.mkdirs(target)
         _, pattern = file_system(spark, f"{folder}/parts/directory={name}/symbol=*/*.txt")
-        for status in files.globStatus(pattern):
-            ticker = unquote(status.getPath().getParent().getName().removeprefix("symbol="))
+        def named(path, name=name) -> None:
+            ticker = unquote(path.getParent().getName().removeprefix("symbol="))
             _, place = file_system(spark, f"{folder}/{name}/{ticker}.csv")
-            files.rename(status.getPath(), place)
+            files.rename(path, place)
+
+        with ThreadPoolExecutor(16) as threads:
+            list(threads.map(named, [status.getPath() for status in files.globStatus(pattern)]))
         globs.append(f"{folder}/{name}/*.csv")
     return globs
 
