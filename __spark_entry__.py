@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from oracle import ORACLE
 from quotemill import schemas as S
-from quotemill.operators import cleaning, companies, prices, quality, reports
+from quotemill.operators import cleaning, companies, days, prices, quality, reports
 from quotemill.operators.indicators import MAX_ROWS_PER_TASK, with_indicators
 from quotemill.plans import dashboards, jobs, marts
 from quotemill.session import file_system, materialize, scratch_path
@@ -30,6 +30,7 @@ from quotemill.sinks.tables import write_by_month, write_by_year, write_flat
 from quotemill.sources import testbed
 from quotemill.sources.price_files import first_files, scan_prices
 from quotemill.sources.tables import (
+    literal_events,
     register_views,
     scan_metadata,
     scan_processed,
@@ -137,6 +138,39 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return marts.market_events(_fact(spark, folder), testbed.TEST_EVENTS)
 
 
+def _day_rollup(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Blocks of days and the trading calendar, written."""
+    fact = materialize(_fact(spark, folder), "fact")
+    numbers = days.ticker_numbers(fact.select("symbol").distinct())
+    by_day = materialize(days.market_days(fact, numbers), "market-days")
+    calendar = materialize(days.trading_calendar(by_day), "calendar")
+    return materialize(days.day_blocks(by_day, calendar), "day-blocks"), calendar
+
+
+def _events_from_days(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``agg_market_events``, from blocks of days."""
+    blocks, calendar = _day_rollup(spark, folder)
+    return days.range_totals(blocks, calendar, literal_events(spark, testbed.TEST_EVENTS))
+
+
+def _many_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Market behaviour in overlapping ranges: one from every third trading day, 1 to 400 days long."""
+    blocks, calendar = _day_rollup(spark, folder)
+    opened = calendar.withColumn("after", F.lead("before").over(Window.orderBy("date"))).where("after > before AND before % 3 = 0")
+    ranges = opened.select(
+        F.concat(F.lit("from "), F.col("date").cast("string")).alias("event_name"),
+        F.col("date").alias("event_start"),
+        F.date_add("date", (F.col("before") * 7 % 400).cast("int")).alias("event_end"),
+    )
+    return days.range_totals(blocks, calendar, ranges)
+
+
+def _years_from_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``agg_yearly_performance``, with tickers counted in bitmaps."""
+    months = materialize(_months(spark, folder), jobs.TICKER_MONTHS)
+    return marts.segment_by_year(months, days.ticker_numbers(months.select("symbol").distinct()))
+
+
 def _ranking(spark: SparkSession, folder: str) -> DataFrame:
     return marts.ticker_ranking(_months(spark, folder), _companies(spark, folder))
 
@@ -353,8 +387,8 @@ def _month_table(spark: SparkSession, folder: str) -> DataFrame:
 
 def _some_months(spark: SparkSession, folder: str) -> DataFrame:
     """A date range of the table by month."""
-    days = within_dates(_written_months(spark, folder), SLICE_START, SLICE_END)
-    return _rounded(days.select(*S.FACT_COLUMNS))
+    rows = within_dates(_written_months(spark, folder), SLICE_START, SLICE_END)
+    return _rounded(rows.select(*S.FACT_COLUMNS))
 
 
 def _flat_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -529,6 +563,9 @@ def _price_queries() -> dict[str, Query]:
             _fact(spark, folder)
         ),
         "agg_top_tickers": _ranking,
+        "events_from_days": _events_from_days,
+        "many_ranges": _many_ranges,
+        "years_from_bitmaps": _years_from_bitmaps,
         # dashboard and documented queries
         "ranking_edges": _edge_ranking,
         "ranking_places": _ranked_days,

@@ -399,6 +399,15 @@ ORACLE = {
     "agg_market_events": _sql("SELECT * FROM events_mart"),
     "agg_market_crash_analysis": _sql(_events(MARKET_EVENTS)),
     "agg_top_tickers": _sql("SELECT * FROM ranking"),
+    "events_from_days": _sql("SELECT * FROM events_mart"),
+    "many_ranges": _sql(
+        _events(
+            "(SELECT 'from ' || d, d, d + CAST(n * 7 % 400 AS INTEGER)"
+            " FROM (SELECT trade_date AS d, row_number() OVER (ORDER BY trade_date) - 1 AS n"
+            " FROM (SELECT DISTINCT trade_date FROM fact WHERE daily_return IS NOT NULL)) WHERE n % 3 = 0)"
+        )
+    ),
+    "years_from_bitmaps": _sql("SELECT * FROM yearly"),
     "top20": _sql(_leaders("DESC")),
     "bottom20": _sql(_leaders("ASC")),
     "dash_volume": _sql("SELECT trade_month, total_volume FROM market ORDER BY trade_month"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill import schemas as S
-from quotemill.operators import companies, prices, quality, reports
+from quotemill.operators import companies, days, prices, quality, reports
 from quotemill.operators.cleaning import clean_prices
 from quotemill.operators.indicators import MAX_ROWS_PER_TASK, with_indicators
 from quotemill.plans import marts
@@ -22,6 +22,7 @@ from quotemill.sinks.tables import LoadReport, write_by_month, write_by_year, wr
 from quotemill.sources.price_files import first_files, long_series_candidates, scan_prices
 from quotemill.sources.tables import (
     listing,
+    literal_events,
     register_views,
     scan_metadata,
     scan_processed,
@@ -44,10 +45,14 @@ EVENTS = "agg_market_crash_analysis"
 RANKING = "agg_top_tickers_alltime"
 # Ours: the rollup most marts are computed from.
 TICKER_MONTHS = "ticker_months"
+# Ours: what date ranges are answered from.
+TICKER_NUMBERS = "ticker_numbers"
+CALENDAR = "trading_calendar"
+DAY_BLOCKS = "day_blocks"
 
 WRITTEN_TABLES = (
-    RAW_PRICES, RAW_METADATA, COMPANIES, FACT, TICKER_MONTHS, SEGMENT_MONTHS, MARKET_MONTHS,
-    SEGMENT_YEARS, EVENTS, RANKING,
+    RAW_PRICES, RAW_METADATA, COMPANIES, FACT, TICKER_MONTHS, TICKER_NUMBERS, CALENDAR, DAY_BLOCKS,
+    SEGMENT_MONTHS, MARKET_MONTHS, SEGMENT_YEARS, EVENTS, RANKING,
 )
 
 # Independent models written at a time, as many as the source's scheduler runs.
@@ -194,13 +199,21 @@ def _write_models(
     staged_metadata = companies.stage_metadata(written(RAW_METADATA))
     dimension = publish(COMPANIES, companies.company_dimension(staged_metadata))
     months = publish(TICKER_MONTHS, prices.ticker_months(fact))
+    numbers = publish(TICKER_NUMBERS, days.ticker_numbers(months.select("symbol").distinct()))
+
+    def event_mart() -> None:
+        by_day = materialize(days.market_days(fact, numbers), "market-days")
+        calendar = publish(CALENDAR, days.trading_calendar(by_day))
+        blocks = publish(DAY_BLOCKS, days.day_blocks(by_day, calendar))
+        publish(EVENTS, days.range_totals(blocks, calendar, literal_events(spark, events)))
+
     _side_by_side(
         spark,
         (
             lambda: publish(SEGMENT_MONTHS, marts.segment_by_month(months)),
             lambda: publish(MARKET_MONTHS, marts.market_by_month(months)),
-            lambda: publish(SEGMENT_YEARS, marts.segment_by_year(months)),
-            lambda: publish(EVENTS, marts.market_events(fact, events)),
+            lambda: publish(SEGMENT_YEARS, marts.segment_by_year(months, numbers)),
+            event_mart,
             lambda: publish(RANKING, marts.ticker_ranking(months, dimension)),
         ),
     )

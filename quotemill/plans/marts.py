@@ -22,6 +22,7 @@ from quotemill.functions.columns import (
     return_digits,
     year_of,
 )
+from quotemill.operators.days import tickers_by_year
 from quotemill.sources.tables import literal_events
 
 def _mean(total: str, count: str) -> Column:
@@ -117,9 +118,19 @@ def monthly_movers(months: DataFrame) -> DataFrame:
     )
 
 
-def segment_by_year(months: DataFrame) -> DataFrame:
-    """Market segment by year with the annualised mean return."""
+def segment_by_year(months: DataFrame, numbers: DataFrame | None = None) -> DataFrame:
+    """Market segment by year with the annualised mean return.
+
+    With ``numbers`` (``ticker_numbers``) distinct tickers are counted in bitmaps; without,
+    by an aggregation that shuffles them.
+    """
     mean_return = _mean("return_sum", "return_count")
+    if numbers is not None:
+        sums = _segment_years(months, mean_return)
+        keys = ["trade_year", "market_category"]
+        return sums.join(tickers_by_year(months, numbers), keys).select(
+            *keys, "avg_daily_return", "avg_volatility", "total_volume", "ticker_count", "approx_annual_return"
+        )
     return (
         months.where(_in_a_segment())
         .groupBy(year_of(F.col("trade_month")).alias("trade_year"), "market_category")
@@ -133,6 +144,19 @@ def segment_by_year(months: DataFrame) -> DataFrame:
     )
 
 
+def _segment_years(months: DataFrame, mean_return: Column) -> DataFrame:
+    return (
+        months.where(_in_a_segment())
+        .groupBy(year_of(F.col("trade_month")).alias("trade_year"), "market_category")
+        .agg(
+            return_digits(mean_return).alias("avg_daily_return"),
+            return_digits(_mean("r_volatility_sum", "r_volatility_count")).alias("avg_volatility"),
+            F.sum("r_volume").alias("total_volume"),
+            compounded(mean_return, F.lit(S.YEAR_ROWS)).alias("approx_annual_return"),
+        )
+    )
+
+
 def _ranges(column: Column, events: list, as_month: bool) -> Column:
     """Does ``column`` lie in the range of some event? Ranges that meet are one."""
     spans: list[tuple[dt.date, dt.date]] = []
