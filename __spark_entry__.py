@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
+import uuid
 from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
@@ -147,6 +148,24 @@ def _day_rollup(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
     return materialize(days.day_blocks(by_day, calendar), "day-blocks"), calendar
 
 
+def _reduced_star(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``star_query``, over the fact written by month, cut by symbol before the join."""
+    companies_ = materialize(_companies(spark, folder), jobs.COMPANIES)
+    return dashboards.reduced_star_slice(_written_months(spark, folder), companies_, SLICE_START, SLICE_END, SLICE_SEGMENT)
+
+
+def _named_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Days and volume of each company, joined in another session by the names of the tables in buckets."""
+    base, database = _modelled(spark, folder), f"models_{uuid.uuid4().hex}"
+    jobs.name_models(spark, base, database, buckets=8)
+    return spark.newSession().sql(
+        f"SELECT d.symbol, d.security_name, count(*) AS days, sum(f.volume) AS volume,"
+        f" (SELECT count(*) FROM {database}.{jobs.FACT}) AS all_days"
+        f" FROM {database}.{jobs.FACT_BY_SYMBOL} AS f JOIN {database}.{jobs.COMPANIES_BY_SYMBOL} AS d ON f.symbol = d.symbol"
+        f" GROUP BY d.symbol, d.security_name"
+    )
+
+
 def _events_from_days(spark: SparkSession, folder: str) -> DataFrame:
     """As ``agg_market_events``, from blocks of days."""
     blocks, calendar = _day_rollup(spark, folder)
@@ -589,6 +608,8 @@ def _price_queries() -> dict[str, Query]:
         "star_query": lambda spark, folder: dashboards.star_slice(
             _fact(spark, folder), _companies(spark, folder), SLICE_START, SLICE_END, SLICE_SEGMENT
         ),
+        "star_reduced": _reduced_star,
+        "named_tables": _named_tables,
         "row_count": lambda spark, folder: dashboards.row_count(_fact(spark, folder)),
         # reports and checks
         "run_report": lambda spark, folder: reports.run_report(_enriched(spark, folder)),

@@ -435,6 +435,16 @@ ORACLE = {
         " f.daily_return FROM fact AS f JOIN dim AS d ON f.symbol = d.symbol"
         f" WHERE f.trade_date BETWEEN {SLICE} AND d.market_category = 'NYSE'"
     ),
+    "star_reduced": _sql(
+        "SELECT f.trade_date, f.symbol, d.security_name, d.market_category, f.close,"
+        " f.daily_return FROM fact AS f JOIN dim AS d ON f.symbol = d.symbol"
+        f" WHERE f.trade_date BETWEEN {SLICE} AND d.market_category = 'NYSE'"
+    ),
+    "named_tables": _sql(
+        "SELECT d.symbol, d.security_name, count(*) AS days, CAST(sum(f.volume) AS BIGINT) AS volume,"
+        " (SELECT count(*) FROM fact) AS all_days FROM fact AS f JOIN dim AS d ON f.symbol = d.symbol"
+        " GROUP BY d.symbol, d.security_name"
+    ),
     "row_count": _sql("SELECT count(*) AS row_count FROM fact"),
     "run_report": _sql(
         "SELECT count(*) AS total_rows, count(DISTINCT symbol) AS distinct_symbols,"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -17,6 +18,7 @@ from quotemill.operators.cleaning import clean_prices
 from quotemill.operators.indicators import MAX_ROWS_PER_TASK, with_indicators
 from quotemill.plans import marts
 from quotemill.session import materialize, sized_shuffles
+from quotemill.sinks.catalog import name_tables, write_buckets
 from quotemill.sinks.snapshots import current, replace_table
 from quotemill.sinks.tables import LoadReport, write_by_month, write_by_year, write_flat
 from quotemill.sources.price_files import first_files, long_series_candidates, scan_prices
@@ -49,6 +51,9 @@ TICKER_MONTHS = "ticker_months"
 TICKER_NUMBERS = "ticker_numbers"
 CALENDAR = "trading_calendar"
 DAY_BLOCKS = "day_blocks"
+# Ours: copies in buckets of the symbol.
+FACT_BY_SYMBOL = "fact_by_symbol"
+COMPANIES_BY_SYMBOL = "companies_by_symbol"
 
 WRITTEN_TABLES = (
     RAW_PRICES, RAW_METADATA, COMPANIES, FACT, TICKER_MONTHS, TICKER_NUMBERS, CALENDAR, DAY_BLOCKS,
@@ -246,6 +251,19 @@ def open_models(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     return tables
 
 
+def name_models(spark: SparkSession, warehouse: str, database: str, buckets: int = 0) -> None:
+    """Names of the built tables in ``database``, for any session of the catalog.
+
+    With ``buckets``, the fact and the dimension also come as ``fact_by_symbol`` and
+    ``companies_by_symbol``, between which joins by symbol need no shuffle.
+    """
+    name_tables(spark, warehouse, WRITTEN_TABLES, database)
+    if buckets:
+        for table, name, order in ((FACT, FACT_BY_SYMBOL, ("trade_date",)), (COMPANIES, COMPANIES_BY_SYMBOL, ())):
+            place = f"{warehouse}/{name}/{uuid.uuid4().hex}"
+            write_buckets(scan_table(spark, warehouse, table), database, name, place, buckets, "symbol", sort=order)
+
+
 def check_models(
     spark: SparkSession, warehouse: str, checks: Iterable[quality.Check] = PUBLISHED_CHECKS
 ) -> DataFrame:

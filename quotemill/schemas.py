@@ -132,3 +132,6 @@ TABLE_KEYS = {
     "agg_market_crash_analysis": ("event_name",),
     "agg_top_tickers_alltime": ("symbol",),
 }
+
+#: Ranges of symbols that a filter on a clustered table is made of, at most.
+SYMBOL_RANGES = 16
