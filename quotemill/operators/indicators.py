@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from quotemill import schemas as S
-from quotemill.functions.columns import relative_change
+from quotemill.functions.columns import month_of, relative_change
 from quotemill.session import materialize
 
 MAX_ROWS_PER_TASK = 2_000_000
@@ -120,11 +120,12 @@ def long_series(prices: DataFrame, max_rows: int) -> DataFrame:
 def _dealt_to_blocks(prices: DataFrame, span: int) -> DataFrame:
     """Rows of long series with their ``position`` and the ``block`` that needs them.
 
-    Equal rows travel as one row with a count. Positions come from two cumulative
-    sums: over cells (symbol, date, slice of the fingerprint), and over the rows of
-    one cell. There are as many cells as rows ask for, up to 4,096 for a date, so the
-    different rows of a date are spread that far; a group of copies is one row until
-    it is written out inside its blocks.
+    Equal rows travel as one row with a count. Positions come from cumulative sums on
+    three levels: over the months of a symbol, over the cells (date, slice of the
+    fingerprint) of a month, and over the rows of one cell. There are as many cells as rows
+    ask for, up to 4,096 for a date, so the different rows of a date are spread that far; a
+    group of copies is one row until it is written out inside its blocks. A task thus adds
+    up a month's cells at most, whatever a symbol holds, and one row for each of its months.
     """
     columns = prices.columns
     cell = ["symbol", "trade_date", "cell"]
@@ -148,15 +149,19 @@ def _dealt_to_blocks(prices: DataFrame, span: int) -> DataFrame:
         )
     )
 
+    counted = marked.groupBy(*cell).agg(F.count(F.lit(1)).alias("cell_rows")).withColumn("month", month_of(F.col("trade_date")))
+    earlier_months = Window.partitionBy("symbol").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    months = (
+        counted.groupBy("symbol", "month")
+        .agg(F.sum("cell_rows").alias("month_rows"))
+        .select("symbol", "month", F.coalesce(F.sum("month_rows").over(earlier_months), F.lit(0)).alias("month_start"))
+    )
     earlier_cells = (
-        Window.partitionBy("symbol")
-        .orderBy("trade_date", "cell")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("symbol", "month").orderBy("trade_date", "cell").rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = (
-        marked.groupBy(*cell)
-        .agg(F.count(F.lit(1)).alias("cell_rows"))
-        .select(*cell, F.sum("cell_rows").over(earlier_cells).alias("cell_start"))
+    before = F.coalesce(F.sum("cell_rows").over(earlier_cells), F.lit(0))
+    starts = counted.withColumn("before", before).join(months, ["symbol", "month"]).select(
+        *cell, (F.col("month_start") + F.col("before")).alias("cell_start")
     )
 
     earlier_runs = (
@@ -164,7 +169,7 @@ def _dealt_to_blocks(prices: DataFrame, span: int) -> DataFrame:
         .orderBy(*keys[len(cell):])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    first = F.coalesce("cell_start", F.lit(0)) + F.coalesce(
+    first = F.col("cell_start") + F.coalesce(
         F.sum("copies").over(earlier_runs), F.lit(0)
     )
     placed = (

@@ -163,6 +163,15 @@ def test_cut_series_never_put_a_symbol_into_one_task(spark, written):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def test_positions_in_a_cut_series_add_up_by_month(spark, written):
+    """No window orders a symbol's cells in one task: only its months."""
+    from quotemill.operators.indicators import _dealt_to_blocks
+
+    plan = static_plan(_dealt_to_blocks(written["prices"], 100))
+    alone = [w for w in re.findall(r"Window \[.*", plan) if re.search(r"\], \[symbol#\d+\], \[", w)]
+    assert alone and all(re.search(r"\[symbol#\d+\], \[month#\d+", w) for w in alone)
+
+
 def test_cut_series_are_enriched_before_the_union(spark, written):
     """Nothing is shuffled once short and long series are together, and nothing is forced."""
     metadata = price_metadata(written["metadata"])
