@@ -88,25 +88,25 @@ def overlaps(
     *,
     window: int = WINDOW,
     similarity: float = SIMILARITY,
-    short_items: bool = False,
+    short_items: bool = True,
 ) -> DataFrame:
     """Texts of ``docs`` that share a stretch with a test item: one row per text and item.
 
     ``docs`` has ``text`` and ``items`` has ``item_id`` and ``text``. The result has
-    ``text_key`` (the hash of a whole text, ``text_hash``), ``item_id``, ``matched`` (the
+    ``text_key`` (the digest of a whole text, ``text_hash``), ``item_id``, ``matched`` (the
     most words that agree within one window, 13 words or the whole of a shorter item),
     ``item_words``, and ``item_start`` and ``text_start``, the words at which that window
-    begins. A window counts if at least ``similarity`` of its words agree in place; an
-    item shorter than a window has to be there word for word, which is the rule of op8's SQL.
+    begins. A window counts if at least ``similarity`` of its words agree in place. The share
+    holds for items shorter than a window too: one of 8 words or more counts where at least
+    ``similarity`` of its words agree, found by spans of which a similar stretch keeps one
+    whole, and one of 1 to 7 words where all do. Spans are only made for the lengths that
+    occur among the items.
 
-    With ``short_items`` the share holds for shorter items too: one of 8 words or more counts
-    where at least ``similarity`` of its words agree, found by spans of which a similar stretch
-    keeps one whole, and one of 1 to 7 words where all do. Spans are only made for the lengths
-    that occur among the items.
+    Without ``short_items``, for test sets of short common phrases, items of 8 to 12 words have
+    to be there word for word and those of fewer words take no part.
 
-    Equal texts are one text. Null texts and ids of items take no part, nor, without
-    ``short_items``, do items of fewer words than a mask. Repeated
-    items are one. Empty tables give no rows.
+    Equal texts are one text. Null texts and ids of items take no part, nor do items without
+    words. Repeated items are one. Empty tables give no rows.
     """
     spark = docs.sparkSession
     test = (
@@ -129,7 +129,7 @@ def overlaps(
         "item_id", F.col("s.at").alias("item_at"), "s.seed"
     )
     sown = materialize(sown.distinct(), "test-seeds")
-    keyed = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("text_key"), "text")
+    keyed = docs.where("text IS NOT NULL").select(text_hash(F.col("text")).alias("text_key"), "text")
     # The hashes are made once, then walked by both masks.
     sought = (
         keyed.select("text_key", word_hashes(F.col("text")).alias("hashes"))
@@ -198,8 +198,8 @@ def overlaps(
 
 
 def text_hash(text: Column) -> Column:
-    """The key by which ``overlaps`` names a text."""
-    return F.xxhash64(text)
+    """The key by which ``overlaps`` names a text: its MD5, 16 bytes."""
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

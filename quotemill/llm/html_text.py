@@ -346,15 +346,15 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     A null or empty html gives an empty text. Pages with a null or odd URL share the
     nameless host. A host of a single page has no evidence but the page's own. Repeated
-    rows come back as often. The names ``host``, ``slot`` and ``constant`` may be in
-    ``pages``; they are kept, but a column ``text`` is replaced.
+    rows come back as often. Columns of any other
+    name are kept, and a column ``text`` is replaced.
     """
-    own = pages.select("*", host_of(F.col("url")).alias("_host"))
-    _, slots = deduce_templates(own.select(F.col("_host").alias("host"), "html"))
+    # The caller's columns travel in one, so that no name of theirs meets one used here.
+    whole = F.struct(*(F.col(f"`{name}`") for name in pages.columns)).alias("page")
+    own = pages.select(whole, host_of(F.col("url")).alias("host"))
+    _, slots = deduce_templates(own.select("host", F.col("page.html").alias("html")))
     slots = materialize(slots, "main-slots")
-    joined = own.join(
-        slots.select(F.col("host").alias("_host"), F.col("slot").alias("_slot"), F.col("constant").alias("_constant")), "_host", "left"
-    )
+    joined = own.join(slots.select("host", "slot", "constant"), "host", "left")
 
     @F.pandas_udf("string")
     def fill(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -368,4 +368,5 @@ def extract_text(pages: DataFrame) -> DataFrame:
             )
 
     # The slot travels as text: a nullable integer would become a floating-point number.
-    return joined.select(*[joined[c] for c in pages.columns if c != "text"], fill(F.col("html"), F.col("_slot").cast("string"), F.col("_constant")).alias("text"))
+    text = fill(F.col("page.html"), F.col("slot").cast("string"), F.col("constant")).alias("text")
+    return joined.select(*(F.col("page")[name].alias(name) for name in pages.columns if name != "text"), text)

@@ -30,13 +30,16 @@ _DATA_ROWS = 16_384
 #: Pivots travel to every task and their pairs are compared on the driver.
 _MOST_PIVOTS = 1024
 _COMPARED_AT_ONCE = 1 << 22
+#: Below it doubles hold whole numbers, with room for rounded lengths.
+_EXACT = 2.0**52
+_LEAST, _MOST = -(2**63), 2**63 - 1
 
 
 def integer_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``vec_id`` and ``vec``: components as floor(1024 * x), for rows that take part.
 
     Left out are rows with a null id, a null vector, or a vector that holds a null or
-    a component that is not finite.
+    a component that is not finite. Beyond the range of a bigint its ends stand for it.
     """
     x = F.col(vector).cast("array<double>")
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
@@ -48,8 +51,8 @@ def integer_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "e
 
 
 def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
-    """Rows of equal length; shorter vectors end in zeros."""
-    out = np.zeros((len(vectors), width))
+    """Rows of equal length, as integers; shorter vectors end in zeros."""
+    out = np.zeros((len(vectors), width), dtype=np.int64)
     for at, vector in enumerate(vectors):
         out[at, : len(vector)] = vector
     return out
@@ -80,9 +83,10 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
 
     Vectors of different lengths are compared as if the shorter ended in zeros. A
     repeated id is answered once, for its least vector, while every row stays a
-    candidate, so an id may come twice in one result. Scores are exact as long as no
-    sum of products can reach 2^53, which the lengths of the vectors show; beyond that
-    the call fails rather than round.
+    candidate, so an id may come twice in one result. Scores are exact: where the lengths of
+    two vectors show that doubles could round their product, it is formed with integers of
+    any size. A score beyond the range of a bigint is ranked as it is and returned as the
+    range's end.
     """
     spark = vectors.sparkSession
     square = F.aggregate("vec", F.lit(0.0), lambda total, x: total + x.cast("double") * x)
@@ -98,14 +102,12 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
     empty = "query_id bigint, rank int, vec_id bigint, score bigint"
     if not asked or rows < 2:
         return spark.createDataFrame([], empty)
-    if longest >= 2.0**53:
-        raise ValueError("the vectors are too long for exact scores in double precision")
     width = max(width, 1)
     # About one group of queries for the square root of their number.
     wanted = min(_MOST_PIVOTS, max(1, math.isqrt(asked)))
     sample = hash_sample(stored.select("vec_id", "vec"), F.col("vec_id"), (2 * wanted + 16) / rows)
     found = sample.toPandas().sort_values("vec_id").drop_duplicates("vec_id")
-    pivots = _matrix(found["vec"][:wanted], width) if len(found) else np.zeros((1, width))
+    pivots = _matrix(found["vec"][:wanted], width).astype(float) if len(found) else np.zeros((1, width))
     pivots = np.unique(pivots, axis=0)
     points = np.column_stack([pivots, _lifted(pivots, longest)])
     across = _distances(points, points)
@@ -114,7 +116,8 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
         for batch in batches:
             if not len(batch):
                 continue
-            data = _matrix(batch["vec"], width)
+            whole = _matrix(batch["vec"], width)
+            data = whole.astype(float)
             lifted = np.column_stack([data, _lifted(data, longest)])
             asking = np.column_stack([data, np.zeros(len(data))])
             near, far = _distances(lifted, points), _distances(asking, points)
@@ -124,7 +127,7 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
                 {
                     "vec_id": batch["vec_id"],
                     "is_query": batch["is_query"],
-                    "v": [row.tobytes() for row in data.astype(np.int32 if longest < 2.0**62 and np.abs(data).max(initial=0) < 2**31 else np.int64)],
+                    "v": [row.tobytes() for row in whole.astype(np.int32 if np.abs(data).max(initial=0) < 2**31 else np.int64)],
                     "cell": own,
                     "dist": near[at, own],
                     "query_cell": other,
@@ -139,14 +142,15 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
     once = assigned.groupBy("cell", "vec_id").agg(F.min("dist").alias("dist"))
     order = Window.partitionBy("cell").orderBy("dist")
     closest = (
-        once.select("cell", "dist", F.row_number().over(order).alias("n")).where(F.col("n") <= k + 1).toPandas()
+        once.select("cell", "vec_id", "dist", F.row_number().over(order).alias("n")).where(F.col("n") <= k + 1).toPandas()
     )
     sizes = assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("rows")).toPandas()
     radius = (
         assigned.where("is_query").groupBy("query_cell").agg(F.max("query_dist").alias("radius"), F.count(F.lit(1)).alias("rows")).toPandas()
     )
     slack = 1e-6 * max(1.0, math.sqrt(longest))
-    cells = closest["cell"].to_numpy()
+    cells, distances = closest["cell"].to_numpy(), closest["dist"].to_numpy()
+    _, named = np.unique(closest["vec_id"].to_numpy(np.int64), return_inverse=True)
     groups = radius["query_cell"].to_numpy()
     radii = np.zeros(len(points))
     radii[groups] = radius["radius"]
@@ -154,8 +158,10 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
     members[sizes["cell"].to_numpy()] = sizes["rows"]
     low, high = np.full((len(points), len(points)), np.inf), np.full((len(points), len(points)), -np.inf)
     for group in groups:
-        reach = np.sort(radii[group] + across[group, cells] + closest["dist"].to_numpy())
-        # One id may be the query's own, hence k + 1.
+        # An id that several cells hold counts once; one may be the query's own, hence k + 1.
+        nearest_of = np.full(named.max(initial=-1) + 1, np.inf)
+        np.minimum.at(nearest_of, named, radii[group] + across[group, cells] + distances)
+        reach = np.sort(nearest_of)
         bound = (reach[k] if len(reach) > k else np.inf) + slack
         low[group] = across[group] - radii[group] - bound - slack
         high[group] = across[group] + radii[group] + bound + slack
@@ -193,26 +199,42 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
                     place = first[group] + block * chunks[group] + spread[needed] % chunks[group]
                     yield pd.DataFrame({"place": place, "vec_id": ids[needed], "v": vectors_[needed]})
 
+    limbs = ("high", "middle", "low")
+
     def numbers(values: pd.Series) -> np.ndarray:
-        kind = np.int32 if len(values.iloc[0]) == 4 * width else np.int64
         if len({len(v) for v in values}) == 1:
-            return np.frombuffer(b"".join(values), kind).reshape(len(values), width).astype(float)
-        return np.array([np.frombuffer(v, np.int32 if len(v) == 4 * width else np.int64) for v in values], dtype=float)
+            kind = np.int32 if len(values.iloc[0]) == 4 * width else np.int64
+            return np.frombuffer(b"".join(values), kind).reshape(len(values), width).astype(np.int64)
+        return np.array([np.frombuffer(v, np.int32 if len(v) == 4 * width else np.int64) for v in values], dtype=np.int64)
 
     def solve(asking: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
-        found = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)]
+        found = [pd.DataFrame({"query_id": [], "vec_id": [], **{name: [] for name in ("score", *limbs)}}, dtype=np.int64)]
         if len(asking) and len(offered):
             offered = offered.sort_values("vec_id", kind="stable")
-            ids = offered["vec_id"].to_numpy(np.int64)
-            data, queries = numbers(offered["v"]), numbers(asking["v"])
+            ids, askers = offered["vec_id"].to_numpy(np.int64), asking["vec_id"].to_numpy(np.int64)
+            whole, asked_for = numbers(offered["v"]), numbers(asking["v"])
+            data, queries = whole.astype(float), asked_for.astype(float)
+            reach, span = np.sqrt((data * data).sum(axis=1)), np.sqrt((queries * queries).sum(axis=1))
             step = max(1, _COMPARED_AT_ONCE // len(ids))
             for at in range(0, len(queries), step):
                 scores = queries[at : at + step] @ data.T
-                for row, query in zip(scores, asking["vec_id"].to_numpy(np.int64)[at : at + step], strict=True):
-                    other = ids != query
-                    best = _best(row[other], ids[other], k)
+                for row, own in enumerate(range(at, min(at + step, len(queries)))):
+                    other = ids != askers[own]
+                    # No sum within a product exceeds the product of the lengths.
+                    rounded = np.flatnonzero(other & (reach * span[own] >= _EXACT))
+                    if len(rounded):
+                        other[rounded] = False
+                    near = np.flatnonzero(other)
+                    best = near[_best(scores[row][near], ids[near], k)]
+                    ranked = [(-int(scores[row][n]), int(ids[n])) for n in best]
+                    if len(rounded):
+                        asker = [int(x) for x in asked_for[own]]
+                        ranked += [(-sum(a * int(b) for a, b in zip(asker, whole[n], strict=True)), int(ids[n])) for n in rounded]
+                        ranked = sorted(ranked)[:k]
+                    told = [(max(_LEAST, min(_MOST, -score)), *_in_order(-score)) for score, _ in ranked]
+                    parts = {name: [t[n] for t in told] for n, name in enumerate(("score", *limbs))}
                     found.append(
-                        pd.DataFrame({"query_id": query, "vec_id": ids[other][best], "score": row[other][best].astype(np.int64)})
+                        pd.DataFrame({"query_id": askers[own], "vec_id": [n for _, n in ranked], **parts}, dtype=np.int64)
                     )
         return pd.concat(found, ignore_index=True)
 
@@ -223,9 +245,9 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
     queries = asked_once.mapInPandas(ask, "place bigint, vec_id bigint, v binary")
     data = assigned.select("vec_id", "v", "cell", "dist").mapInPandas(offer, "place bigint, vec_id bigint, v binary")
     local = queries.groupBy("place").cogroup(data.groupBy("place")).applyInPandas(
-        solve, "query_id bigint, vec_id bigint, score bigint"
+        solve, "query_id bigint, vec_id bigint, score bigint, high bigint, middle bigint, low bigint"
     )
-    ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranking = Window.partitionBy("query_id").orderBy(*(F.desc(name) for name in limbs), "vec_id")
     return (
         local.withColumn("rank", F.row_number().over(ranking))
         .where(F.col("rank") <= k)
@@ -233,6 +255,11 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFram
     )
 
 
+def _in_order(score: int) -> tuple[int, int, int]:
+    """Three bigints whose order is that of scores of any size that bigint vectors can have."""
+    return score >> 96, (score >> 48) & (2**48 - 1), score & (2**48 - 1)
+
+
 def _bundled(groups: np.ndarray, sizes: np.ndarray, across: np.ndarray) -> tuple[np.ndarray, list]:
     """Query groups that lie near each other, put together up to one block of queries.
 

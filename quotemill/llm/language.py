@@ -24,7 +24,8 @@ UNDETERMINED = "und"
 #: Learning: documents of each language, the longest text taken, windows per document.
 SAMPLE_ROWS = 1200
 SAMPLE_CHARS = 20_000
-_WINDOWS_EACH = 6
+#: Learning: windows of one document.
+SAMPLE_WINDOWS = 6
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 12
@@ -104,8 +105,13 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return raised / raised.sum(axis=1, keepdims=True)
 
 
-def fit(texts: Sequence[str], langs: Sequence[str], *, seed: int = 5, epochs: int = 8) -> ByteNetwork:
-    """Trains the network by gradient steps with momentum-free adaptive rates."""
+def fit(
+    texts: Sequence[str], langs: Sequence[str], *, seed: int = 5, epochs: int = 8, windows_each: int = SAMPLE_WINDOWS
+) -> ByteNetwork:
+    """Trains the network by gradient steps with momentum-free adaptive rates.
+
+    Of each text it learns from ``windows_each`` windows, drawn at random, or all.
+    """
     languages = sorted(set(langs))
     shaker = np.random.default_rng(seed)
     total = len(WIDTHS) * FILTERS
@@ -122,7 +128,7 @@ def fit(texts: Sequence[str], langs: Sequence[str], *, seed: int = 5, epochs: in
         if not _LETTER.search(text):
             continue
         own = cut(text)
-        chosen = shaker.permutation(len(own))[:_WINDOWS_EACH]
+        chosen = shaker.permutation(len(own))[:windows_each]
         windows.append(own[chosen])
         truth += [languages.index(lang)] * len(chosen)
     if len(languages) < 2 or not windows:
@@ -160,18 +166,21 @@ def _step(network: ByteNetwork, windows: np.ndarray, truth: np.ndarray, weights:
         weight -= (0.05 * slope / np.sqrt(total)).astype(np.float32)
 
 
-def fit_languages(docs: DataFrame, *, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> ByteNetwork:
+def fit_languages(
+    docs: DataFrame, *, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, windows_each: int = SAMPLE_WINDOWS
+) -> ByteNetwork:
     """Fits on about ``rows`` documents at most of each language that are not held out.
 
     Rows with a null text, language or id are not learned from, nor are texts of more
-    than ``chars`` characters. Only text and language are used.
+    than ``chars`` characters; of each text ``windows_each`` windows are. Only text and
+    language are used.
     """
     known = docs.select("doc_id", "text", "lang").where(
         "doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL"
     )
     known = known.where(~held_out(F.col("doc_id")) & (F.char_length("text") <= chars))
     sample = class_sample(known, F.col("doc_id"), "lang", rows).toPandas().sort_values(["doc_id", "lang", "text"])
-    return fit(sample["text"].tolist(), sample["lang"].tolist())
+    return fit(sample["text"].tolist(), sample["lang"].tolist(), windows_each=windows_each)
 
 
 def identify(docs: DataFrame, network: ByteNetwork) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import words
+from quotemill.llm.common import row_key, words
 from quotemill.session import materialize
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -242,26 +242,27 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     row holds the words of the blocks taken, in their order, joined by spaces, and
     ``n_chars``, if there, is theirs. Documents without words have no place in a mix.
     """
-    key = F.xxhash64(*docs.columns)
-    counted = docs.withColumns({"_size": F.size(words(F.col("text"))), "_key": key})
-    placed, pieces = mix(
-        counted.select(F.col("_key").alias("doc_id"), "source", F.col("_size").alias("size")), **options
+    # The caller's columns travel in one, so that no name of theirs meets one used here.
+    counted = docs.select(
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("doc"),
+        row_key(docs.columns).alias("key"),
+        "source",
+        F.size(words(F.col("text"))).alias("size"),
     )
+    placed, pieces = mix(counted.select(F.col("key").alias("doc_id"), "source", "size"), **options)
     # Equal rows share a key and a text; each has pieces of its own.
     taken = (
         pieces.groupBy("sid", "row", "pass")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "words"))).alias("_pieces"), F.sum("words").alias("_taken"))
+        .agg(F.array_sort(F.collect_list(F.struct("start", "words"))).alias("pieces"), F.sum("words").alias("taken"))
         .join(placed.select("sid", "row", "doc_id"), ["sid", "row"])
-        .select(F.col("doc_id").alias("_key"), "_pieces", "_taken")
+        .select(F.col("doc_id").alias("key"), "pieces", "taken")
     )
-    one = counted.dropDuplicates(["_key"])
-    joined = one.join(taken, "_key")
+    joined = counted.drop("source").dropDuplicates(["key"]).join(taken, "key")
     # Words first: one lambda in another would share variables between its uses.
-    cut = joined.withColumn("_words", words(F.col("text"))).withColumn(
-        "_kept", F.transform("_pieces", lambda p: F.slice("_words", (p["start"] + 1).cast("int"), p["words"].cast("int")))
+    cut = joined.withColumn("words", words(F.col("doc.text"))).withColumn(
+        "kept", F.transform("pieces", lambda p: F.slice("words", (p["start"] + 1).cast("int"), p["words"].cast("int")))
     )
-    text = F.when(F.col("_taken") == F.col("_size"), F.col("text")).otherwise(F.array_join(F.flatten("_kept"), " "))
-    whole = cut.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        whole = whole.withColumn("n_chars", F.char_length("text").cast("bigint"))
-    return whole.select(*docs.columns)
+    text = F.when(F.col("taken") == F.col("size"), F.col("doc.text")).otherwise(F.array_join(F.flatten("kept"), " "))
+    whole = cut.select("doc", text.alias("text"))
+    made = {"text": F.col("text"), "n_chars": F.char_length("text").cast("bigint")}
+    return whole.select(*(made.get(name, F.col("doc")[name]).alias(name) for name in docs.columns))

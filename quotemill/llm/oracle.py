@@ -40,7 +40,8 @@ RECORDS = """
     FROM named JOIN firsts USING (hex)"""
 
 # All places at which an item and a document have a word in common, by their shift;
-# then every window of a shift with enough of them. No hashes and no masks.
+# then every window of a shift with enough of them. No hashes and no masks. Eight words
+# in ten have to agree; of items below eight words, all.
 LEAKS = """
     WITH doc_words AS (
         SELECT doc_id, text, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS ws
@@ -51,12 +52,12 @@ LEAKS = """
     texts AS (SELECT text, any_value(ws) AS ws FROM doc_words GROUP BY text),
     items AS (
         SELECT item_id, ws, len(ws) AS n, least(13, len(ws)) AS width,
-               CASE WHEN len(ws) < 13 THEN len(ws) ELSE 11 END AS need
-        FROM item_words WHERE len(ws) >= 8),
+               CASE WHEN len(ws) < 8 THEN len(ws) ELSE (8 * least(13, len(ws)) + 9) // 10 END AS need
+        FROM item_words WHERE len(ws) > 0),
     d AS (SELECT text, len(ws) AS m, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM texts),
     b AS (SELECT item_id, unnest(ws) AS w, unnest(range(len(ws))) AS j FROM items),
     matches AS (SELECT text, any_value(m) AS m, item_id, i - j AS shift, list(j ORDER BY j) AS js
-                FROM d JOIN b USING (w) GROUP BY text, item_id, i - j HAVING count(*) >= 8),
+                FROM d JOIN b USING (w) GROUP BY text, item_id, i - j),
     windows AS (
         SELECT text, item_id, n, shift, width, need, js,
                unnest(range(greatest(0, -shift), least(n, m - shift) - width + 1)) AS s

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotemill.llm.common import row_key
 from quotemill.session import materialize
 
 SHARDS = 40
@@ -91,14 +92,15 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, *, slack: float = SLA
     three names are replaced.
     """
     columns = [c for c in docs.columns if c not in ("size", "shard", "slot")]
-    keyed = docs.select(*columns, F.xxhash64(*columns).alias("_key"))
+    # The caller's columns travel in one, so that no name of theirs meets one used here.
+    keyed = docs.select(F.struct(*(F.col(f"`{name}`") for name in columns)).alias("doc"), row_key(columns).alias("key"))
     digest = keyed.select(
-        "_key",
-        "doc_id",
-        document_size(F.col("text")).alias("size"),
-        text_group(F.col("text")).alias("grp"),
+        "key",
+        F.col("doc.doc_id").alias("doc_id"),
+        document_size(F.col("doc.text")).alias("size"),
+        text_group(F.col("doc.text")).alias("grp"),
     )
-    places = materialize(
-        shard_by_bytes(digest, shards, slack=slack).select("_key", "size", "shard", "slot"), "document-places"
+    places = materialize(shard_by_bytes(digest, shards, slack=slack).select("key", "size", "shard", "slot"), "document-places")
+    return keyed.dropDuplicates(["key"]).join(places, "key").select(
+        *(F.col("doc")[name].alias(name) for name in columns), "size", "shard", "slot"
     )
-    return keyed.dropDuplicates(["_key"]).join(places, "_key").select(*columns, "size", "shard", "slot")

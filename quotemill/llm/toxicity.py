@@ -27,7 +27,8 @@ THRESHOLD = 0.3
 SAMPLE_ROWS = 3000
 SAMPLE_CHARS = 20_000
 _WINDOW = 48
-_CLEAN_WINDOWS = 12_000
+#: Learning: windows without a toxic word, of the many that the sample has.
+CLEAN_WINDOWS = 12_000
 #: A text is tagged in parts of at most so many characters, each a sequence of its own.
 _PART_CHARS = 200_000
 _WORDS_AT_ONCE = 400_000
@@ -118,7 +119,15 @@ def _summary(expected: float, words: int, most: float) -> np.ndarray:
 
 
 def marginals(values: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> np.ndarray:
-    """Probability of the toxic state at every word of many sequences laid end to end.
+    """Probability of the toxic state at every word of many sequences laid end to end."""
+    return expectations(values, starts, moves)[0]
+
+
+def expectations(values: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every word's probability of the toxic state, and how many pairs of states are expected.
+
+    The second is a matrix of (state of a word, state of the next), added up over all
+    neighbours within a sequence from the marginals of the pairs.
 
     ``values`` are log odds of the words, ``starts`` the positions where sequences
     begin. The whole is folded into blocks that advance side by side: one sweep
@@ -127,7 +136,7 @@ def marginals(values: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> np.n
     """
     n = len(values)
     if not n:
-        return np.zeros(0)
+        return np.zeros(0), np.zeros((2, 2))
     blocks = max(1, min(2048, n // 64))
     length = -(-n // blocks)
     padded = np.zeros(blocks * length)
@@ -167,16 +176,39 @@ def marginals(values: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> np.n
         leave[block] = state
         state = transfer[block] @ state
         state = state / state.sum()
+    ahead = entry[:, 0, :].copy()  # the states before each block
     forward = np.empty((length, blocks, 2))
     for at in range(length):
         entry = step(entry, at)
         forward[at] = entry[:, 0, :]
     out = np.empty((length, blocks))
+    pairs = np.zeros((2, 2))
     for at in range(length - 1, -1, -1):
         both = forward[at] * leave[:, :, 0]
         out[at] = both[:, 1] / both.sum(axis=1)
+        inner = ~first[at]
+        if inner.any():
+            after = leave[inner, :, 0].copy()
+            after[:, 1] *= odds[at][inner]
+            joint = (forward[at - 1] if at else ahead)[inner][:, :, None] * scale * after[:, None, :]
+            pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         leave = back(leave, at)
-    return out.T.ravel()[:n]
+    return out.T.ravel()[:n], pairs
+
+
+def likelihood(values: np.ndarray, truth: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> float:
+    """Log likelihood of the states ``truth`` of many sequences, by one forward pass; for checks."""
+    total, scale = 0.0, np.exp(moves)
+    for at, value in enumerate(values):
+        own = np.array([1.0, math.exp(value)])
+        if at in set(starts.tolist()):
+            state = own
+        else:
+            state = (state @ scale) * own
+            total += moves[int(truth[at - 1]), int(truth[at])]
+        total += value * truth[at] - math.log(state.sum())
+        state = state / state.sum()
+    return total
 
 
 def word_labels(documents: Sequence[Sequence[str]], toxic: Sequence[int]) -> set[str]:
@@ -200,9 +232,14 @@ def word_labels(documents: Sequence[Sequence[str]], toxic: Sequence[int]) -> set
     return marks
 
 
-def fit(texts: Sequence[str], toxic: Sequence[int], *, seed: int = 7, epochs: int = 6) -> SpanTagger:
+def fit(
+    texts: Sequence[str], toxic: Sequence[int], *, seed: int = 7, epochs: int = 6, clean_windows: int = CLEAN_WINDOWS
+) -> SpanTagger:
     """Learns the field from words labelled by ``word_labels``, then the calibration.
 
+    It learns from windows of 48 words: all that hold a toxic word, and of the others
+    ``clean_windows``, drawn at random.
+
     Without documents of both labels the result is a tagger that finds nothing.
     """
     tagger = SpanTagger()
@@ -218,7 +255,7 @@ def fit(texts: Sequence[str], toxic: Sequence[int], *, seed: int = 7, epochs: in
             part = words[at : at + _WINDOW]
             truth = np.array([bool(label) and not marks.isdisjoint(_features(w)) for w in part], dtype=float)
             (windows if truth.any() else clean).append((part, truth))
-    picked = shaker.permutation(len(clean))[:_CLEAN_WINDOWS]
+    picked = shaker.permutation(len(clean))[:clean_windows]
     windows += [clean[i] for i in sorted(picked)]
     frequent = Counter(f for part, _ in windows for w in part for f in _features(w))
     tagger.vocabulary = {f: i for i, f in enumerate(sorted(f for f, c in frequent.items() if c >= 3))}
@@ -247,7 +284,7 @@ def _climb(tagger: SpanTagger, windows: list, shaker: np.random.Generator, epoch
             ids = np.concatenate([b[0] for b in batch])
             truth = np.concatenate([b[1] for b in batch])
             starts = np.cumsum([0] + [len(b[0]) for b in batch])[:-1]
-            chance = marginals(score[ids], starts, moves)
+            chance, pairs = expectations(score[ids], starts, moves)
             rest = (truth - chance) / len(batch)
             by_form = np.bincount(ids, rest, minlength=len(forms))
             slope = np.bincount(flat, by_form[owner], minlength=len(weights)) - 1e-6 * weights
@@ -258,16 +295,9 @@ def _climb(tagger: SpanTagger, windows: list, shaker: np.random.Generator, epoch
             inner = np.ones(len(ids), dtype=bool)
             inner[starts] = False
             inner = np.flatnonzero(inner)
-            # Pairs by the product of marginals, close where words are decided.
-            counts = [
-                [
-                    (np.abs(1 - a - truth[inner - 1]) * np.abs(1 - b - truth[inner])).sum()
-                    - (np.abs(1 - a - chance[inner - 1]) * np.abs(1 - b - chance[inner])).sum()
-                    for b in (0, 1)
-                ]
-                for a in (0, 1)
-            ]
-            slope = np.array(counts) / len(batch) - 1e-3 * moves
+            met = np.zeros((2, 2))
+            np.add.at(met, (truth[inner - 1].astype(int), truth[inner].astype(int)), 1.0)
+            slope = (met - pairs) / len(batch) - 1e-3 * moves
             moves_sum += slope**2
             moves = np.clip(moves + 0.1 * slope / np.sqrt(moves_sum), -3, 3)
     tagger.weights, tagger.bias, tagger.moves = weights, bias, moves
@@ -287,13 +317,20 @@ def _calibrate(tagger: SpanTagger, texts: Sequence[str], toxic: Sequence[int]) -
 
 
 def fit_toxicity(
-    spark: SparkSession, docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS
+    spark: SparkSession,
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    rows: int = SAMPLE_ROWS,
+    chars: int = SAMPLE_CHARS,
+    clean_windows: int = CLEAN_WINDOWS,
 ) -> SpanTagger:
     """Fits on at most about ``rows`` documents of each label that are not held out.
 
     ``labels`` has ``doc_id`` and ``toxic``; null labels are left out, and a document
     labelled both ways counts as toxic. Documents longer than ``chars`` characters are
-    not learned from. Only ``text`` is an input.
+    not learned from. ``clean_windows`` bounds the windows without toxic words that are
+    learned from (``fit``). Only ``text`` is an input.
     """
     named = (
         labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)")
@@ -308,10 +345,10 @@ def fit_toxicity(
         .where(F.char_length("text") <= chars)
         .join(F.broadcast(chosen), "doc_id")
         .select("doc_id", "text", "toxic")
-        .toPandas()
-        .sort_values(["doc_id", "text"])
+        .collect()
     )
-    return fit(sample["text"].tolist(), sample["toxic"].astype(int).tolist())
+    sample.sort(key=lambda row: (row.doc_id, row.text))
+    return fit([row.text for row in sample], [int(row.toxic) for row in sample], clean_windows=clean_windows)
 
 
 def score_toxicity(docs: DataFrame, tagger: SpanTagger) -> DataFrame:
@@ -319,10 +356,10 @@ def score_toxicity(docs: DataFrame, tagger: SpanTagger) -> DataFrame:
 
     ``toxicity`` is a struct of ``score`` (0 to 1), ``words`` (expected number of toxic
     words) and ``spans``, an array of (``start``, ``stop``, ``text``) over the whole
-    text, offsets counted in code points. Empty and null texts have no spans and the
-    score of a text without words.
+    text, offsets counted in code points of the text as it is. Empty and null texts have no
+    spans and the score of a text without words. Repeated rows come back as often, an empty
+    table gives no rows, and a column ``toxicity`` of ``docs`` is replaced.
     """
-    # Texts whose lower case differs in length are matched as they are.
     shape = "score double, words double, spans array<struct<start: int, stop: int, text: string>>"
 
     @F.pandas_udf(shape)
@@ -354,9 +391,13 @@ def _slices(texts: list) -> Iterator[list]:
 
 def _spans(text: str, chances: np.ndarray) -> list[dict]:
     """Runs of words likely toxic; a single word between two such words belongs to the run."""
-    words, at = [], 0
-    for offset, part in _parts(text if len(text.lower()) == len(text) else text.lower()):
-        words += [(offset + m.start(), offset + m.end()) for m in _WORD.finditer(part.lower())]
+    words, lowered = [], text.lower()
+    for offset, part in _parts(lowered):
+        words += [(offset + m.start(), offset + m.end()) for m in _WORD.finditer(part)]
+    if len(lowered) != len(text):
+        # Where a letter's lower case is longer, offsets are those of the letter.
+        place = [at for at, letter in enumerate(text) for _ in letter.lower()]
+        words = [(place[a], place[b - 1] + 1) for a, b in words]
     spans: list[list[int]] = []
     for at in np.flatnonzero(chances[: len(words)] >= _SPAN):
         if spans and at - spans[-1][1] <= 1:

@@ -14,17 +14,20 @@ def tokens(text):
 
 
 def brute(docs, items, window=13):
-    """Every alignment of every item with every document, word by word."""
+    """Every alignment of every item with every document, word by word.
+
+    Eight words in ten have to agree; of items below eight words, all.
+    """
     found = set()
     for (i, text), (item, passage) in itertools.product(docs, items):
         a, b = tokens(text), tokens(passage)
-        if text is None or passage is None or item is None or len(b) < 8:
+        if text is None or passage is None or item is None or not b:
             continue
         width = min(window, len(b))
         for shift in range(width - len(b), len(a) - width + 1):
             same = [int(a[j + shift] == b[j]) for j in range(len(b)) if 0 <= j + shift < len(a)]
             for at in range(len(same) - width + 1):
-                need = 8 * width if width == window else 10 * width
+                need = 8 * width if width >= 8 else 10 * width
                 if 10 * sum(same[at : at + width]) >= need:
                     found.add((i, item))
     return found

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +57,30 @@ def test_repeated_ids_are_answered_once(spark):
     assert run(spark, rows, 2) == [(0, 1, 5, 2 * 1024**2), (0, 2, 5, 2 * 1024**2)]
 
 
-def test_overlong_vectors_are_refused(spark):
-    with pytest.raises(ValueError, match="too long"):
-        run(spark, [(0, [1e30]), (1, [1.0])])
+def exact(rows, k, scale=1024):
+    """All pairs with Python's integers; scores beyond a bigint are its ends."""
+    whole = [(i, [max(-(2**63), min(2**63 - 1, math.floor(float(np.float32(x)) * scale))) for x in v]) for i, v in rows]
+    out = []
+    for i, q in {i: q for i, q in reversed(whole) if i % 100 == 0}.items():
+        scored = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in whole if j != i)[:k]
+        out += [(i, n + 1, j, max(-(2**63), min(2**63 - 1, -s))) for n, (s, j) in enumerate(scored)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("huge", [1e6, 3e10, 1e14, 1e30])
+def test_one_huge_vector_costs_no_row_and_no_digit(spark, huge):
+    shaker = np.random.default_rng(6)
+    rows = [(i * 10, shaker.normal(size=5).tolist()) for i in range(300)]
+    rows += [(5, [huge, 0.3, -0.7, 0.0, 0.1]), (100 * 77, [-huge, huge / 3, 0.1, 0.2, 0.3]), (15, [huge, 0.3, -0.7, 0.0, 0.11])]
+    rows = list({i: (i, v) for i, v in rows}.values())
+    got = run(spark, rows, 6)
+    assert sorted(got) == exact(rows, 6)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_an_id_in_many_cells_does_not_tighten_bounds(spark, seed):
+    shaker = np.random.default_rng(seed)
+    rows = [(i * 50, shaker.normal(size=3).tolist()) for i in range(400)]
+    rows += [(7, (shaker.normal(size=3) * 3).tolist()) for _ in range(60)]
+    got, want = run(spark, rows, 5), exact(rows, 5)
+    assert [(q, n, s) for q, n, _, s in sorted(got)] == [(q, n, s) for q, n, _, s in want]

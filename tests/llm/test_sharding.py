@@ -53,3 +53,27 @@ def test_documents_meet_their_places(spark, documents):
     assert len(found) == len(rows)
     for shard in range(4):
         assert sorted(r.slot for r in found if r.shard == shard) == list(range(sum(r.shard == shard for r in found)))
+
+
+def test_rows_that_differ_by_the_place_of_a_null_are_all_kept(spark, documents):
+    from quotemill.llm import mixing
+
+    rows = [(1, "a b c", None, "x"), (1, "a b c", "x", None), (1, None, None, None), (1, "a b c", "x", "x")]
+    clashing = documents(rows).selectExpr("*", *(f"'{n}' AS `{n}`" for n in (
+        "_key", "_size", "_words", "_taken", "_pieces", "doc", "key", "sid", "row", "pieces", "taken", "words", "kept", "pass",
+    )))
+    out = sharding.shard_documents(clashing)
+    assert out.columns == [*clashing.columns, "size", "shard", "slot"]
+    assert sorted(map(str, out.select(*clashing.columns).collect())) == sorted(map(str, clashing.collect()))
+    mixed = mixing.mixed_documents(clashing)
+    assert mixed.columns == clashing.columns
+    for name in ("_key", "_size", "words", "taken", "doc"):
+        assert {r[name] for r in mixed.collect()} == {name}
+
+
+def test_pages_keep_columns_of_any_name(spark):
+    from quotemill.llm import html_text
+
+    pages = spark.createDataFrame([(1, "http://a/b", "<p>hello there</p>", "h", "s", "p")], "page_id bigint, url string, html string, _host string, slot string, page string")
+    row = html_text.extract_text(pages).first()
+    assert (row._host, row.slot, row.page, row.text) == ("h", "s", "p", "hello there")

@@ -87,3 +87,40 @@ def test_nothing_to_learn_from(spark, documents):
     fitted = toxicity.fit_toxicity(spark, documents([]), labels)
     assert toxicity.drop_toxic(documents([(1, "a b")]), fitted).count() == 1
     assert toxicity.score_toxicity(documents([]), fitted).collect() == []
+
+
+def test_gradient_of_the_transitions_is_that_of_the_likelihood():
+    """Observed less expected pairs, against finite differences of the log likelihood."""
+    shaker = np.random.default_rng(2)
+    values, starts, moves = shaker.normal(size=150), np.array([0, 1, 30, 149]), shaker.normal(size=(2, 2))
+    truth = shaker.integers(0, 2, 150).astype(float)
+    chance, pairs = toxicity.expectations(values, starts, moves)
+    met = np.zeros((2, 2))
+    for at in range(1, 150):
+        if at not in starts:
+            met[int(truth[at - 1]), int(truth[at])] += 1
+    step = 1e-5
+    for a in (0, 1):
+        for b in (0, 1):
+            up, down = moves.copy(), moves.copy()
+            up[a, b] += step
+            down[a, b] -= step
+            slope = (toxicity.likelihood(values, truth, starts, up) - toxicity.likelihood(values, truth, starts, down)) / (2 * step)
+            assert abs(slope - (met - pairs)[a, b]) < 1e-5
+    for at in (0, 17, 149):
+        up, down = values.copy(), values.copy()
+        up[at] += step
+        down[at] -= step
+        slope = (toxicity.likelihood(up, truth, starts, moves) - toxicity.likelihood(down, truth, starts, moves)) / (2 * step)
+        assert abs(slope - (truth - chance)[at]) < 1e-5
+
+
+def test_offsets_are_those_of_the_text_as_it_is(tagger):
+    """The lower case of some letters is longer than they are."""
+    for text in ("İİİ word vileword end", "vileword İ nastyterm", "ΣΑΣ İvileword vileword", "plain vileword"):
+        words = toxicity._WORD.findall(text.lower())
+        chances = np.array([float(w in INSULTS) for w in words])
+        for span in toxicity._spans(text, chances):
+            assert span["text"] == text[span["start"] : span["stop"]]
+            assert span["text"].split()[0].lower() in INSULTS
+        assert toxicity._spans(text, chances)
