@@ -23,14 +23,17 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
 
 
-def row_key(columns: list[str]) -> Column:
-    """128 bits that name a row by the content of its columns, in which a null has its place."""
+def row_key(columns: list[str]) -> list[Column]:
+    """``key_a`` and ``key_b``, 128 bits that name a row by its columns, in which a null has its place.
+
+    Two columns, not a struct: Spark then knows rows grouped by them as placed for a join.
+    """
     nulls = F.lit(0).cast("bigint")
     for at, name in enumerate(columns):
         mark = F.when(F.col(f"`{name}`").isNull(), F.lit(1 << at % 63)).otherwise(F.lit(0)).cast("bigint")
         nulls = F.xxhash64(nulls, mark) if at % 63 == 0 and at else nulls.bitwiseOR(mark)
     content = [F.col(f"`{name}`") for name in columns]
-    return F.struct(F.xxhash64(nulls, *content).alias("a"), F.xxhash64(F.lit("second"), nulls, *content).alias("b"))
+    return [F.xxhash64(nulls, *content).alias("key_a"), F.xxhash64(F.lit("second"), nulls, *content).alias("key_b")]
 
 
 def hash_sample(df: DataFrame, key: Column, fraction: Column | float) -> DataFrame:

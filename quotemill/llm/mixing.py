@@ -245,19 +245,19 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     # The caller's columns travel in one, so that no name of theirs meets one used here.
     counted = docs.select(
         F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("doc"),
-        row_key(docs.columns).alias("key"),
+        *row_key(docs.columns),
         "source",
         F.size(words(F.col("text"))).alias("size"),
     )
-    placed, pieces = mix(counted.select(F.col("key").alias("doc_id"), "source", "size"), **options)
+    placed, pieces = mix(counted.select(F.struct("key_a", "key_b").alias("doc_id"), "source", "size"), **options)
     # Equal rows share a key and a text; each has pieces of its own.
     taken = (
         pieces.groupBy("sid", "row", "pass")
         .agg(F.array_sort(F.collect_list(F.struct("start", "words"))).alias("pieces"), F.sum("words").alias("taken"))
         .join(placed.select("sid", "row", "doc_id"), ["sid", "row"])
-        .select(F.col("doc_id").alias("key"), "pieces", "taken")
+        .select("doc_id.key_a", "doc_id.key_b", "pieces", "taken")
     )
-    joined = counted.drop("source").dropDuplicates(["key"]).join(taken, "key")
+    joined = counted.drop("source").dropDuplicates(["key_a", "key_b"]).join(taken, ["key_a", "key_b"])
     # Words first: one lambda in another would share variables between its uses.
     cut = joined.withColumn("words", words(F.col("doc.text"))).withColumn(
         "kept", F.transform("pieces", lambda p: F.slice("words", (p["start"] + 1).cast("int"), p["words"].cast("int")))

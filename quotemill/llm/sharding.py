@@ -93,14 +93,15 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, *, slack: float = SLA
     """
     columns = [c for c in docs.columns if c not in ("size", "shard", "slot")]
     # The caller's columns travel in one, so that no name of theirs meets one used here.
-    keyed = docs.select(F.struct(*(F.col(f"`{name}`") for name in columns)).alias("doc"), row_key(columns).alias("key"))
+    keyed = docs.select(F.struct(*(F.col(f"`{name}`") for name in columns)).alias("doc"), *row_key(columns))
     digest = keyed.select(
-        "key",
+        "key_a",
+        "key_b",
         F.col("doc.doc_id").alias("doc_id"),
         document_size(F.col("doc.text")).alias("size"),
         text_group(F.col("doc.text")).alias("grp"),
     )
-    places = materialize(shard_by_bytes(digest, shards, slack=slack).select("key", "size", "shard", "slot"), "document-places")
-    return keyed.dropDuplicates(["key"]).join(places, "key").select(
+    places = materialize(shard_by_bytes(digest, shards, slack=slack).select("key_a", "key_b", "size", "shard", "slot"), "document-places")
+    return keyed.dropDuplicates(["key_a", "key_b"]).join(places, ["key_a", "key_b"]).select(
         *(F.col("doc")[name].alias(name) for name in columns), "size", "shard", "slot"
     )
