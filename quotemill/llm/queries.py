@@ -60,8 +60,11 @@ def warc_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def edit_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    docs = edit_counts.with_redactions(_table(spark, folder, "documents").select("doc_id", "text"))
-    counted = edit_counts.count_edited(docs)
+    """First a count that keeps the leaves, then the edits, counted from the leaves kept."""
+    none = F.lit(None).cast("array<struct<start: int, stop: int, replacement: string>>")
+    docs = _table(spark, folder, "documents").select("doc_id", "text", none.alias("edits"))
+    kept = edit_counts.count_edited(docs).withColumnRenamed("counted", "kept")
+    counted = edit_counts.count_edited(edit_counts.with_edits(kept), known="kept")
     return counted.select(
         "doc_id",
         "counted.tokens_before",

@@ -3,6 +3,7 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quotemill.llm import edit_counts
 
@@ -23,15 +24,19 @@ def test_edits_equal_encoding_anew(counter, text, edits, leaf):
     edit_counts.LEAF_PRETOKENS = leaf
     try:
         tree = edit_counts.CountTree.build(text, counter)
+        for start, length, new in edits:
+            tree.edit(start, start + length, new, counter)
+            start, stop = min(start, len(text)), min(start + length, len(text))
+            text = text[:start] + new + text[stop:]
+            assert tree.text == text
+            assert tree.tokens == len(counter.encoding.encode_ordinary(text))
+            assert tree.leaves()[:, 0].sum() == len(text) and tree.leaves()[:, 1].sum() == tree.tokens
+            for own, (chars, tokens) in zip(filter(None, tree.texts), tree.leaves().tolist(), strict=True):
+                assert len(own) == chars and len(edit_counts._COMPILED.findall(own)) <= 2 * leaf + 1
+                assert sum(map(len, map(counter.encoding.encode_ordinary, edit_counts._COMPILED.findall(own)))) >= 1
+            tree = edit_counts.CountTree.resume(text, *tree.leaves().T)
     finally:
         edit_counts.LEAF_PRETOKENS = before
-    for start, length, new in edits:
-        tree.edit(start, start + length, new, counter)
-        start, stop = min(start, len(text)), min(start + length, len(text))
-        text = text[:start] + new + text[stop:]
-        assert tree.text == text
-        assert tree.tokens == len(counter.encoding.encode_ordinary(text))
-        assert tree.leaves()[:, 0].sum() == len(text) and tree.leaves()[:, 1].sum() == tree.tokens
 
 
 def test_work_is_local(counter):
@@ -39,7 +44,7 @@ def test_work_is_local(counter):
     tree = edit_counts.CountTree.build(text, counter)
     tree.edit(250_000, 250_004, "other", counter)
     assert tree.reencoded < 1000
-    again = edit_counts.CountTree(tree.text, *tree.leaves().T)
+    again = edit_counts.CountTree.resume(tree.text, *tree.leaves().T)
     again.edit(10, 12, "", counter)
     assert again.tokens == len(counter.encoding.encode_ordinary(again.text))
 
@@ -52,18 +57,60 @@ def test_pretokens_in_parts(monkeypatch):
     assert [p for part in edit_counts.pretokens(text) for p in part] == whole
 
 
-def test_query(spark, documents, counter):
+def test_long_insertions_split_leaves(counter):
+    tree = edit_counts.CountTree.build("a b c", counter)
+    for n in range(40):
+        tree.edit(3, 3, " many words go in here" * 20, counter)
+    assert tree.tokens == len(counter.encoding.encode_ordinary(tree.text))
+    assert len(tree.leaves()) > 40 and max(map(len, tree.texts)) < 800
+    tree.edit(0, 10**9, "", counter)
+    assert (tree.text, tree.tokens, len(tree.leaves())) == ("", 0, 0)
+    tree.edit(0, 0, "new text", counter)
+    assert (tree.text, tree.tokens) == ("new text", 2)
+
+
+def applied(text, edits):
+    for start, stop, new in sorted(edits, reverse=True):
+        text = text[:start] + new + text[stop:]
+    return text
+
+
+def test_counts_from_kept_leaves(spark, documents, counter):
     line = "call +1 234 567 8901 or mail a.b@c.example now"
-    rows = [(1, line), (2, "same\nsame\nsame\nx"), (3, None), (4, ""), (None, line), (1, line)]
-    docs = edit_counts.with_redactions(documents(rows, extra="counted_ tokens_after"))
-    got = edit_counts.count_edited(docs).collect()
+    long = " ".join(f"word{i} and more of it" for i in range(5000))
+    rows = [(1, line), (2, "same\nsame\nsame\nx"), (3, None), (4, ""), (None, line), (1, line), (5, long), (6, long + "\n" + line)]
+    none = F.lit(None).cast("array<struct<start: int, stop: int, replacement: string>>")
+    docs = documents(rows, extra="counted_ tokens_after").withColumn("edits", none)
+    kept = edit_counts.count_edited(docs).withColumnRenamed("counted", "kept")
+    got = edit_counts.count_edited(edit_counts.with_edits(kept), known="kept", with_text=True).collect()
     count = lambda t: len(counter.encoding.encode_ordinary(t))
-    want = {line: "call <NUMBER> or mail <MAIL> now", "same\nsame\nsame\nx": "same\nx", None: "", "": ""}
     assert len(got) == len(rows)
     for r in got:
-        assert r.counted.tokens_before == count(r.text or "")
-        assert r.counted.tokens_after == count(want[r.text])
-        assert sum(r.counted.leaf_tokens) == r.counted.tokens_after
+        edits = [tuple(e) for e in r.edits]
+        assert bool(edits) == bool(r.text)
+        assert all(a[1] <= b[0] for a, b in zip(edits, edits[1:], strict=False))
+        assert r.counted.edited == applied(r.text or "", edits)
+        assert r.counted.tokens_before == count(r.text or "") == r.kept.tokens_after
+        assert r.counted.tokens_after == count(r.counted.edited) == sum(r.counted.leaf_tokens)
+        # Nothing was encoded but what the edits touch.
+        assert r.counted.encoded == 0 and r.kept.encoded == len(r.text or "")
+        if r.text and len(r.text) > 10_000:
+            assert len(edits) >= len(r.text) // edit_counts.EDIT_EVERY and r.counted.reencoded < len(r.text) / 2
+
+
+def test_redactions():
+    line = "call +1 234 567 8901 or mail a.b@c.example now"
+    assert applied(line, edit_counts.redactions(line)) == "call <NUMBER> or mail <MAIL> now"
+    repeated = "same\nsame\nsame\nx"
+    assert applied(repeated, edit_counts.redactions(repeated)) == "same\nx"
+
+
+def test_leaves_of_another_text_are_not_used(spark, counter):
+    rows = [(1, "abc def ghi", [(0, 1, "x")], ([3], [7])), (2, "abc def ghi", [(0, 1, "x")], (None, [1])), (3, "abc", [], None), (4, "abc", [], ([3], [None])), (5, "abc", [], ([3, None], [1, 1]))]
+    kind = "id int, text string, edits array<struct<start: int, stop: int, replacement: string>>, kept struct<leaf_chars: array<int>, leaf_tokens: array<int>>"
+    for r in edit_counts.count_edited(spark.createDataFrame(rows, kind), known="kept").collect():
+        want = applied(r.text, [tuple(e) for e in r.edits])
+        assert r.counted.tokens_after == len(counter.encoding.encode_ordinary(want)) and r.counted.encoded == len(r.text)
 
 
 def test_odd_edits(spark, counter):
