@@ -6,7 +6,10 @@ an equivalence class; a class is valid if it is frequent and lies in one place o
 other class. Valid classes, nested by their paths, are the host's template, and what
 the template leaves open are its slots. The main slot is the element of the template
 that holds the article; a page's text is what fills that slot there, without the
-elements that are marked as something else.
+elements that are marked as something else and without the runs of the template.
+
+Evidence is what recurs over different articles: pages with the same marked article
+count once, whatever stands around it.
 """
 
 from __future__ import annotations
@@ -75,16 +78,23 @@ LEAST_PAGES = 2
 #: A run of text in this part of at least so many different pages belongs to the template.
 CONSTANT = 0.9
 CONSTANT_PAGES = 5
+#: Runs of the template may be this part of a host's articles; where they are more, its
+#: articles are versions of one, and nothing in them is taken for template.
+LABELS = 0.5
 #: Part of the open text that a marked element must hold to be the main slot.
 MARKED_SHARE = 0.5
 
 
 @dataclass
 class Block:
-    """A run of text, the elements it stands in (tokens from the root), and its standing."""
+    """A run of text, the elements it stands in (tokens from the root), and its standing.
+
+    ``opened`` numbers the same elements within the page, in the order of their start tags.
+    """
 
     text: str
     path: tuple[int, ...]
+    opened: tuple[int, ...]
     beside: bool
     article: bool
 
@@ -119,8 +129,9 @@ def _is_beside(name: str, attributes: dict[str, str], in_article: bool) -> bool:
 def blocks(page: str) -> list[Block]:
     """The blocks of text of a whole page in page order, references decoded."""
     out: list[Block] = []
-    # name, token, beside, article, counts as a step of the path
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", _hash("page"), False, False, True)]
+    # name, token, beside, article, counts as a step of the path, number
+    stack: list[tuple[str, int, bool, bool, bool, int]] = [("", _hash("page"), False, False, True, 0)]
+    opened = 0
     pieces: list[str] = []
 
     def flush() -> None:
@@ -129,7 +140,8 @@ def blocks(page: str) -> list[Block]:
             pieces.clear()
             if text:
                 top = stack[-1]
-                out.append(Block(text, tuple(s[1] for s in stack if s[4]), top[2], top[3]))
+                steps = [s for s in stack if s[4]]
+                out.append(Block(text, tuple(s[1] for s in steps), tuple(s[5] for s in steps), top[2], top[3]))
 
     def close(names: set[str], until: set[str]) -> None:
         for at in range(len(stack) - 1, 0, -1):
@@ -190,28 +202,41 @@ def blocks(page: str) -> list[Block]:
         step = name in BOXES or beside
         kind = " ".join(sorted(set(re.sub(r"\d+", "", attributes.get("class", "")).split())))
         token = _hash(top[1], name, kind) if step else top[1]
-        stack.append((name, token, beside, article, step))
+        opened += 1
+        stack.append((name, token, beside, article, step, opened))
     flush()
     return out
 
 
-def page_tokens(page: str) -> dict[int, tuple[int, int, int, bool, bool, bool]]:
-    """Tokens of a page: token -> (parent, count, open characters, depth, article, beside, text).
+def page_tokens(page: str) -> tuple[int | None, dict[int, tuple[int, int, int, int, bool, bool, bool]]]:
+    """What names the marked article of a page, and the tokens of the page.
 
-    Elements are tokens by their path, runs of text by path and text. Elements without
-    text are no slots and are left out.
+    Tokens are token -> (parent, count, open characters, depth, article, beside, text).
+    Elements are tokens by their path, runs of text by path and text. Runs count as often
+    as they occur, elements as often as they occur with open text in them; those that have
+    text only beside the article count as present, those without any are left out. The
+    first result is null on a page that marks no article.
     """
     tokens: dict[int, list] = {}
+    article: list[str] = []
+    met: set[int] = set()
     for block in blocks(page):
-        for depth, token in enumerate(block.path):
-            entry = tokens.setdefault(token, [block.path[depth - 1] if depth else 0, 1, 0, depth, False, block.beside, False])
+        if block.article and not block.beside:
+            article.append(block.text)
+        for depth, (token, number) in enumerate(zip(block.path, block.opened, strict=True)):
+            entry = tokens.setdefault(token, [block.path[depth - 1] if depth else 0, 0, 0, depth, False, block.beside, False])
+            if not block.beside and number not in met:
+                met.add(number)
+                entry[1] += 1
             entry[2] += 0 if block.beside else len(block.text)
             entry[4] |= block.article
             entry[5] &= block.beside
         run = tokens.setdefault(_hash(block.path[-1], "text", block.text), [block.path[-1], 0, 0, len(block.path), block.article, block.beside, True])
         run[1] += 1
         run[2] += 0 if block.beside else len(block.text)
-    return {token: tuple(entry) for token, entry in tokens.items()}
+    return _hash(*article) if article else None, {
+        token: (parent, max(1, count), *rest) for token, (parent, count, *rest) in tokens.items()
+    }
 
 
 _TOKEN_SCHEMA = (
@@ -251,31 +276,38 @@ def deduce_templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``pages`` has ``host`` and ``html``. The first result has ``host``, ``token``,
     ``parent``, ``class`` (a fingerprint of the occurrence vector), ``class_parent``, the
     class around it, and what is known of the token. The second has ``host``, ``slot``
-    and ``constant``, the runs of text outside the article that belong to the template;
-    as each is in nine tenths of the pages, they are hardly more than a page has.
-
-    Copies of a page count once. Occurrence vectors are compared by the sum of hashes
-    of (page, count), which is combined before the shuffle.
+    and ``constant``, the runs of text that belong to the template; as each is in nine
+    tenths of the pages, they are hardly more than a page has. Runs in marked articles
+    are such if nine tenths of the host's different articles have them in that place, and
+    if all such runs are at most half of the articles' text.
+
+    Copies of a page, and pages with the same marked article, count once. Occurrence
+    vectors are compared by the sum of hashes of (page, count), which is combined before
+    the shuffle.
     """
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for host, page, text in zip(batch["host"], batch["page"], batch["html"], strict=True):
-                rows += [(host, page, token, *entry) for token, entry in page_tokens(text).items()]
+                article, found = page_tokens(text)
+                page = page if article is None else article
+                rows += [(host, page, token, *entry) for token, entry in found.items()]
             names = [c.split()[0] for c in _TOKEN_SCHEMA.split(", ")]
             yield pd.DataFrame(rows, columns=names)
 
     different = pages.select("host", F.xxhash64("html").alias("page"), "html").where("html IS NOT NULL")
     found = different.mapInPandas(tokens, _TOKEN_SCHEMA)
+    # Surroundings of one article may differ; a token's parent, depth and kind can't.
     once = found.groupBy("host", "page", "token").agg(
-        *(F.first(c).alias(c) for c in ("parent", "count", "chars", "depth", "article", "beside", "run"))
+        *(F.max(c).alias(c) for c in ("parent", "count", "chars", "depth", "article", "run")), F.min("beside").alias("beside")
     )
     vector = F.sum(F.shiftright(F.xxhash64("page", "count"), 24))
     stats = materialize(
         once.groupBy("host", "token").agg(
             F.first("parent").alias("parent"),
             F.count(F.lit(1)).alias("pages"),
+            F.count_if("article").alias("articles"),
             vector.alias("class"),
             F.sum("chars").alias("chars"),
             F.first("depth").alias("depth"),
@@ -286,11 +318,16 @@ def deduce_templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         "template-tokens",
     )
     roots = stats.where("depth = 0 AND NOT run").select(
-        "host", F.col("pages").alias("all_pages"), F.col("chars").alias("all_chars")
+        "host", F.col("pages").alias("all_pages"), F.col("articles").alias("all_articles"), F.col("chars").alias("all_chars")
     )
+    # What stands in articles is measured by the pages that mark one.
+    inside = F.col("run") & F.col("article") & ~F.col("beside")
+    among = F.when(inside, F.col("all_articles")).otherwise(F.col("all_pages"))
     frequent = (
         stats.join(roots, "host")
-        .where((F.col("pages") >= F.col("all_pages") * FREQUENT) & (F.col("pages") >= F.least(F.col("all_pages"), F.lit(LEAST_PAGES))))
+        .where((F.col("pages") >= among * FREQUENT) & (F.col("pages") >= F.least(among, F.lit(LEAST_PAGES))))
+        .withColumn("inside", inside)
+        .withColumn("lasting", F.col("run") & (F.col("pages") >= CONSTANT_PAGES) & (F.col("pages") >= among * CONSTANT))
     )
     # Nesting: a class is valid if its outermost tokens stand in one class only.
     around = frequent.select("host", F.col("token").alias("parent"), F.col("class").alias("class_parent"))
@@ -304,11 +341,16 @@ def deduce_templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     common = nested.join(valid.withColumn("valid", F.lit(True)), ["host", "class"], "left")
     common = common.withColumn("class_parent", F.col("around")).withColumn("valid", F.coalesce("valid", F.lit(False)))
-    common = materialize(common.drop("around"), "templates")
-    template = common.where("valid").drop("valid")
-    steady = (
-        F.col("run") & F.col("valid") & (F.col("pages") >= CONSTANT_PAGES) & (F.col("pages") >= F.col("all_pages") * CONSTANT)
-    ) & ~F.col("article")
+    # Labels in articles are few beside what the articles say.
+    said = stats.where(inside).groupBy("host").agg(F.sum("chars").alias("said"))
+    labels = common.where("inside AND lasting AND valid").groupBy("host").agg(F.sum("chars").alias("labels"))
+    differ = labels.join(said, "host").select("host", (F.col("labels") <= F.col("said") * LABELS).alias("differ"))
+    common = common.join(differ, "host", "left").withColumn(
+        "steady", F.col("lasting") & F.col("valid") & (~F.col("article") | (F.col("inside") & F.coalesce("differ", F.lit(False))))
+    )
+    common = materialize(common.drop("around", "lasting", "inside", "differ"), "templates")
+    template = common.where("valid").drop("valid", "steady")
+    steady = F.col("steady")
     # The outermost element of an article, or else the innermost that leaves no open text out.
     marked = (
         template.where("article AND NOT beside AND NOT run").where(F.col("chars") >= F.col("all_chars") * MARKED_SHARE)
@@ -331,21 +373,27 @@ def deduce_templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def main_text(page: str | None, slot: int | None, constant: frozenset | set) -> str:
-    """What fills the slot in this page; by the page's own marks where the slot is absent."""
+    """What fills the slot in this page, without the runs of the template.
+
+    The page's own marks decide where the slot is absent or marked. An article of which
+    nothing would be left is kept whole.
+    """
     found = [b for b in blocks(page or "") if not b.beside]
     inside = [b for b in found if slot in b.path]
     if not inside or any(b.article for b in inside):
         chosen = [b for b in found if b.article] or inside or found
     else:
         chosen = inside
-    return "\n".join(b.text for b in chosen if b.article or _hash(b.path[-1], "text", b.text) not in constant)
+    kept = [b for b in chosen if _hash(b.path[-1], "text", b.text) not in constant]
+    return "\n".join(b.text for b in kept or [b for b in chosen if b.article])
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """All columns of ``pages`` (``url``, ``html`` and others) and ``text``, the main text.
 
-    A null or empty html gives an empty text. Pages with a null or odd URL share the
-    nameless host. A host of a single page has no evidence but the page's own. Repeated
+    A null or empty html gives an empty text. A run of text inside a marked article is left
+    out if the host repeats it in that place over its different articles ("Share on X").
+    Pages with a null or odd URL share the nameless host. A host of a single page has no evidence but the page's own. Repeated
     rows come back as often. Columns of any other
     name are kept, and a column ``text`` is replaced.
     """
