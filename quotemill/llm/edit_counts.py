@@ -30,7 +30,7 @@ REACH = 2
 LEAF_PRETOKENS = 32
 #: Text cut into pre-tokens at a time, and kept counts of pre-tokens.
 _CHARS_AT_ONCE = 1 << 20
-_KEPT_COUNTS = 500_000
+_KEPT_COUNTS = 150_000
 _COMPILED = regex.compile(PATTERN)
 
 
