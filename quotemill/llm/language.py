@@ -187,7 +187,9 @@ def identify(docs: DataFrame, network: ByteNetwork) -> DataFrame:
     """All columns of ``docs`` and ``language``: ``lang`` and ``score``, its probability.
 
     Every byte of every text is in one window. A text that is null or has no letter is
-    ``und`` with score 0, and so is every text if no language could be learned.
+    ``und`` with score 0, and so is every text if no language could be learned. Repeated
+    rows come back as often, an empty table gives no rows, and a column ``language`` of
+    ``docs`` is replaced.
     """
 
     @F.pandas_udf("lang string, score double")
