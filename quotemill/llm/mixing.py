@@ -69,6 +69,15 @@ def source_targets(
     )
 
 
+def hashed(*parts: Column) -> Column:
+    """60 bits of the MD5 of the parts, written out with colons between; a null reads ``null``.
+
+    Any engine can tell it, so the whole mix can be told in SQL.
+    """
+    written = F.concat_ws(":", *[F.coalesce(part.cast("string"), F.lit("null")) for part in parts])
+    return F.conv(F.substring(F.md5(written), 1, 15), 16, 10).cast("bigint")
+
+
 def permuted(number: Column, size: Column, *key: Column) -> Column:
     """``number`` of 0..size-1 under a pseudorandom permutation that ``key`` chooses.
 
@@ -77,8 +86,8 @@ def permuted(number: Column, size: Column, *key: Column) -> Column:
     """
 
     def swap_or_not(now: Column, round_: Column) -> Column:
-        mirror = F.pmod(F.pmod(F.xxhash64(*key, round_), size) + size - now, size)
-        trade = F.xxhash64(*key, round_, F.greatest(now, mirror)).bitwiseAND(1) == 1
+        mirror = F.pmod(F.pmod(hashed(*key, round_), size) + size - now, size)
+        trade = hashed(*key, round_, F.greatest(now, mirror)).bitwiseAND(1) == 1
         return F.when(trade, mirror).otherwise(now)
 
     # A fold, as the number occurs several times in each round.
@@ -112,7 +121,7 @@ def mix(
     spark = docs.sparkSession
     rows = materialize(
         docs.select("doc_id", "source", F.col("size").cast("bigint").alias("size")).withColumn(
-            "turn", F.xxhash64("doc_id", "size", F.lit(seed))
+            "turn", hashed(F.col("doc_id"), F.col("size"), F.lit(seed))
         ),
         "mix-documents",
     )

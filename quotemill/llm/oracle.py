@@ -212,6 +212,63 @@ def _lloyd() -> str:
     FROM a3 JOIN c3 USING (cluster)"""
 
 
+# Sources fill up by size per weight; the first that isn't full sets the level of the rest.
+# Whole passes take every word, so only the last, partial pass needs its blocks: each slot
+# walks sixteen rounds of trades to the block it takes.
+MIX = """
+    WITH RECURSIVE sized AS (
+        SELECT doc_id, source, size,
+               CAST('0x' || md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), 'null'), size, 0))[:15] AS BIGINT) AS turn
+        FROM (SELECT doc_id, source, CAST(len(list_filter(
+                  regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS BIGINT) AS size
+              FROM documents)),
+    weighed AS (
+        SELECT *, CAST([3, 1, 2][(sid - 1) % 3 + 1] AS DOUBLE) AS weight, 1.5::DOUBLE * sum(source_size) OVER () AS pool
+        FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(ceil(count(*) / 4096) AS BIGINT) AS cells,
+                     row_number() OVER (ORDER BY source NULLS LAST) AS sid
+              FROM sized GROUP BY source)),
+    levels AS (
+        SELECT a.sid, any_value(a.weight) AS weight, any_value(a.source_size) AS source_size,
+               (any_value(a.pool) - coalesce(sum(2::DOUBLE * b.source_size) FILTER (
+                    (b.source_size / b.weight, b.sid) < (a.source_size / a.weight, a.sid)), 0))
+               / sum(b.weight) FILTER ((b.source_size / b.weight, b.sid) >= (a.source_size / a.weight, a.sid)) AS level
+        FROM weighed AS a, weighed AS b GROUP BY a.sid),
+    chosen AS (
+        SELECT arg_min(level, (source_size / weight, sid)) AS level FROM levels
+        WHERE weight * level <= 2::DOUBLE * source_size),
+    targets AS (
+        SELECT sid, source, source_size, cells, target, CAST(round(target) AS BIGINT) AS goal
+        FROM (SELECT *, least(2::DOUBLE * source_size, coalesce(weight * (SELECT level FROM chosen), 2::DOUBLE * source_size)) AS target
+              FROM weighed)),
+    passes AS (
+        SELECT sid, CASE WHEN goal > 0 THEN goal // source_size ELSE 0 END AS whole,
+               CASE WHEN goal > 0 THEN goal % source_size ELSE 0 END AS take, source_size // 512 AS blocks
+        FROM targets),
+    placed AS (
+        SELECT row_number() OVER () AS n, doc_id, size, t.*,
+               sum(size) OVER (PARTITION BY sid ORDER BY turn % cells, turn, doc_id NULLS FIRST, size
+                               ROWS UNBOUNDED PRECEDING) - size AS first_word
+        FROM sized AS s JOIN targets AS t ON s.source IS NOT DISTINCT FROM t.source),
+    walk AS (
+        SELECT sid, whole, take, blocks, slot, slot AS block, 0 AS step
+        FROM (SELECT *, unnest(range((take + 511) // 512)) AS slot FROM passes)
+        UNION ALL
+        SELECT sid, whole, take, blocks, slot,
+               CASE WHEN slot < blocks AND CAST('0x' || md5(concat_ws(':', sid, whole, 0, step + 1, greatest(block, mirror)))[:15] AS BIGINT) % 2 = 1
+                    THEN mirror ELSE block END,
+               step + 1
+        FROM (SELECT *, (CAST('0x' || md5(concat_ws(':', sid, whole, 0, step + 1))[:15] AS BIGINT) % greatest(blocks, 1)
+                         + greatest(blocks, 1) - block) % greatest(blocks, 1) AS mirror
+              FROM walk WHERE step < 16)),
+    taken AS (
+        SELECT n, sum(least(first_word + size, block * 512 + words) - greatest(first_word, block * 512)) AS words
+        FROM placed JOIN (SELECT sid, block, least(512, take - slot * 512) AS words FROM walk WHERE step = 16) AS w USING (sid)
+        WHERE first_word < block * 512 + words AND first_word + size > block * 512
+        GROUP BY n)
+    SELECT doc_id, size, source, source_size, target,
+           CAST(whole * size + coalesce(taken.words, 0) AS BIGINT) AS taken
+    FROM placed JOIN passes USING (sid) LEFT JOIN taken USING (n)"""
+
 ORACLE = {
     "op11_orchard_clusters": _lloyd(),
     "op12_spelling_variants": VARIANTS,
@@ -220,4 +277,5 @@ ORACLE = {
     "op1_voronoi_top10": TOP10,
     "op7_warc_roundtrip": RECORDS,
     "op8_spaced_seed_leaks": LEAKS,
+    "op9_mixed_sources": MIX,
 }

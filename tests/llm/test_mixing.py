@@ -1,7 +1,42 @@
+import hashlib
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from quotemill.llm import mixing
+from quotemill.llm.oracle import ORACLE
+
+
+def number(*parts):
+    told = ":".join("null" if part is None else str(part) for part in parts)
+    return int(hashlib.md5(told.encode()).hexdigest()[:15], 16)
+
+
+def plain_mix(rows, block_words):
+    """(place in ``rows``, words taken by each pass as (start, stop) in order) of (id, source, size)."""
+    sources = sorted({source for _, source, _ in rows}, key=lambda s: (s is None, s or ""))
+    targets = plain_targets({s: sum(n for _, own, n in rows if own == s) for s in sources})
+    found = []
+    for sid, source in enumerate(sources, 1):
+        own = [(number(i, n, 0), at, n) for at, (i, s, n) in enumerate(rows) if s == source]
+        cells = -(-len(own) // 4096)
+        stream = [(at, word) for _, at, n in sorted(own, key=lambda t: (t[0] % cells, t[0])) for word in range(n)]
+        goal = round(targets[source])
+        for turn in range(-(-goal // len(stream)) if goal else 0):
+            take = min(len(stream), goal - turn * len(stream))
+            whole_blocks, words = len(stream) // block_words, {}
+            for slot in range(-(-take // block_words)):
+                block = slot
+                for step in range(1, 17):
+                    if slot < whole_blocks:
+                        mirror = (number(sid, turn, 0, step) - block) % whole_blocks
+                        if number(sid, turn, 0, step, max(block, mirror)) % 2:
+                            block = mirror
+                for at, word in stream[block * block_words :][: min(block_words, take - slot * block_words)]:
+                    words.setdefault(at, []).append(word)
+            found += [(at, sorted(own)) for at, own in words.items()]
+    return found
 
 
 def plain_targets(sizes, weights=(3.0, 1.0, 2.0), share=1.5, most=2.0):
@@ -58,6 +93,28 @@ def test_taken_words(spark, documents):
         assert abs(words - targets[source]) <= 1
 
 
+def test_taken_words_equal_sql(spark, documents):
+    """All rows of the fixture, nulls and repeats included, and texts of many blocks."""
+    rows = [(i, f"w{i} " * (i * 997 % 9000), "en", None if i % 5 == 0 else f"s{i % 5}") for i in range(60)] + ROWS
+    docs = documents(rows)
+    connection = duckdb.connect()
+    connection.register("documents", docs.toArrow())
+    want = connection.sql(ORACLE["op9_mixed_sources"])
+    got = mixing.mixed_sizes(docs)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(str, map(tuple, got.select(*want.columns).collect()))) == sorted(map(str, want.fetchall()))
+
+
+def test_taken_words_equal_the_plain_mix(spark, documents):
+    rows = [(i, f"w{i} " * (i * 37 % 400), "en", None if i % 5 == 0 else f"s{i % 7}") for i in range(90)]
+    sizes = [(i, source, len(text.split())) for i, text, _, source in rows]
+    taken = dict.fromkeys(range(90), 0)
+    for at, words in plain_mix(sizes, 16):
+        taken[at] += len(words)
+    got = mixing.mixed_sizes(documents(rows), block_words=16).collect()
+    assert {r.doc_id: r.taken for r in got} == taken
+
+
 def test_pieces_do_not_overlap_and_fill_slots(spark, documents):
     sized = documents(ROWS).select("doc_id", "source", F.size(mixing.words(F.col("text"))).alias("size"))
     _, pieces = mixing.mix(sized, block_words=16)
