@@ -41,14 +41,17 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, *, slack: float = SLAC
 
     Ties are broken by ``doc_id``, null first, then by the size; repeated rows are
     separate rows. A null ``grp`` forms one group. Columns named ``shard`` and ``slot``
-    are replaced. Fewer rows than shards leave some
+    are replaced; others may have any name. Fewer rows than shards leave some
     shards empty, and an empty table gives no rows.
     """
     rows = docs.count()
     parts = max(1, -(-rows // _ROWS_PER_PARTITION))
     order = ["grp", "doc_id", "size"]
+    # Other columns travel in one, so that no name of theirs meets one used here.
+    others = [c for c in docs.columns if c not in (*order, "shard", "slot")]
+    packed = [F.struct(*(F.col(f"`{c}`") for c in others)).alias("_others")] if others else []
     spread = materialize(
-        docs.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "shard-rows"
+        docs.select(*order, *packed).repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "shard-rows"
     )
     totals = spread.groupBy("_part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -79,8 +82,12 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, *, slack: float = SLAC
     firsts = cut.groupBy("shard").agg(F.min("_place").alias("_first_place"))
     return (
         cut.join(F.broadcast(firsts), "shard")  # at most one row per shard
-        .withColumn("slot", F.col("_place") - F.col("_first_place"))
-        .drop("_place", "_first_place")
+        .select(
+            *order,
+            *(F.col("_others")[c].alias(c) for c in others),
+            "shard",
+            (F.col("_place") - F.col("_first_place")).alias("slot"),
+        )
     )
 
 

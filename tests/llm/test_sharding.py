@@ -23,6 +23,18 @@ def test_even_and_gapless(spark, documents):
         assert sorted(r.slot for r in own) == list(range(len(own)))
 
 
+def test_columns_of_any_name_are_kept(spark, documents):
+    names = "_part _offset _place _others _bytes_before _all_bytes _first_place _grp_start _g members bytes rows shard slot"
+    docs = documents([(i, f"text {i % 30}") for i in range(90)], extra=names)
+    got = run(docs, 4)
+    assert len(got) == 90 and len(got[0].__fields__) == len(set(got[0].__fields__))
+    for name in set(names.split()) - {"shard", "slot"}:
+        assert {r[name] for r in got} == {"x"}
+    plain = run(documents([(i, f"text {i % 30}") for i in range(90)]), 4)
+    place = lambda r: (r.doc_id, r.shard, r.slot)
+    assert sorted(map(place, got)) == sorted(map(place, plain))
+
+
 def test_copies_stay_together_up_to_the_slack(spark, documents):
     rows = [(i, f"text {i // 5}") for i in range(5000)] + [(i, "hot " * 30) for i in range(5000, 8000)]
     got = run(documents(rows), 8)
