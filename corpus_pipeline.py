@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quotemill.llm import decontam, mixing, sharding, simhash, toxicity
-from quotemill.session import materialize
+from quotemill.session import materialize, sized_shuffles
+from quotemill.sources.tables import stored_bytes
+
+#: Bytes that a stage may shuffle for each stored one: Parquet unpacked, and the mix's larger share.
+EXPANSION = 5
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,8 +59,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again.
+
+    Shuffles start with as many partitions as the size of ``documents`` asks for, unless the
+    session has a number set.
+    """
     docs = _table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    with sized_shuffles(spark, stored_bytes(spark, f"{sf_dir}/documents.parquet") * EXPANSION):
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), name)
     return docs
