@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 #: A word of a text: a run of anything but ASCII white space.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 _HASH_SPACE = 2.0**53
+#: Classes that a model learns, at most.
+MOST_CLASSES = 1000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -46,14 +48,17 @@ def hash_sample(df: DataFrame, key: Column, fraction: Column | float) -> DataFra
     return df.where(share < fraction)
 
 
-def class_sample(df: DataFrame, key: Column, label: str, rows: int) -> DataFrame:
+def class_sample(df: DataFrame, key: Column, label: str, rows: int, most: int = MOST_CLASSES) -> DataFrame:
     """About ``rows`` rows of each value of ``label``, or all where there are fewer.
 
-    The values are counted first; as classes to be learned they are few.
+    The values are counted first; as classes to be learned they are few, and more than
+    ``most`` of them are refused, so that neither the counts nor the sample grow with
+    the table. Rows without a label are left out, and no rows give none.
     """
-    counts = df.groupBy(label).count().collect()
-    fractions = F.lit(0.0)
-    for value, count in counts:
-        if value is not None:
-            fractions = F.when(F.col(label) == value, min(1.0, rows / count)).otherwise(fractions)
-    return hash_sample(df, key, fractions)
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).count().limit(most + 1).collect()
+    if len(counts) > most:
+        raise ValueError(f"{label} has over {most} values, too many to be learned as classes")
+    if not counts:
+        return df.where("false")
+    shares = F.create_map(*[F.lit(x) for value, count in counts for x in (value, min(1.0, rows / count))])
+    return hash_sample(df, key, F.coalesce(F.try_element_at(shares, F.col(label)), F.lit(0.0)))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotemill.llm import language
-from quotemill.llm.common import held_out
+from quotemill.llm.common import class_sample, held_out
 
 SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["sch", "ung", "ein", "och"], "cc": ["é", "eau", "oi", "ç"]}
 
@@ -60,3 +60,14 @@ def test_nothing_to_learn_from(spark, documents):
     rows = language.identify(documents([(1, "abc")]), network).collect()
     assert [(r.language.lang, r.language.score) for r in rows] == [("und", 0.0)]
     assert language.identify(documents([]), network).collect() == []
+
+
+def test_classes_are_bounded_and_evenly_sampled(spark):
+    rows = [(i, f"c{i % 5}" if i % 10 else None) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, lang string")
+    got = class_sample(frame, F.col("doc_id"), "lang", 100).groupBy("lang").count().collect()
+    assert {r.lang for r in got} == {f"c{i}" for i in range(5)} and all(60 < r["count"] < 140 for r in got)
+    assert class_sample(frame, F.col("doc_id"), "lang", 10_000).count() == 1800
+    assert class_sample(frame.where("lang IS NULL"), F.col("doc_id"), "lang", 9).count() == 0
+    with pytest.raises(ValueError, match="over 4 values"):
+        class_sample(frame, F.col("doc_id"), "lang", 100, most=4)
