@@ -245,19 +245,27 @@ def fit(
     tagger = SpanTagger()
     if not any(toxic) or all(toxic):
         return tagger
-    documents = [_WORD.findall(text.lower()) for text in texts]
+    # Every word is held once, however often it occurs.
+    same: dict[str, str] = {}
+    documents = [[same.setdefault(w, w) for w in _WORD.findall(text.lower())] for text in texts]
     marks = word_labels(documents, toxic)
     shaker = np.random.default_rng(seed)
     windows: list[tuple[list[str], np.ndarray]] = []
-    clean: list[tuple[list[str], np.ndarray]] = []
+    clean: list[list[str]] = []
     for words, label in zip(documents, toxic, strict=True):
         for at in range(0, len(words), _WINDOW):
             part = words[at : at + _WINDOW]
             truth = np.array([bool(label) and not marks.isdisjoint(_features(w)) for w in part], dtype=float)
-            (windows if truth.any() else clean).append((part, truth))
+            if truth.any():
+                windows.append((part, truth))
+            else:
+                clean.append(part)
     picked = shaker.permutation(len(clean))[:clean_windows]
-    windows += [clean[i] for i in sorted(picked)]
-    frequent = Counter(f for part, _ in windows for w in part for f in _features(w))
+    windows += [(clean[i], np.zeros(len(clean[i]))) for i in sorted(picked)]
+    del documents, same, clean
+    frequent: Counter[str] = Counter()
+    for word, count in Counter(w for part, _ in windows for w in part).items():
+        frequent.update(dict.fromkeys(_features(word), count))
     tagger.vocabulary = {f: i for i, f in enumerate(sorted(f for f, c in frequent.items() if c >= 3))}
     _climb(tagger, windows, shaker, epochs)
     _calibrate(tagger, texts, toxic)
