@@ -1,0 +1,39 @@
+"""Price files of many tickers: what the driver does does not grow with their number."""
+
+from quotemill.sources import testbed
+
+HEADER = "Date,Open,High,Low,Close,Adj Close,Volume\n"
+
+
+def lines_of(spark, *rows):
+    return spark.createDataFrame(rows, "symbol string, is_etf boolean, line string")
+
+
+def test_the_driver_makes_no_call_per_ticker(spark, tmp_path, monkeypatch):
+    calls = []
+
+    def counted(session, path, real=testbed.file_system):
+        calls.append(path)
+        return real(session, path)
+
+    monkeypatch.setattr(testbed, "file_system", counted)
+    lines = lines_of(spark, *((f"T{n}", n % 2 == 0, f"2020-01-0{d},1,2,0.5,1.5,1.5,100") for n in range(40) for d in (3, 2)))
+    globs = testbed.write_price_files(lines, str(tmp_path))
+    assert len(calls) < 10
+    assert globs == [f"{tmp_path}/stocks/*.csv", f"{tmp_path}/etfs/*.csv"]
+    assert len(list((tmp_path / "stocks").glob("*.csv"))) == len(list((tmp_path / "etfs").glob("*.csv"))) == 20
+    assert (tmp_path / "etfs" / "T0.csv").read_text() == (
+        HEADER + "2020-01-02,1,2,0.5,1.5,1.5,100\n2020-01-03,1,2,0.5,1.5,1.5,100\n"
+    )
+    assert not list((tmp_path / "parts").iterdir())
+
+
+def test_odd_names_have_whole_files(spark, tmp_path):
+    names = ("A B+C", "50%", "BRK/B", "ü=1", None, "")
+    testbed.write_price_files(lines_of(spark, *((name, False, "x") for name in names)), f"{tmp_path}/a b")
+    found = {file.name: file.read_text() for file in (tmp_path / "a b" / "stocks").iterdir()}
+    lone = HEADER + "x\n"
+    assert found == {
+        "A B+C.csv": lone, "50%.csv": lone, "BRK%2FB.csv": lone, "ü=1.csv": lone,
+        "__HIVE_DEFAULT_PARTITION__.csv": lone + "x\n",
+    }
