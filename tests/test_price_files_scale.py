@@ -1,5 +1,7 @@
 """Price files of many tickers: what the driver does does not grow with their number."""
 
+import datetime as dt
+
 from quotemill.sources import testbed
 
 HEADER = "Date,Open,High,Low,Close,Adj Close,Volume\n"
@@ -37,3 +39,22 @@ def test_odd_names_have_whole_files(spark, tmp_path):
         "A B+C.csv": lone, "50%.csv": lone, "BRK%2FB.csv": lone, "ü=1.csv": lone,
         "__HIVE_DEFAULT_PARTITION__.csv": lone + "x\n",
     }
+
+
+def test_a_spoilt_record_forms_its_kind_once(spark):
+    kinds = "symbol string, trade_date date, open double, high double, low double, close double, adj_close double, volume bigint, is_etf boolean"
+    prices = spark.createDataFrame([("T7", dt.date(1990, 1, 1), 1.0, 2.0, 0.5, 1.5, 1.5, 100, False), ("T11", dt.date(1990, 1, 1), 1.0, 2.0, 0.5, 1.5, 1.5, 100, True)], kinds)
+    lines = testbed.price_lines(prices, defects=True)
+    assert sorted(tuple(row) for row in lines.collect()) == [
+        ("T11", True, "1990-01-01,1.0,2.0,0.5,1.5,1.5,100"), ("T11", True, "1990-01-01,1.0,2.0,0.5,1.5,1.5,100"),
+        ("T7", False, "1990-01-01,1.0,2.0,0.5,NaN,1.5,100"),
+    ]
+    optimized = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("date_diff") + optimized.count("datediff") == 1
+
+
+def test_numbers_of_tickers_need_no_regular_expression(spark):
+    names = spark.createDataFrame([("Supplier#000000123",), ("A1B2",), ("7",)], "symbol string")
+    numbers = names.select(testbed._key(names.symbol).alias("n"))
+    assert [row.n for row in numbers.collect()] == [123, 2, 7]
+    assert "regexp" not in numbers._jdf.queryExecution().optimizedPlan().toString()
