@@ -1,0 +1,40 @@
+"""What shuffles and files of prices carry."""
+
+import datetime as dt
+
+from quotemill.operators.indicators import with_indicators
+from quotemill.plans import jobs
+from quotemill.session import materialize
+from quotemill.sinks.tables import CODEC, write_by_year, write_flat
+
+DAYS = [("A", dt.date(2020, 1, day), 1.0 + day) for day in range(1, 9)]
+
+
+def test_the_tie_is_not_shuffled(spark, price_rows):
+    rows = price_rows(DAYS)
+    found = with_indicators(rows, candidates=spark.createDataFrame([], "symbol string"))
+    above, below = found._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+    assert "xxhash64" in above and "xxhash64" not in below
+    assert found.count() == len(DAYS)
+
+
+def test_rows_of_the_raw_load_carry_their_place_only(spark, price_rows, tmp_path, monkeypatch):
+    places = []
+
+    def noted(rows, folder, row_id, new, real=jobs.write_by_month):
+        places.append(rows.select(row_id.alias("place")).collect())
+        return real(rows, folder, row_id=row_id, new=new)
+
+    monkeypatch.setattr(jobs, "write_by_month", noted)
+    write_by_year(price_rows([*DAYS, *DAYS]), f"{tmp_path}/processed", files_per_year=1)
+    loaded = jobs.run_raw_load(spark, f"{tmp_path}/warehouse", f"{tmp_path}/processed", table="prices")
+    assert loaded[jobs.RAW_PRICES].rows == 16
+    assert sorted(row.place for row in places[0]) == list(range(16))
+
+
+def test_tables_are_written_with_the_codec(spark, price_rows, tmp_path):
+    rows = price_rows(DAYS)
+    write_flat(rows, f"{tmp_path}/flat", new=True)
+    materialize(rows, "kept", str(tmp_path), codec=CODEC)
+    names = [file.name for file in tmp_path.rglob("part-*.parquet")]
+    assert names and all(f".{CODEC}." in name for name in names)
