@@ -58,3 +58,17 @@ def test_numbers_of_tickers_need_no_regular_expression(spark):
     numbers = names.select(testbed._key(names.symbol).alias("n"))
     assert [row.n for row in numbers.collect()] == [123, 2, 7]
     assert "regexp" not in numbers._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_runs_of_records_cross_batches(spark, tmp_path):
+    rows = [(f"Ü{n}", n % 2 == 0, f"é{d:02},1") for n in range(5) for d in range(20)]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 7)
+    try:
+        testbed.write_price_files(lines_of(spark, *rows).coalesce(1), str(tmp_path))
+    finally:
+        spark.conf.set(key, before)
+    for n in range(5):
+        file = tmp_path / ("etfs" if n % 2 == 0 else "stocks") / f"Ü{n}.csv"
+        assert file.read_text() == HEADER + "".join(f"é{d:02},1\n" for d in range(20))
