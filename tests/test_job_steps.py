@@ -1,0 +1,59 @@
+"""What the steps of the batch jobs do once: per row, per file, per job."""
+
+import datetime as dt
+
+import pytest
+
+from quotemill.operators.cleaning import clean_prices
+from quotemill.operators.indicators import with_indicators
+from quotemill.plans import jobs
+from quotemill.sources import tables
+from quotemill.sources.price_files import scan_prices
+
+HEADER = "Date,Open,High,Low,Close,Adj Close,Volume\n"
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def written(folder, *names):
+    folder.mkdir()
+    for name in names:
+        (folder / name).write_text(HEADER + "2020-01-02,1,2,0.5,1.5,1.5,100\n")
+
+
+def test_no_frame_slides_over_rows(spark):
+    closes = [100.0, 110.0, None, 99.0, 108.9, 1e-3, 1e9, float("nan"), *[50.0] * 40]
+    rows = [("A", dt.date(2020, 1, 1) + dt.timedelta(days=n), close, close, close) for n, close in enumerate(closes)]
+    prices = spark.createDataFrame(rows, "symbol string, trade_date date, close double, high double, low double")
+    found = with_indicators(prices, candidates=spark.createDataFrame([], "symbol string"))
+    assert "rowframe, -29" not in plan(found).lower()
+    volatility = [row.volatility_30 for row in found.orderBy("trade_date").collect()]
+    assert volatility[:3] == [None, None, None]
+    assert volatility[4] == pytest.approx(0, abs=1e-12)
+    assert volatility[7] != volatility[7] and volatility[20] != volatility[20]
+    assert volatility[-1] == 0.0
+
+
+def test_a_name_is_not_cut_off_the_path_for_each_row(spark, tmp_path):
+    written(tmp_path / "stocks", "A B+C.csv", "50%25.csv", "ü=1.csv", "no prices.txt", ".csv")
+    clean = clean_prices(scan_prices(spark, f"{tmp_path}/stocks/*"))
+    assert "substring_index" not in plan(clean)
+    assert sorted(row.symbol for row in clean.collect()) == ["50%25", "A B+C", "ü=1"]
+
+
+def test_a_job_finds_its_files_once(spark, tmp_path, monkeypatch):
+    written(tmp_path / "stocks", "A.csv")
+    written(tmp_path / "etfs", "F.csv")
+    (tmp_path / "meta.csv").write_text("Symbol,Security Name,Listing Exchange,Market Category,ETF\nA,A Inc,Q,Q,N\n")
+    asked = []
+
+    def counted(session, path, real=tables.file_system):
+        asked.append(path)
+        return real(session, path)
+
+    monkeypatch.setattr(tables, "file_system", counted)
+    globs = [f"{tmp_path}/{kind}/*.csv" for kind in ("stocks", "etfs")]
+    assert jobs.run_prices(spark, globs, f"{tmp_path}/meta.csv", f"{tmp_path}/out").written.rows == 2
+    assert len(asked) == 4
