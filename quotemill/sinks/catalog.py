@@ -16,7 +16,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.session import file_system
+from quotemill.session import file_system, freed_shuffles
 from quotemill.sinks.snapshots import Snapshot, current
 
 #: A bucket may hold this many times the mean before the table is better left without.
@@ -90,6 +90,7 @@ def write_buckets(
         writer = rows.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys, *sort)
     else:
         writer = rows.write
-    writer.format("parquet").mode("overwrite").option("path", path).saveAsTable(f"{database}.{name}")
+    with freed_shuffles(spark):
+        writer.format("parquet").mode("overwrite").option("path", path).saveAsTable(f"{database}.{name}")
     spark.sql(f"ANALYZE TABLE {_quoted(database, name)} COMPUTE STATISTICS FOR ALL COLUMNS")
     return even
