@@ -9,6 +9,7 @@ from quotemill.plans import jobs
 from quotemill.session import FREED_SHUFFLES, freed_shuffles, materialize
 from quotemill.sinks.tables import write_by_year, write_flat
 from quotemill.sources import testbed
+from quotemill.sources.price_files import scan_portions
 
 
 def shuffle_files(spark):
@@ -78,3 +79,56 @@ def test_price_files_go_while_others_go_on(spark, tmp_path):
             time.sleep(0.1)
     assert gone and (tmp_path / "stocks" / "folder").exists()
     assert len([*tmp_path.glob("kept/*.csv")]) == 600
+
+
+def test_portions_are_whole_tickers_and_make_the_same_table(spark, tmp_path):
+    for kind, names in (("stocks", ["A", "B+C", "Ü", "F 1", *(f"T{n}" for n in range(20))]), ("etfs", ["A", "F 1"])):
+        (tmp_path / kind).mkdir()
+        for name in names:
+            days = [f"{2018 + n % 3}-01-{n % 28 + 1:02d},1,2,0.5,{len(name) + n},1.5,{n}" for n in range(80)]
+            text = "Date,Open,High,Low,Close,Adj Close,Volume\n" + "\n".join([*days, "bad,1,1,1,1,1,1", days[0]]) + "\n"
+            (tmp_path / kind / f"{name}.csv").write_text(text)
+    (tmp_path / "meta.csv").write_text("Symbol,Security Name,Listing Exchange,Market Category,ETF\nA,A Inc,Q,Q,N\n")
+    globs = [f"{tmp_path}/{kind}/*.csv" for kind in ("stocks", "etfs")]
+    tables = {}
+    for name, options in (("one", {}), ("many", {"bytes_per_portion": 5000}), ("few", {"bytes_per_portion": 5000, "files_per_year": 2})):
+        run = jobs.run_prices(spark, globs, f"{tmp_path}/meta.csv", f"{tmp_path}/{name}", **options)
+        tables[name] = sorted(map(str, spark.read.parquet(f"{tmp_path}/{name}").collect()))
+        assert run.written.rows == run.summary.total_rows == len(tables[name]) == 26 * 81
+        assert run.written.bytes == sum(f.stat().st_size for f in (tmp_path / name).rglob("*.parquet"))
+    assert tables["one"] == tables["many"] == tables["few"]
+    assert all(len([*(tmp_path / "few" / f"year={year}").glob("*.parquet")]) <= 2 for year in (2018, 2019, 2020))
+    parts = [frame.select("symbol").distinct().collect() for frame in scan_portions(spark, globs, 10**5, 4)]
+    names = [row.symbol for part in parts for row in part]
+    assert len(names) == len(set(names)) == 24 and sum(map(bool, parts)) > 1
+
+
+def test_a_portion_opens_its_own_files_only(spark, tmp_path):
+    (tmp_path / "stocks").mkdir()
+    for n in range(40):
+        (tmp_path / "stocks" / f"T{n}.csv").write_text("Date,Open,High,Low,Close,Adj Close,Volume\n2020-01-01,1,2,0.5,1.5,1.5,1\n")
+    read = 0
+    for frame in scan_portions(spark, [f"{tmp_path}/stocks/*.csv"], 10**5, 4):
+        plan = frame._jdf.queryExecution().executedPlan()
+        frame._jdf.queryExecution().toRdd().count()
+        leaves = plan.collectLeaves()
+        read += leaves.apply(0).metrics().apply("numFiles").value()
+    assert read == 40
+
+
+def test_tasks_that_write_price_files_need_no_copy_of_the_package(spark, tmp_path):
+    sent = []
+
+    class Rows:
+        """As a frame up to the function that its tasks run."""
+
+        sparkSession = spark
+        select = withColumn = repartition = sortWithinPartitions = lambda self, *_: self
+
+        def mapInArrow(self, function, _):
+            sent.append(function)
+            return spark.range(0)
+
+    testbed.write_price_files(Rows(), f"{tmp_path}/files")
+    used = {*sent[0].__code__.co_names, *(name for code in sent[0].__code__.co_consts if hasattr(code, "co_names") for name in code.co_names)}
+    assert not [name for name in used if getattr(getattr(testbed, name, None), "__module__", "").startswith("quotemill")]
